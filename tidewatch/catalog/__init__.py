@@ -1,6 +1,6 @@
 """Checkable query catalog: Spark callables and their DuckDB twins."""
 
-from . import q_core  # noqa: F401  (registers queries)
+from . import q_core, q_features, q_profile  # noqa: F401  (registers queries)
 from .base import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
