@@ -1,9 +1,10 @@
 """Registry of checkable queries: each name has a Spark callable
 ``(spark, sf_dir) -> DataFrame`` and, where SQL can say it, a DuckDB twin.
 
-Both sides present results the same way: doubles rounded to 6 places by the
-same IEEE arithmetic (round(x * 1e6) / 1e6, bit-identical in both engines)
-with -0.0 folded into 0.0, integers as bigint, strings as strings.
+Both sides present results the same way: doubles snapped to a 1e-9 grid (which
+absorbs last-ulp noise from summation order) and then rounded to 6 places, both
+steps by the same IEEE arithmetic (round(x * 10^k) / 10^k, bit-identical in
+both engines), -0.0 folded into 0.0; integers as bigint; strings as strings.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ def fin(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") * F.lit(1e6), 0) / F.lit(1e6) + F.lit(0.0)
+            x9 = F.round(c.cast("double") * F.lit(1e9), 0) / F.lit(1e9)
+            c = F.round(x9 * F.lit(1e6), 0) / F.lit(1e6) + F.lit(0.0)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(t, T.BooleanType):
@@ -45,7 +47,8 @@ def fin(df: DataFrame) -> DataFrame:
 
 def r6(expr: str) -> str:
     """SQL side of ``fin`` for one double expression."""
-    return f"(round(CAST({expr} AS DOUBLE) * 1e6) / 1e6 + 0.0)"
+    x9 = f"(round(CAST({expr} AS DOUBLE) * 1e9) / 1e9)"
+    return f"(round({x9} * 1e6) / 1e6 + 0.0)"
 
 
 def sql_fin(inner: str, doubles=(), ints=(), keep_order=None) -> str:

@@ -43,7 +43,8 @@ def lit_row(check, column, metric, value, text, severity):
 
 
 def r6(x):
-    return f"(round(CAST({x} AS DOUBLE) * 1e6) / 1e6 + 0.0)"
+    from .base import r6 as _r6
+    return _r6(x)
 
 
 def wrap(union_sql):
