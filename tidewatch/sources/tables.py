@@ -103,3 +103,29 @@ def risk_probability(df: DataFrame) -> DataFrame:
     raw = F.lit(0.8) * F.greatest(s, r) + F.lit(0.2) * d
     p = F.round(raw * F.lit(1e4), 0) / F.lit(1e4)
     return df.withColumn("probability", p)
+
+
+# Columns of the KDD layout that the order/line adapter does not produce are
+# filled with zero; byte counts are whole numbers in that layout.
+def kdd_layout(conn: DataFrame) -> DataFrame:
+    from ..schemas import KDD_COLUMNS
+    have = {
+        "duration": F.col("duration"),
+        "protocol_type": F.col("protocol_type"),
+        "service": F.col("service"),
+        "flag": F.col("flag"),
+        "src_bytes": F.floor(F.col("src_bytes")).cast("bigint"),
+        "dst_bytes": F.floor(F.col("dst_bytes")).cast("bigint"),
+        "count": F.col("count"),
+        "srv_count": F.col("srv_count"),
+        "serror_rate": F.col("serror_rate"),
+        "rerror_rate": F.col("rerror_rate"),
+        "same_srv_rate": F.col("same_srv_rate"),
+        "diff_srv_rate": F.col("diff_srv_rate"),
+        "attack_type": F.col("attack_type"),
+    }
+    cols = []
+    for name, t in KDD_COLUMNS:
+        e = have.get(name, F.lit(0))
+        cols.append(e.cast(t).alias(name))
+    return conn.select(*cols)
