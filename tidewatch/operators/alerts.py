@@ -102,30 +102,34 @@ def prediction_stats(df: DataFrame, p: str = "probability",
     return df.agg(*aggs)
 
 
-def windowed_alarm(df: DataFrame, ts: str, metric: Column | None = None,
-                   period: str = "5 minutes", period_seconds: int = 300,
-                   statistic: str = "sum", threshold: float = 0.0,
-                   comparison: str = ">", evaluation_periods: int = 2,
-                   keys=()) -> DataFrame:
-    """Per-period metric, breach flag and alarm state.
+def _stat(statistic: str, m: Column) -> Column:
+    aggs = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min, "count": F.count}
+    if statistic not in aggs:
+        raise ValueError(f"unknown statistic {statistic!r}")
+    return aggs[statistic](m)
+
+
+def period_metrics(df: DataFrame, ts: str, metric: Column | None = None,
+                   period: str = "5 minutes", statistic: str = "sum", keys=()) -> DataFrame:
+    """(keys..., period_start, period_end, metric) per tumbling period with data."""
+    m = F.lit(1.0) if metric is None else metric
+    return (df.groupBy(*keys, F.window(F.col(ts), period).alias("w"))
+            .agg(_stat(statistic, m).cast("double").alias("metric"))
+            .select(*keys, F.col("w.start").alias("period_start"),
+                    F.col("w.end").alias("period_end"), "metric"))
+
+
+def alarm_from_periods(per: DataFrame, period_seconds: int = 300, threshold: float = 0.0,
+                       comparison: str = ">", evaluation_periods: int = 2,
+                       keys=()) -> DataFrame:
+    """Breach flag, run length and alarm state over a per-period table.
 
     A period is in alarm when it and the ``evaluation_periods - 1`` periods
-    right before it all breach; a period with no data does not breach. The
-    run length is found with gaps-and-islands over period indices
-    (index - row_number is constant inside a run of adjacent breaching
-    periods). The window runs over the per-period table — one row per period
-    and key — never over raw rows.
+    right before it all breach; a period with no data does not breach. Runs
+    are gaps-and-islands over period indices (index - row_number is constant
+    inside a run of adjacent breaching periods). The windows run over the
+    per-period table — one row per period and key — never over raw rows.
     """
-    m = F.lit(1.0) if metric is None else metric
-    agg = F.sum(m) if statistic == "sum" else F.avg(m) if statistic == "avg" \
-        else F.max(m) if statistic == "max" else F.min(m) if statistic == "min" \
-        else F.count(m) if statistic == "count" else None
-    if agg is None:
-        raise ValueError(f"unknown statistic {statistic!r}")
-    per = (df.groupBy(*keys, F.window(F.col(ts), period).alias("w"))
-           .agg(agg.cast("double").alias("metric"))
-           .select(*keys, F.col("w.start").alias("period_start"),
-                   F.col("w.end").alias("period_end"), "metric"))
     cmp = {">": F.col("metric") > threshold, ">=": F.col("metric") >= threshold,
            "<": F.col("metric") < threshold, "<=": F.col("metric") <= threshold}[comparison]
     idx = F.floor(F.unix_micros(F.col("period_start").cast("timestamp"))
@@ -140,3 +144,14 @@ def windowed_alarm(df: DataFrame, ts: str, metric: Column | None = None,
                                               F.count(F.lit(1)).over(w_i)).otherwise(0))
     return run.withColumn("alarm", (F.col("run_length") >= evaluation_periods).cast("int")) \
         .drop("island")
+
+
+def windowed_alarm(df: DataFrame, ts: str, metric: Column | None = None,
+                   period: str = "5 minutes", period_seconds: int = 300,
+                   statistic: str = "sum", threshold: float = 0.0,
+                   comparison: str = ">", evaluation_periods: int = 2,
+                   keys=()) -> DataFrame:
+    """Metric per period (one grouped aggregate), then the alarm state."""
+    per = period_metrics(df, ts, metric, period, statistic, keys)
+    return alarm_from_periods(per, period_seconds, threshold, comparison,
+                              evaluation_periods, keys)
