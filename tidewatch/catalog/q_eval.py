@@ -115,8 +115,9 @@ def q_concat_parts(spark, sf):
 
 
 # --- evaluation ----------------------------------------------------------------------------
-def _ev(spark, sf):
-    return eval_frame(rule_scored(spark, sf))
+def _ev(spark, sf, materialize=False):
+    # multi-pass reports (counts + score table + curve sums) materialize the input once
+    return eval_frame(rule_scored(spark, sf, materialize=materialize))
 
 
 _CNT = """,
@@ -176,7 +177,7 @@ SELECT CAST((SELECT tp + tn FROM cnt) AS DOUBLE) / (SELECT n FROM cnt) AS accura
        (SELECT average_precision FROM ap) AS average_precision"""),
     ["accuracy", "precision", "recall", "f1_score", "auc", "average_precision"]))
 def q_basic_metrics(spark, sf):
-    return fin(EV.basic_metrics(_ev(spark, sf)))
+    return fin(EV.basic_metrics(_ev(spark, sf, materialize=True)))
 
 
 @register("roc_curve", sql_fin(with_cte(SCORED_CTE, _ST + """
@@ -185,7 +186,7 @@ UNION ALL
 SELECT p, CAST(fp AS DOUBLE) / (SELECT "N" FROM tot), CAST(tp AS DOUBLE) / (SELECT "P" FROM tot)
 FROM cum"""), ["threshold", "fpr", "tpr"]))
 def q_roc_curve(spark, sf):
-    return fin(EV.roc_curve(_ev(spark, sf)))
+    return fin(EV.roc_curve(_ev(spark, sf, materialize=True)))
 
 
 @register("auc_roc", sql_fin(with_cte(SCORED_CTE, _ST + "\nSELECT auc FROM auc"), ["auc"]))
@@ -200,7 +201,7 @@ SELECT p AS threshold, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) /
 FROM cum
 UNION ALL SELECT NULL, 1.0, 0.0"""), ["threshold", "precision", "recall"]))
 def q_pr_curve(spark, sf):
-    return fin(EV.pr_curve(_ev(spark, sf)))
+    return fin(EV.pr_curve(_ev(spark, sf, materialize=True)))
 
 
 @register("average_precision", sql_fin(with_cte(SCORED_CTE, _ST + """

@@ -29,7 +29,7 @@ _FILL = ", ".join(f"coalesce(CAST(x.{_q(c)} AS DOUBLE), m.{_q(c)}) AS {_q(c)}" f
 med AS (SELECT {_MED} FROM connections)
 SELECT x.conn_id, {_FILL} FROM connections x CROSS JOIN med m"""), NUM, ["conn_id"]))
 def q_impute_median(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     state = IM.fit_median(c, NUM)
     return fin(IM.transform(c, state).select("conn_id", *NUM))
 
@@ -50,7 +50,7 @@ SELECT CAST(conn_id AS BIGINT) AS conn_id,
        {", ".join(f"coalesce(sn.{c}, (SELECT v FROM m_{c})) AS {c}" for c in _STR)}
 FROM sn"""))
 def q_impute_mode(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     sn = c.select("conn_id", *[F.when(F.col("count").isNull(), F.lit(None).cast("string"))
                                .otherwise(F.col(x)).alias(x) for x in _STR])
     state = IM.fit_mode(sn, _STR)
@@ -87,7 +87,7 @@ def _seq_sql():
 
 @register("fence_iqr_sequential", sql_fin(_seq_sql(), _SEQ, ["conn_id"]))
 def q_fence_iqr_sequential(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     state = OU.fit_iqr(c, _SEQ, mode="sequential")
     return fin(OU.apply(c, state).select("conn_id", *_SEQ))
 
@@ -133,7 +133,7 @@ SELECT vals.conn_id, cats.col || '_' || cats.category AS feature,
        CASE WHEN vals.v IS NOT DISTINCT FROM cats.category THEN 1 ELSE 0 END AS value
 FROM vals JOIN cats ON vals.col = cats.col AND cats.r > 1"""), ints=["conn_id", "value"]))
 def q_encode_onehot(spark, sf):
-    c = connections(spark, sf).select("conn_id", *_CAT)
+    c = connections(spark, sf, materialize=True).select("conn_id", *_CAT)
     state = EN.fit_dictionary(c, _CAT)
     enc = EN.onehot_transform(c, state)
     feats = [x for x in enc.columns if x != "conn_id"]
@@ -156,7 +156,7 @@ _LBL_SEL = ", ".join(
 cats AS ({_LBL_CATS})
 SELECT conn_id, {_LBL_SEL} FROM connections x"""), ints=["conn_id"] + _CAT))
 def q_encode_label(spark, sf):
-    c = connections(spark, sf).select("conn_id", "ts", *_CAT)
+    c = connections(spark, sf, materialize=True).select("conn_id", "ts", *_CAT)
     fit_on = c.filter(F.col("ts") < F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"))
     state = EN.fit_dictionary(fit_on, _CAT)
     return fin(EN.label_transform(c, state).drop("ts"))
@@ -173,7 +173,7 @@ _SC_SEL = ", ".join(f"(CAST(x.{_q(c)} AS DOUBLE) - m_{i}) / CASE WHEN s_{i} IS N
 st AS (SELECT {_SC_STATS} FROM connections)
 SELECT x.conn_id, {_SC_SEL} FROM connections x CROSS JOIN st"""), NUM, ["conn_id"]))
 def q_scale_standard(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     state = SC.fit(c, NUM)
     return fin(SC.transform(c, state).select("conn_id", *NUM))
 
@@ -191,7 +191,7 @@ q AS (SELECT {_PF_Q} FROM connections)
 SELECT x.conn_id, {_PF_SEL} FROM connections x CROSS JOIN q"""),
     ints=["conn_id"] + [f"{c}_above_p{p}" for c in _PF for p in FE.PERCENTILES]))
 def q_percentile_flags(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     state = FE.fit_percentile_flags(c, exclude=("conn_id", "is_attack"))
     return fin(FE.apply_percentile_flags(c, state).select(
         "conn_id", *[f"{x}_above_p{p}" for x in _PF for p in FE.PERCENTILES]))

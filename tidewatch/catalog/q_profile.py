@@ -241,12 +241,12 @@ def q_constant_columns(spark, sf):
 
 @register("schema_check", wrap(src_cte(union(schema_sql(ALL, TYPES, EXPECTED)))))
 def q_schema_check(spark, sf):
-    return fin(P.schema_check(connections(spark, sf), EXPECTED))
+    return fin(P.schema_check(connections(spark, sf, materialize=True), EXPECTED))
 
 
 @register("target_check", wrap(src_cte(union(target_sql()))))
 def q_target_check(spark, sf):
-    return fin(P.target_check(connections(spark, sf), "is_attack"))
+    return fin(P.target_check(connections(spark, sf, materialize=True), "is_attack"))
 
 
 _DIST = [c for c in NUMERIC if c != "is_attack"]
@@ -259,12 +259,12 @@ def q_distribution_profile(spark, sf):
 
 @register("categorical_profile", wrap(src_cte(union(categorical_sql(STRINGS)))))
 def q_categorical_profile(spark, sf):
-    return fin(P.categorical_profile(connections(spark, sf)))
+    return fin(P.categorical_profile(connections(spark, sf, materialize=True)))
 
 
 @register("domain_check", wrap(src_cte(union(domain_sql(ALL)))))
 def q_domain_check(spark, sf):
-    return fin(P.domain_check(connections(spark, sf)))
+    return fin(P.domain_check(connections(spark, sf, materialize=True)))
 
 
 @register("value_counts", with_cte(CONN_CTE, """
@@ -316,7 +316,7 @@ def _input_sql():
 
 @register("input_check", wrap(src_cte(union(_input_sql()))))
 def q_input_check(spark, sf):
-    c = connections(spark, sf).select(*NUMERIC)
+    c = connections(spark, sf, materialize=True).select(*NUMERIC)
     return fin(P.input_check(c, "is_attack"))
 
 
@@ -336,7 +336,7 @@ def _quick_sql():
 
 @register("quick_check", wrap(src_cte(union(_quick_sql()))))
 def q_quick_check(spark, sf):
-    return fin(P.quick_check(connections(spark, sf), _REQ))
+    return fin(P.quick_check(connections(spark, sf, materialize=True), _REQ))
 
 
 def _summary_sql():
@@ -357,7 +357,7 @@ def _summary_sql():
 
 @register("summary", wrap(src_cte(union(_summary_sql()))))
 def q_summary(spark, sf):
-    return fin(P.summary(connections(spark, sf)))
+    return fin(P.summary(connections(spark, sf, materialize=True)))
 
 
 def _validate_sql():
@@ -376,4 +376,4 @@ def _validate_sql():
 
 @register("validate_all", wrap(src_cte(union(_validate_sql()))))
 def q_validate_all(spark, sf):
-    return fin(P.validate_all(connections(spark, sf), EXPECTED))
+    return fin(P.validate_all(connections(spark, sf, materialize=True), EXPECTED))

@@ -31,8 +31,9 @@ f AS (SELECT g.feature,
 
 
 def _ranked(k):
-    return (f"SELECT feature, score, row_number() OVER (ORDER BY score DESC NULLS LAST, feature) "
-            f"AS rank, CASE WHEN row_number() OVER (ORDER BY score DESC NULLS LAST, feature) <= {k} "
+    key = "round(score * 1e6)"
+    return (f"SELECT feature, score, row_number() OVER (ORDER BY {key} DESC NULLS LAST, feature) "
+            f"AS rank, CASE WHEN row_number() OVER (ORDER BY {key} DESC NULLS LAST, feature) <= {k} "
             f"THEN 1 ELSE 0 END AS selected FROM f")
 
 
@@ -44,7 +45,7 @@ def q_select_kbest_anova(spark, sf):
 
 
 @register("feature_scores", sql_fin(with_cte(CONN_CTE, ANOVA_SQL + """
-SELECT feature, score FROM f ORDER BY score DESC NULLS LAST, feature LIMIT 20"""), ["score"]))
+SELECT feature, score FROM f ORDER BY round(score * 1e6) DESC NULLS LAST, feature LIMIT 20"""), ["score"]))
 def q_feature_scores(spark, sf):
     c = connections(spark, sf)
     return fin(SE.feature_scores(SE.anova_f(c, FEATS, "is_attack"), 20))
@@ -84,5 +85,5 @@ f AS (SELECT c.feature,
 @register("select_kbest_mi", sql_fin(with_cte(CONN_CTE, _mi_sql() + "\n" + _ranked(5)),
                                      ["score"], ["rank", "selected"]))
 def q_select_kbest_mi(spark, sf):
-    c = connections(spark, sf)
+    c = connections(spark, sf, materialize=True)
     return fin(SE.rank_scores(SE.mutual_info(c, FEATS, "is_attack"), 5))

@@ -39,13 +39,14 @@ SELECT period_start, period_end, metric, breaching, period_index, run_length,
        CASE WHEN run_length >= 2 THEN 1 ELSE 0 END AS alarm
 FROM r""", ["metric"], ["breaching", "period_index", "run_length", "alarm"])
 
-ERR = F.when(F.col("event_type") == "error", F.lit(1.0)).otherwise(F.lit(0.0))
+def ERR():
+    return F.when(F.col("event_type") == "error", F.lit(1.0)).otherwise(F.lit(0.0))
 
 
 @register("windowed_alarm", ALARM_SQL)
 def q_windowed_alarm(spark, sf):
     e = events(spark, sf)
-    return fin(AL.windowed_alarm(e, "ts", ERR, "1 hour", 3600, "sum", 5.0, ">", 2))
+    return fin(AL.windowed_alarm(e, "ts", ERR(), "1 hour", 3600, "sum", 5.0, ">", 2))
 
 
 def _stage_chunks(df, ts, n_chunks):
@@ -73,7 +74,7 @@ def q_alarm_stream(spark, sf):
     for i, (lo, hi) in enumerate(_stage_chunks(e, "ts", 4)):
         _chunk(e, "ts", lo, hi).write.mode("overwrite").parquet(f"{src}/part={i}")
         stream = SS.file_stream(spark, f"{src}/part=*", e.schema, "parquet")
-        SA.start_period_stream(stream, "ts", sink, ck, ERR, "1 hour", "1 hour").awaitTermination()
+        SA.start_period_stream(stream, "ts", sink, ck, ERR(), "1 hour", "1 hour").awaitTermination()
     per = SA.current_periods(spark, sink)
     return fin(AL.alarm_from_periods(per, 3600, 5.0, ">", 2))
 

@@ -29,31 +29,49 @@ def quantile_exprs(c: str, probs, method: str = "exact") -> Column:
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def long_values(df: DataFrame, columns) -> DataFrame:
+    """(column, x double): every listed column as rows. Per-column statistics
+    then become a ``groupBy('column')`` with a handful of aggregate functions,
+    which stays inside whole-stage codegen, where one wide aggregate with
+    dozens of moment buffers per column falls back to interpreted mode."""
+    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                      for c in columns])
+    return df.select(F.explode(items).alias("s")).select("s.column", "s.x")
+
+
 def quantile_table(df: DataFrame, columns, probs, method: str = "exact") -> DataFrame:
-    """Long table (column, q, threshold) from one aggregate over all columns."""
+    """Long table (column, q, threshold): one scan, grouped by column."""
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], "column string, q double, threshold double")
-    aggs = [quantile_exprs(c, probs, method).alias(f"c{i}") for i, c in enumerate(columns)]
-    wide = df.agg(*aggs)
-    parts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("v"))
-                      for i, c in enumerate(columns)])
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    return (wide.select(F.explode(parts).alias("s"))
-            .select(F.col("s.column").alias("column"),
-                    F.arrays_zip(probs_arr.alias("q"), F.col("s.v").alias("t")).alias("z"))
-            .select("column", F.explode("z").alias("z"))
+    g = long_values(df, columns).groupBy("column").agg(quantile_exprs("x", probs, method).alias("v"))
+    return (g.select("column", F.explode(F.arrays_zip(probs_arr.alias("q"), F.col("v").alias("t")))
+                     .alias("z"))
             .select("column", F.col("z.q").alias("q"), F.col("z.t").alias("threshold")))
 
 
 def quantiles(df: DataFrame, columns, probs, method: str = "exact") -> dict:
-    """{column: [q1, q2, ...]} — one aggregate, one tiny result row."""
+    """{column: [q1, q2, ...]} — one scan; result has one row per column."""
     if not columns:
         return {}
-    row = df.agg(*[quantile_exprs(c, probs, method).alias(f"c{i}")
-                   for i, c in enumerate(columns)]).first()
-    return {c: (list(row[f"c{i}"]) if row[f"c{i}"] is not None else [None] * len(probs))
-            for i, c in enumerate(columns)}
+    rows = long_values(df, columns).groupBy("column") \
+        .agg(quantile_exprs("x", probs, method).alias("v")).collect()
+    got = {r["column"]: r["v"] for r in rows}
+    return {c: (list(got[c]) if got.get(c) is not None else [None] * len(probs)) for c in columns}
+
+
+def numeric_summary(df: DataFrame, columns, probs=(0.25, 0.5, 0.75),
+                    method: str = "exact") -> DataFrame:
+    """Long table, one row per column: n, mean, std (sample), var_pop,
+    skewness / kurtosis (bias-corrected, as pandas), min, max, quantiles q."""
+    x = F.col("x")
+    g = long_values(df, columns).groupBy("column").agg(
+        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        sample_skewness("x").alias("skewness"), sample_kurtosis("x").alias("kurtosis"),
+        F.min(x).alias("min"), F.max(x).alias("max"),
+        quantile_exprs("x", probs, method).alias("q"))
+    return g
 
 
 def sample_skewness(c: str) -> Column:

@@ -54,30 +54,30 @@ def confusion_matrix(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFra
     return c.select(F.explode(cells).alias("c")).select("c.*")
 
 
-def _class_stats(c: DataFrame) -> DataFrame:
+def _class_structs():
     """Per class precision / recall / f1 / support from the counts row."""
     rows = []
     for cls, tp, fp, fn in ((0, "tn", "fn", "fp"), (1, "tp", "fp", "fn")):
         prec = _div0(F.col(tp), F.col(tp) + F.col(fp))
         rec = _div0(F.col(tp), F.col(tp) + F.col(fn))
         f1 = _div0(2 * prec * rec, prec + rec)
-        rows.append(F.struct(F.lit(str(cls)).alias("class"), prec.alias("precision"),
-                             rec.alias("recall"), f1.alias("f1_score"),
-                             (F.col(tp) + F.col(fn)).alias("support")))
-    return c.select(F.explode(F.array(*rows)).alias("r"), "n").select("r.*", "n")
+        rows.append((str(cls), prec, rec, f1, F.col(tp) + F.col(fn)))
+    return rows
 
 
 def class_report(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    """Rows for class 0, 1, 'macro avg', 'weighted avg'."""
-    per = _class_stats(counts(df, y, pred))
-    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1_score").alias("f1_score"),
-                    F.sum("support").alias("support"))
-    wavg = lambda c: _div0(F.sum(F.col(c) * F.col("support")), F.sum("support"))
-    weighted = per.agg(F.lit("weighted avg").alias("class"), wavg("precision").alias("precision"),
-                       wavg("recall").alias("recall"), wavg("f1_score").alias("f1_score"),
-                       F.sum("support").alias("support"))
-    return per.drop("n").unionByName(macro).unionByName(weighted)
+    """Rows for class 0, 1, 'macro avg', 'weighted avg' — all from one counts
+    row (one pass over the data)."""
+    (c0, p0, r0, f0, s0), (c1, p1, r1, f1, s1) = _class_structs()
+    n = (s0 + s1).cast("double")
+    w = lambda a, b: _div0(a * s0 + b * s1, n)
+    rows = [(c0, p0, r0, f0, s0), (c1, p1, r1, f1, s1),
+            ("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1),
+            ("weighted avg", w(p0, p1), w(r0, r1), w(f0, f1), s0 + s1)]
+    items = F.array(*[F.struct(F.lit(k).alias("class"), a.alias("precision"), b.alias("recall"),
+                               c.alias("f1_score"), d.cast("long").alias("support"))
+                      for k, a, b, c, d in rows])
+    return counts(df, y, pred).select(F.explode(items).alias("r")).select("r.*")
 
 
 def score_table(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:

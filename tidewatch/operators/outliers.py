@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.stats import quantiles
+from ..functions.stats import long_values, quantiles
 from ..schemas import numeric_columns
 
 STATE_SCHEMA = "column string, lower double, upper double"
@@ -28,10 +28,9 @@ def _iqr_bounds(q1, q3, k):
 
 
 def _z_stats(df: DataFrame, cols):
-    row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"),
-        F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"))]).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+    got = {r["column"]: (r["m"], r["s"]) for r in long_values(df, cols).groupBy("column")
+           .agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).collect()}
+    return {c: got.get(c, (None, None)) for c in cols}
 
 
 def fit_iqr(df: DataFrame, columns=None, k: float = 1.5, mode: str = "joint",

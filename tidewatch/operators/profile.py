@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.stats import sample_kurtosis, sample_skewness
+from ..functions.stats import numeric_summary
 from ..schemas import numeric_columns, string_columns
 
 CHECK_COLUMNS = ["check", "column", "metric", "value", "text", "severity"]
@@ -225,31 +225,39 @@ def target_check(df: DataFrame, target: str = "is_attack") -> DataFrame:
 
 # --- distributions --------------------------------------------------------------------
 
-def distribution_metrics(df: DataFrame, exclude=("is_attack",), method: str = "exact",
-                         check: str = "distribution") -> list[Metric]:
-    out = []
-    for c in numeric_columns(df, exclude):
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if method == "exact"
-             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 100000))
-        sk, ku, mn = sample_skewness(c), sample_kurtosis(c), F.min(x)
-        has = F.count(x) > 0
-        out += [
-            Metric(check, c, "mean", F.avg(x)),
-            Metric(check, c, "std", F.stddev_samp(x)),
-            Metric(check, c, "skewness", sk, _sev(has & (F.abs(sk) > 3), "warning")),
-            Metric(check, c, "kurtosis", ku, _sev(has & (F.abs(ku) > 10), "warning")),
-            Metric(check, c, "min", mn, _sev(has & (mn < 0), "error") if c in NON_NEGATIVE else None),
-            Metric(check, c, "max", F.max(x)),
-            Metric(check, c, "q25", q.getItem(0)),
-            Metric(check, c, "q50", q.getItem(1)),
-            Metric(check, c, "q75", q.getItem(2)),
-        ]
-    return out
-
-
-def distribution_profile(df: DataFrame, exclude=("is_attack",), method: str = "exact") -> DataFrame:
-    return run_metrics(df, distribution_metrics(df, exclude, method))
+def distribution_profile(df: DataFrame, exclude=("is_attack",), method: str = "exact",
+                         check: str = "distribution") -> DataFrame:
+    """mean, std, skewness, kurtosis, min, max, q25/q50/q75 per numeric column
+    (one scan, grouped by column); warnings for |skew| > 3 and |kurtosis| > 10,
+    errors for negative values in columns that must not have them."""
+    cols = numeric_columns(df, exclude)
+    if not cols:
+        return df.sparkSession.createDataFrame([], CHECK_DDL)
+    s = numeric_summary(df, cols, (0.25, 0.5, 0.75), method)
+    has = F.col("n") > 0
+    neg_ok = F.col("column").isin(*NON_NEGATIVE)
+    items = [
+        ("mean", F.col("mean"), None), ("std", F.col("std"), None),
+        ("skewness", F.col("skewness"), has & (F.abs(F.col("skewness")) > 3)),
+        ("kurtosis", F.col("kurtosis"), has & (F.abs(F.col("kurtosis")) > 10)),
+        ("min", F.col("min"), None), ("max", F.col("max"), None),
+        ("q25", F.col("q").getItem(0), None), ("q50", F.col("q").getItem(1), None),
+        ("q75", F.col("q").getItem(2), None),
+    ]
+    structs = []
+    for name, v, warn in items:
+        if name == "min":
+            sev = F.when(has & neg_ok & (F.col("min") < 0), "error").otherwise("metric")
+        elif warn is not None:
+            sev = F.when(warn, "warning").otherwise("metric")
+        else:
+            sev = F.lit("metric")
+        structs.append(F.struct(F.lit(name).alias("metric"), v.cast("double").alias("value"),
+                                sev.alias("severity")))
+    return s.select("column", F.explode(F.array(*structs)).alias("m")).select(
+        F.lit(check).alias("check"), "column", F.col("m.metric").alias("metric"),
+        F.col("m.value").alias("value"), F.lit(None).cast("string").alias("text"),
+        F.col("m.severity").alias("severity"))
 
 
 # --- categorical ------------------------------------------------------------------------
@@ -431,14 +439,14 @@ def summary(df: DataFrame) -> DataFrame:
 
 def validate_all(df: DataFrame, expected=None, target: str = "is_attack",
                  method: str = "exact") -> DataFrame:
-    """All checks. Scalar metrics of schema, quality, distribution and domain
-    checks share ONE aggregate; categorical counts, duplicates and target
-    counts are one grouped job each. Ends with an overall summary."""
+    """All checks. Scalar metrics of schema, quality and domain checks share
+    ONE aggregate; per-column distributions, categorical counts, duplicates
+    and target counts are one grouped job each."""
     s_mets, s_static = schema_metrics(df, expected)
     d_mets, d_static = domain_metrics(df)
-    mets = (s_mets + null_metrics(df, "quality") + infinite_metrics(df, "quality")
-            + distribution_metrics(df, (target,), method) + d_mets)
+    mets = s_mets + null_metrics(df, "quality") + infinite_metrics(df, "quality") + d_mets
     parts = run_metrics(df, mets).unionByName(static_rows(df.sparkSession, s_static + d_static))
+    parts = parts.unionByName(distribution_profile(df, (target,), method))
     parts = parts.unionByName(duplicate_rows(df).withColumn("check", F.lit("quality")))
     parts = parts.unionByName(target_check(df, target))
     parts = parts.unionByName(categorical_profile(df))

@@ -1,7 +1,7 @@
 """Univariate feature scoring and top-k selection.
 
-* ANOVA F: one ``groupBy(label)`` aggregate holding (count, mean, var_pop) of
-  every feature per class, then the F statistic from that small table:
+* ANOVA F: one grouped aggregate of (count, mean, var_pop) per (class,
+  feature) in long form, then the F statistic from that small table:
   F = (sum n_g (m_g - m)^2 / (k - 1)) / (sum n_g var_g / (n - k)).
 * Mutual information (binned): continuous features are cut at fitted deciles,
   integer features use their values; one grouped count over
@@ -23,15 +23,13 @@ from ..schemas import numeric_columns
 
 
 def anova_f(df: DataFrame, features: list[str], label: str = "is_attack") -> DataFrame:
-    aggs = []
-    for i, c in enumerate(features):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    per = df.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
-    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"),
-                               F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v"))
-                      for i, c in enumerate(features)])
-    long = per.select(F.explode(items).alias("s")).select("s.*").filter(F.col("n") > 0)
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+                      for c in features])
+    long = (df.filter(F.col(label).isNotNull())
+            .select(F.col(label).alias("y"), F.explode(items).alias("s"))
+            .groupBy("y", F.col("s.feature").alias("feature"))
+            .agg(F.count("s.x").alias("n"), F.avg("s.x").alias("m"), F.var_pop("s.x").alias("v"))
+            .filter(F.col("n") > 0))
     g = long.groupBy("feature").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
         (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"),
@@ -96,9 +94,12 @@ def scores(df: DataFrame, method: str = "anova", label: str = "is_attack",
 
 def rank_scores(score_table: DataFrame, k: int) -> DataFrame:
     """Adds rank (score desc, feature asc, undefined last) and selected flag.
-    The table has one row per feature, so the ordering is over a bounded set."""
+    Scores equal to 6 decimals are ties (e.g. a feature and its complement
+    have the same F up to float noise) and go by name. The table has one row
+    per feature, so the ordering is over a bounded set."""
     from pyspark.sql import Window
-    w = Window.orderBy(F.col("score").desc_nulls_last(), F.col("feature").asc())
+    key = F.round(F.col("score") * F.lit(1e6), 0)
+    w = Window.orderBy(key.desc_nulls_last(), F.col("feature").asc())
     r = score_table.withColumn("rank", F.row_number().over(w))
     return r.withColumn("selected", (F.col("rank") <= k).cast("int"))
 
@@ -113,4 +114,5 @@ def select_kbest(df: DataFrame, k: int = 50, method: str = "mutual_info",
 
 
 def feature_scores(score_table: DataFrame, top: int = 20) -> DataFrame:
-    return score_table.orderBy(F.col("score").desc_nulls_last(), F.col("feature")).limit(top)
+    key = F.round(F.col("score") * F.lit(1e6), 0)
+    return score_table.orderBy(key.desc_nulls_last(), F.col("feature")).limit(top)

@@ -14,9 +14,10 @@ from ..operators.alerts import apply_bands
 from ..sources.tables import connections, risk_probability
 
 
-def rule_scored(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> DataFrame:
-    return apply_bands(risk_probability(connections(spark, sf_dir)), "probability",
-                       threshold)
+def rule_scored(spark: SparkSession, sf_dir: str, threshold: float = 0.5,
+                materialize: bool = False) -> DataFrame:
+    return apply_bands(risk_probability(connections(spark, sf_dir, materialize)),
+                       "probability", threshold)
 
 
 def eval_frame(scored: DataFrame, y: str = "is_attack", p: str = "probability",

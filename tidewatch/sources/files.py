@@ -101,11 +101,20 @@ def scan_auto(spark: SparkSession, path: str, dataset_type: str = "auto") -> Dat
     return df
 
 
-def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def quarantine(df: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with ``error``) — the per-chunk skip of the
-    reference becomes a per-row split that keeps every rejected line."""
+    reference becomes a per-row split that keeps every rejected line.
+
+    Spark refuses queries on a raw CSV/JSON scan that reference only the
+    corrupt-record column (e.g. counting rejected rows), so the parsed scan is
+    saved once (reliable checkpoint in the shared folder) and both outputs
+    read that. A single aggregate over the raw scan (as ``scan_chunked``'s
+    report does) needs no save."""
     if CORRUPT not in df.columns:
         return df, df.limit(0).withColumn("error", F.lit(None).cast("string"))
+    if materialize:
+        from ..session import cut_lineage
+        df = cut_lineage(df)
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     # rejected rows keep every parsed field next to the raw line (a scan may
     # not reference the corrupt-record column alone)

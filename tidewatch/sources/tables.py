@@ -60,7 +60,18 @@ def attack_type_from_rates(serror="serror_rate", rerror="rerror_rate"):
     return F.when(s >= 0.75, "dos").when(r >= 0.75, "probe").otherwise("normal")
 
 
-def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def connections(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Connection records. ``materialize=True`` writes the derived table once
+    (reliable checkpoint in the shared folder) for callers that make several
+    passes over it, instead of re-aggregating lineitem on every pass."""
+    out = _connections(spark, sf_dir)
+    if materialize:
+        from ..session import cut_lineage
+        out = cut_lineage(out)
+    return out
+
+
+def _connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority")
