@@ -278,3 +278,38 @@ def q_flatten_struct(spark, sf):
                                            F.col("event_type").alias("kind")).alias("entity"),
                       F.from_json("props", props_t).alias("props"))
     return fin(FE.flatten_struct(nested))
+
+
+# --- the individual derived columns of the network block ------------------------
+def _net_query(name, cols, sql_exprs, frame=None):
+    dbl = [c for c in cols if c not in ("is_short_connection", "is_long_connection")]
+    ints = ["conn_id"] + [c for c in cols if c not in dbl]
+    sql = sql_fin(with_cte(CONN_CTE, f"SELECT conn_id, {sql_exprs} FROM connections"), dbl, ints)
+
+    @register(name, sql)
+    def q(spark, sf):
+        c = connections(spark, sf)
+        if frame is not None:
+            c = frame(c)
+        feats = FE.network_feature_columns(c.columns)
+        return fin(c.select("conn_id", *[feats[k].alias(k) for k in cols]))
+    return q
+
+
+_net_query("srv_connection_ratio", ["srv_connection_ratio"],
+           'CAST(srv_count AS DOUBLE) / ("count" + 1) AS srv_connection_ratio')
+_net_query("total_error_rate", ["total_error_rate", "error_rate_diff"],
+           "serror_rate + rerror_rate AS total_error_rate, "
+           "abs(serror_rate - rerror_rate) AS error_rate_diff")
+_net_query("srv_diversity", ["srv_diversity", "srv_anomaly"],
+           "1.0 - same_srv_rate AS srv_diversity, "
+           "diff_srv_rate * (1.0 - same_srv_rate) AS srv_anomaly")
+_net_query("duration_log", ["duration_log", "is_short_connection", "is_long_connection"],
+           "CASE WHEN duration > -1 THEN ln(1 + duration) END AS duration_log, "
+           "coalesce(CAST(duration < 1 AS INTEGER), 0) AS is_short_connection, "
+           "coalesce(CAST(duration > 100 AS INTEGER), 0) AS is_long_connection")
+# host counts of the connection record, taken here from the per-order counts
+_net_query("host_connection_density", ["host_connection_density"],
+           'CAST(srv_count AS DOUBLE) / ("count" + 1) AS host_connection_density',
+           frame=lambda c: c.withColumn("dst_host_count", F.col("count"))
+           .withColumn("dst_host_srv_count", F.col("srv_count")))

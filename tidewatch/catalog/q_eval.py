@@ -276,3 +276,10 @@ SELECT avg(abs(prob_pred - prob_true)) AS calibration_error,
        count(*) AS bins FROM cal"""), ["calibration_error", "weighted_calibration_error"], ["bins"]))
 def q_calibration_error(spark, sf):
     return fin(EV.calibration_error(_ev(spark, sf)))
+
+
+@register("evaluate_all")
+def q_evaluate_all(spark, sf):
+    """Every report part in long form (section, key, metric, value); the parts
+    have their own SQL twins above, so this is a rows-only check."""
+    return EV.report_long(EV.evaluate_all(_ev(spark, sf, materialize=True)))

@@ -195,3 +195,29 @@ def q_percentile_flags(spark, sf):
     state = FE.fit_percentile_flags(c, exclude=("conn_id", "is_attack"))
     return fin(FE.apply_percentile_flags(c, state).select(
         "conn_id", *[f"{x}_above_p{p}" for x in _PF for p in FE.PERCENTILES]))
+
+
+# --- switchable outlier step ---------------------------------------------------------
+@register("outlier_switch", sql_fin("SELECT event_id, value FROM events", ["value"], ["event_id"]))
+def q_outlier_switch(spark, sf):
+    e = events(spark, sf)
+    return fin(OU.remove_outliers(e, "iqr", ["value"], enabled=False).select("event_id", "value"))
+
+
+_ZSEQ = ["duration", "dst_bytes"]
+
+
+def _zseq_sql():
+    parts, prev = [], "connections"
+    for i, c in enumerate(_ZSEQ):
+        parts.append(f", z{i} AS (SELECT avg({c}) AS m, stddev_samp({c}) AS sd FROM {prev})")
+        parts.append(f", t{i} AS (SELECT {prev}.* FROM {prev}, z{i} WHERE abs(({c} - m) / sd) < 3.0)")
+        prev = f"t{i}"
+    return with_cte(CONN_CTE, "\n".join(parts) + f"\nSELECT conn_id, {', '.join(_ZSEQ)} FROM {prev}")
+
+
+@register("fence_zscore_sequential", sql_fin(_zseq_sql(), _ZSEQ, ["conn_id"]))
+def q_fence_zscore_sequential(spark, sf):
+    c = connections(spark, sf, materialize=True)
+    return fin(OU.remove_outliers(c, "zscore", _ZSEQ, mode="sequential", threshold=3.0)
+               .select("conn_id", *_ZSEQ))

@@ -120,3 +120,11 @@ def q_evaluate_model(spark, sf):
 
 
 __all__ = ["trained", "json", "DataConfig"]
+
+
+@register("process_features")
+def q_process_features(spark, sf):
+    """The fitted feature chain applied to the held-out rows (rows-only check)."""
+    t = trained(spark, sf)
+    x = t.spec.transform(t.test, t.state)
+    return x.select("conn_id", *t.state.features)
