@@ -288,3 +288,16 @@ def test_alarm_needs_consecutive_periods(spark):
     out = AL.windowed_alarm(df, "ts", None, "1 hour", 3600, "sum", 5.0, ">", 2) \
         .orderBy("period_start").collect()
     assert [r["alarm"] for r in out] == [0, 1, 0, 0, 1]
+
+
+def test_bracketed_exact_quantiles_equal_numpy_with_atoms(spark):
+    from tidewatch.functions.stats import exact_quantiles
+    rng = np.random.default_rng(0)
+    vals = np.concatenate([rng.lognormal(size=20000), np.zeros(5000), np.full(3000, 2.5)])
+    df = spark.createDataFrame([(float(v), float(v) * 3 if i % 7 else None)
+                                for i, v in enumerate(vals)], "a double, b double")
+    probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    got = exact_quantiles(df, ["a", "b"], probs, accuracy=1000)   # n > A: bracket path
+    assert got["a"] == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
+    b = np.array([float(v) * 3 for i, v in enumerate(vals) if i % 7])
+    assert got["b"] == pytest.approx(list(np.quantile(b, probs)), abs=1e-12)

@@ -221,7 +221,8 @@ PSTATS_DOUBLES = ["attack_rate", "probability_mean", "probability_median", "prob
 @register("prediction_stats", sql_fin(with_cte(SCORED_CTE, PSTATS_SQL), PSTATS_DOUBLES,
                                       PSTATS_INTS))
 def q_prediction_stats(spark, sf):
-    s = rule_scored(spark, sf).withColumn(
+    # several passes (median sketch + counts): materialize the scored input once
+    s = rule_scored(spark, sf, materialize=True).withColumn(
         "prediction", F.when(F.col("count").isNotNull(), F.col("prediction")))
     return fin(A.prediction_stats(s))
 

@@ -254,7 +254,7 @@ _DIST = [c for c in NUMERIC if c != "is_attack"]
 
 @register("distribution_profile", wrap(src_cte(union(distribution_sql(_DIST)))))
 def q_distribution_profile(spark, sf):
-    return fin(P.distribution_profile(connections(spark, sf)))
+    return fin(P.distribution_profile(connections(spark, sf, materialize=True)))
 
 
 @register("categorical_profile", wrap(src_cte(union(categorical_sql(STRINGS)))))

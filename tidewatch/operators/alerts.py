@@ -75,11 +75,20 @@ def alerts(df: DataFrame, key: str = "conn_id", ts: str = "timestamp",
 
 
 def prediction_stats(df: DataFrame, p: str = "probability",
-                     pred: str = "prediction") -> DataFrame:
+                     pred: str = "prediction", method: str = "exact") -> DataFrame:
     """One row: totals, class counts, distribution of p (population std) and
-    zero-filled counts per confidence band and threat level. One aggregate."""
+    zero-filled counts per confidence band and threat level. One aggregate,
+    plus the median of p (bounded exact quantile unless ``method`` says
+    otherwise)."""
+    from ..functions.stats import quantile_exprs, quantiles
     valid = F.col(pred).isNotNull()
     pv = F.when(valid, F.col(p))
+    if method == "exact":
+        med = quantiles(df.select(pv.alias("__pv")), ["__pv"], [0.5], "exact")["__pv"][0]
+        median = F.lit(med).cast("double")
+    else:
+        median = quantile_exprs("__pv", [0.5], method).getItem(0)
+        df = df.withColumn("__pv", pv)
     aggs = [
         F.count(F.lit(1)).alias("total_predictions"),
         F.count_if(valid).alias("valid_predictions"),
@@ -88,7 +97,7 @@ def prediction_stats(df: DataFrame, p: str = "probability",
         (F.sum(F.when(valid, F.col(pred))).cast("double") * 100.0
          / F.count_if(valid)).alias("attack_rate"),
         F.avg(pv).alias("probability_mean"),
-        F.percentile(pv, 0.5).alias("probability_median"),
+        median.alias("probability_median"),
         F.stddev_pop(pv).alias("probability_std"),
         F.min(pv).alias("probability_min"),
         F.max(pv).alias("probability_max"),

@@ -2,8 +2,9 @@
 
 ``global_row_number`` / ``prefix_sums``: range-partition on the order columns,
 sort inside partitions, tag rows with ``monotonically_increasing_id`` (partition
-id in the high bits, position in the low bits) and cut lineage with a reliable
-checkpoint so recomputation cannot move rows between partitions. Per-partition
+id in the high bits, position in the low bits) and write the tagged table to the
+shared folder, so recomputation cannot move rows between partitions (range
+boundaries come from sampling). Per-partition
 counts / sums are a tiny table (one row per partition) turned into offsets.
 
 ``rolling``: row-count frames over an order, optionally per entity. Rows are
@@ -34,7 +35,8 @@ def ranged(df: DataFrame, order: list[Column], partitions: int | None = None) ->
     n = _partitions(df, partitions)
     r = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("__id", F.monotonically_increasing_id()))
-    r = cut_lineage(r)
+    # ids are fixed once written: partition id and position are data from here on
+    r = cut_lineage(r, "ranged")
     return (r.withColumn("__pid", F.shiftright(F.col("__id"), LOW_BITS).cast("int"))
             .withColumn("__pos", F.col("__id").bitwiseAND(F.lit(LOW_MASK))))
 

@@ -67,10 +67,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never localCheckpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read
+    it back: lineage ends there (it survives executor loss — never
+    localCheckpoint), and later passes get column pruning and filter pushdown
+    on the saved table, which an RDD checkpoint would not give."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:
