@@ -167,16 +167,20 @@ def basic_metrics(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p")
 
 def threshold_sweep(df: DataFrame, y: str = "y", p: str = "p",
                     thresholds=SWEEP_THRESHOLDS) -> DataFrame:
-    """Metrics at each threshold (pred = p >= t) from ONE aggregate with
-    conditional counts per threshold; ``is_best`` marks the max F1 (lowest
-    threshold wins ties)."""
-    Y, Pc = F.col(y), F.col(p)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    """Metrics at each threshold (pred = p >= t). The data is first collapsed
+    to one row per distinct score (a two-aggregate group-by), then one
+    aggregate over that score table sums positives / negatives at or above
+    every threshold; ``is_best`` marks the max F1 (lowest threshold wins)."""
+    st = score_table(df, y, p)
+    aggs = [F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")]
     for i, t in enumerate(thresholds):
-        hit = Pc >= F.lit(t)
-        aggs += [F.count_if(hit & (Y == 1)).alias(f"tp{i}"), F.count_if(hit & (Y != 1)).alias(f"fp{i}"),
-                 F.count_if(~hit & (Y == 1)).alias(f"fn{i}"), F.count_if(~hit & (Y != 1)).alias(f"tn{i}")]
-    row = df.filter(Pc.isNotNull()).agg(*aggs)
+        hit = F.col("p") >= F.lit(t)
+        aggs += [F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0)).alias(f"tp{i}"),
+                 F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0)).alias(f"fp{i}")]
+    row = st.agg(*aggs).select(
+        "*", (F.col("n_pos") + F.col("n_neg")).alias("n"),
+        *[(F.col("n_pos") - F.col(f"tp{i}")).alias(f"fn{i}") for i in range(len(thresholds))],
+        *[(F.col("n_neg") - F.col(f"fp{i}")).alias(f"tn{i}") for i in range(len(thresholds))])
     items = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"),
                                F.col(f"fp{i}").alias("fp"), F.col(f"fn{i}").alias("fn"),
                                F.col(f"tn{i}").alias("tn"))
