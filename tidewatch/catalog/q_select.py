@@ -87,3 +87,59 @@ f AS (SELECT c.feature,
 def q_select_kbest_mi(spark, sf):
     c = connections(spark, sf, materialize=True)
     return fin(SE.rank_scores(SE.mutual_info(c, FEATS, "is_attack"), 5))
+
+
+# --- drift (PSI) and correlation ---------------------------------------------------------
+from ..operators import drift as DR  # noqa: E402
+
+_PSI_COLS = ["duration", "src_bytes", "dst_bytes", "serror_rate", "same_srv_rate"]
+_CUT = "1998-01-01 00:00:00"
+
+
+def _psi_sql():
+    edges = ", ".join(f"list_distinct(quantile_cont({q(c)}, [{', '.join(str(i / 10) for i in range(1, 10))}])) AS e_{c}"
+                      for c in _PSI_COLS)
+    parts = []
+    for c in _PSI_COLS:
+        b = (f"(SELECT count(*) FROM (SELECT unnest(e_{c}) AS e) z WHERE z.e < x.{q(c)})")
+        for side, cond in (("ref", f"ts < TIMESTAMP '{_CUT}'"), ("cur", f"ts >= TIMESTAMP '{_CUT}'")):
+            parts.append(f"SELECT '{c}' AS col, '{side}' AS side, {b} AS bucket FROM connections x, edges "
+                         f"WHERE {cond} AND x.{q(c)} IS NOT NULL")
+    return f""",
+edges AS (SELECT {edges} FROM connections WHERE ts < TIMESTAMP '{_CUT}'),
+lb AS ({' UNION ALL '.join(parts)}),
+c AS (SELECT col, bucket, count(*) FILTER (WHERE side = 'ref') AS n_ref,
+             count(*) FILTER (WHERE side = 'cur') AS n_cur FROM lb GROUP BY ALL),
+t AS (SELECT col, sum(n_ref) AS t_ref, sum(n_cur) AS t_cur FROM c GROUP BY col),
+p AS (SELECT c.col, greatest(CAST(n_ref AS DOUBLE) / t_ref, 1e-4) AS pe,
+             greatest(CAST(n_cur AS DOUBLE) / t_cur, 1e-4) AS pa FROM c JOIN t USING (col)),
+s AS (SELECT col AS "column", sum((pa - pe) * ln(pa / pe)) AS psi FROM p GROUP BY col)
+SELECT "column", psi, CASE WHEN psi > 0.25 THEN 'drift' WHEN psi > 0.1 THEN 'warning'
+                          ELSE 'metric' END AS severity FROM s"""
+
+
+@register("drift_psi", sql_fin(with_cte(CONN_CTE, _psi_sql()), ["psi"]))
+def q_drift_psi(spark, sf):
+    from pyspark.sql import functions as F
+    c = connections(spark, sf, materialize=True)
+    cut = F.lit(_CUT).cast("timestamp_ntz")
+    return fin(DR.psi(c.filter(F.col("ts") < cut), c.filter(F.col("ts") >= cut), _PSI_COLS))
+
+
+_CORR_COLS = ["duration", "src_bytes", "dst_bytes", "count", "srv_count", "serror_rate",
+              "rerror_rate", "same_srv_rate"]
+
+
+def _corr_sql():
+    comp = " AND ".join(f"{q(c)} IS NOT NULL" for c in _CORR_COLS)
+    parts = [f"SELECT '{a}' AS a, '{b}' AS b, CAST(1.0 AS DOUBLE) AS corr" if a == b else
+             f"SELECT '{a}' AS a, '{b}' AS b, corr(CAST({q(a)} AS DOUBLE), CAST({q(b)} AS DOUBLE))"
+             f" AS corr FROM cc" for a in _CORR_COLS for b in _CORR_COLS]
+    return f""",
+cc AS (SELECT * FROM connections WHERE {comp})
+{' UNION ALL '.join(parts)}"""
+
+
+@register("correlation", sql_fin(with_cte(CONN_CTE, _corr_sql()), ["corr"]))
+def q_correlation(spark, sf):
+    return fin(DR.correlation(connections(spark, sf), _CORR_COLS))
