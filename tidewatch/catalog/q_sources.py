@@ -7,14 +7,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.expressions import derive_label
-from ..operators import alerts as AL
 from ..operators import profile as P
 from ..plans.scoring import rule_scored
 from ..schemas import KDD_COLUMNS, KDD_NAMES, nsl_schema
 from ..session import scratch_path
 from ..sources import files as FI
 from ..sources import sinks as SK
-from ..sources.tables import connections, kdd_layout, risk_probability
+from ..sources.tables import connections, kdd_layout
 from .base import CONN_CTE, SCORED_CTE, fin, register, sql_fin, with_cte
 
 _SQL_TYPES = {"DoubleType()": "DOUBLE", "StringType()": "VARCHAR", "LongType()": "BIGINT",
@@ -181,5 +180,3 @@ def q_sink_capture(spark, sf):
     return fin(back.groupBy("capture_date").agg(F.count(F.lit(1)).alias("n"),
                                                F.count_if(F.col("prediction") == 1).alias("attacks")))
 
-
-__all__ = ["AL", "risk_probability"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts as AL
 from ..operators import windows as WI
-from ..plans.scoring import rule_scored
 from ..schemas import kdd_schema
 from ..session import scratch_path
 from ..sources.tables import connections, events, kdd_layout, risk_probability
@@ -146,5 +145,3 @@ def q_stream_source(spark, sf):
     q.awaitTermination()
     return fin(spark.read.parquet(sink).select(*OUT))
 
-
-__all__ = ["rule_scored"]
