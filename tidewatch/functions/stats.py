@@ -40,13 +40,14 @@ def quantile_exprs(c: str, probs, method: str = "exact") -> Column:
 
 
 def long_values(df: DataFrame, columns) -> DataFrame:
-    """(column, x double): every listed column as rows. Per-column statistics
-    then become a ``groupBy('column')`` with a handful of aggregate functions,
-    which stays inside whole-stage codegen, where one wide aggregate with
-    dozens of moment buffers per column falls back to interpreted mode."""
-    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
-                      for c in columns])
-    return df.select(F.explode(items).alias("s")).select("s.column", "s.x")
+    """(column, x double): every listed column as rows (Spark's ``unpivot``, one
+    ``Expand``). Per-column statistics then become a ``groupBy('column')`` with
+    a handful of aggregate functions, which stays inside whole-stage codegen,
+    where one wide aggregate with dozens of moment buffers per column falls
+    back to interpreted mode."""
+    cols = list(columns)
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    return typed.unpivot([], cols, "column", "x")
 
 
 def quantile_table(df: DataFrame, columns, probs, method: str = "exact") -> DataFrame:
@@ -86,10 +87,14 @@ def exact_quantiles(df: DataFrame, columns, probs, accuracy: int = BRACKET_ACCUR
     # convention of the interpolation whenever n > A
     d = 4.0 / accuracy
     ext = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-d, d)})
-    # pass 0: non-null count per column (cheap, one row per column)
-    counts = {r["column"]: r["n"] for r in lv.groupBy("column").agg(F.count("x").alias("n"))
-              .collect()}
     out = {c: [None] * len(probs) for c in columns}
+    if df.count() <= accuracy:
+        # the whole table has at most A rows (a footer read on saved tables)
+        counts = {c: accuracy for c in columns}
+    else:
+        # pass 0: non-null count per column (cheap, one row per column)
+        counts = {r["column"]: r["n"] for r in lv.groupBy("column")
+                  .agg(F.count("x").alias("n")).collect()}
     small = [c for c in columns if 0 < counts.get(c, 0) <= accuracy]
     large = [c for c in columns if counts.get(c, 0) > accuracy]
     if small:
