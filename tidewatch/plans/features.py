@@ -22,6 +22,7 @@ from ..operators import outliers as OU
 from ..operators import scaling as SC
 from ..operators import windows as WI
 from ..schemas import numeric_columns, string_columns
+from ..session import cut_lineage
 
 ROLLING_COLUMNS = ["src_bytes", "dst_bytes", "duration"]
 
@@ -78,7 +79,8 @@ class FeatureSpec:
             x = OU.apply(x, fences)
         x = FE.network_features(x)
         w = WI.rolling_window_size(x.count())
-        x = self._rolling(x, w)
+        # the remaining fits are separate passes: save the rolled table once
+        x = cut_lineage(self._rolling(x, w), "features_fit")
         pct = FE.fit_percentile_flags(x, numeric_columns(x, excl)[:5], method=cfg.quantile_method)
         x = FE.apply_percentile_flags(x, pct)
         x = FE.interactions(x)
