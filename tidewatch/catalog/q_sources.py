@@ -106,7 +106,7 @@ def q_scan_json_record(spark, sf):
 
 
 @register("scan_chunked", with_cte(KDD_CTE, """
-SELECT count(*) AS good_rows, 0 AS rejected_rows,
+SELECT count(*) AS good_rows, CAST(0 AS BIGINT) AS rejected_rows,
        count(*) FILTER (WHERE is_attack = 1) AS attacks FROM kddl"""))
 def q_scan_chunked(spark, sf):
     path = scratch_path(spark, "chunked")
