@@ -301,3 +301,34 @@ def test_bracketed_exact_quantiles_equal_numpy_with_atoms(spark):
     assert got["a"] == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
     b = np.array([float(v) * 3 for i, v in enumerate(vals) if i % 7])
     assert got["b"] == pytest.approx(list(np.quantile(b, probs)), abs=1e-12)
+
+
+def test_scan_auto_rejects_empty_and_unlabelled(spark):
+    path = scratch_path(spark, "auto_kdd_empty")
+    os.makedirs(local_path(path), exist_ok=True)
+    open(os.path.join(local_path(path), "x.csv"), "w").close()
+    with pytest.raises(FI.ScanError):
+        FI.scan_auto(spark, path)
+    gen = scratch_path(spark, "generic")
+    spark.createDataFrame([(1, 2.0)], "a int, b double").write.option("header", True).csv(gen)
+    with pytest.raises(FI.ScanError):
+        FI.scan_auto(spark, gen)
+
+
+def test_unknown_sink_format_and_encoding_are_rejected(spark):
+    from tidewatch.sources import sinks as SK
+    df = spark.createDataFrame([("tcp",)], "p string")
+    with pytest.raises(ValueError):
+        SK.write_table(df, scratch_path(spark, "x"), "xlsx")
+    with pytest.raises(ValueError):
+        EN.encode(df, EN.fit_dictionary(df, ["p"]), "target")
+
+
+def test_psi_zero_for_same_data_and_positive_for_shift(spark):
+    from tidewatch.operators import drift as DR
+    rng = np.random.default_rng(2)
+    a = spark.createDataFrame([(float(v),) for v in rng.normal(size=3000)], "x double")
+    b = spark.createDataFrame([(float(v) + 1.0,) for v in rng.normal(size=3000)], "x double")
+    same = DR.psi(a, a, ["x"]).first()
+    assert same["psi"] == pytest.approx(0.0, abs=1e-12) and same["severity"] == "metric"
+    assert DR.psi(a, b, ["x"]).first()["severity"] == "drift"
