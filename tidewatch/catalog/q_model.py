@@ -124,3 +124,21 @@ def q_process_features(spark, sf):
     t = trained(spark, sf)
     x = t.spec.transform(t.test, t.state)
     return x.select("conn_id", *t.state.features)
+
+
+@register("score_stream_model")
+def q_score_stream_model(spark, sf):
+    """The fitted feature state + model applied to a file stream in
+    ``foreachBatch`` (the same ``score_batch`` code; row-order features are
+    per micro-batch, as in the reference's streaming mode)."""
+    from ..streaming import scoring as SS
+    t = trained(spark, sf)
+    c = connections(spark, sf)
+    src = scratch_path(spark, "model_stream_src")
+    c.repartition(4).write.mode("overwrite").parquet(src)
+    sink = scratch_path(spark, "model_stream_sink")
+    SS.score_stream(spark, src, c.schema, lambda b: score_batch(b, t, model_version="gbt-small"),
+                    sink, scratch_path(spark, "model_stream_ckpt"), per_batch=True,
+                    max_files_per_trigger=2)
+    return spark.read.parquet(sink).select("conn_id", "prediction", "probability",
+                                           "threat_level", "error")
