@@ -115,14 +115,22 @@ def auc_value(df: DataFrame, y: str = "y", p: str = "p") -> float | None:
     return auc_roc(df, y, p).first()["auc"]
 
 
+def _areas(cum: DataFrame) -> list:
+    """auc and average precision from ONE aggregate over the descending
+    cumulative table. With fp = negatives scoring >= p, the negatives scoring
+    <= p are N - fp + neg, so sum pos * (neg_le - neg / 2) = sum pos * (neg / 2
+    - fp) + P * N; both numerators are sums of (half-)integers, exact."""
+    a = F.sum(F.col("pos") * (F.col("neg") * 0.5 - F.col("fp")))
+    P, N = F.sum("pos"), F.sum("neg")
+    auc = F.try_divide(a + P.cast("double") * N, P.cast("double") * N)
+    ap = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))) / P
+    return [auc.alias("auc"), ap.alias("average_precision")]
+
+
 def auc_roc(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Exact area (ties count one half): sum pos * (neg below + neg / 2) / (P N)."""
-    st = score_table(df, y, p)
-    cum = prefix_sums(st, [F.col("p").asc()], {"neg_le": F.col("neg")})
-    area = cum.agg(F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") * 0.5)).alias("a"),
-                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return area.select(F.try_divide(F.col("a"), F.col("P").cast("double") * F.col("N"))
-                       .alias("auc"))
+    cum = _cumulative_desc(score_table(df, y, p))
+    return cum.agg(*_areas(cum)).select("auc")
 
 
 def pr_curve(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -141,17 +149,17 @@ def pr_curve(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
 
 def average_precision(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Step-wise sum of (recall increase) * precision over descending scores."""
-    st = score_table(df, y, p)
-    cum = _cumulative_desc(st)
-    return cum.agg((F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-                    / F.sum("pos")).alias("average_precision"))
+    cum = _cumulative_desc(score_table(df, y, p))
+    return cum.agg(*_areas(cum)).select("average_precision")
 
 
 def basic_metrics(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p") -> DataFrame:
     """accuracy, support-weighted precision / recall / f1, auc, average precision.
-    Counting metrics in one aggregate; the two curve areas are scalars."""
-    auc = auc_value(df, y, p)
-    ap = average_precision(df, y, p).first()["average_precision"]
+    Counting metrics in one aggregate; both curve areas from one running-sum
+    table and one aggregate."""
+    areas = _cumulative_desc(score_table(df, y, p))
+    r = areas.agg(*_areas(areas)).first()
+    auc, ap = r["auc"], r["average_precision"]
     c = counts(df, y, pred)
     tn, fp, fn, tp, n = (F.col(k) for k in ("tn", "fp", "fn", "tp", "n"))
     p0, r0 = _div0(tn, tn + fn), _div0(tn, tn + fp)
