@@ -99,7 +99,9 @@ def recommended_action(level="threat_level") -> Column:
 
 
 def prediction_label(pred="prediction") -> Column:
-    return F.when(col(pred) == 1, F.lit("Attack")).otherwise(F.lit("Normal"))
+    """1 -> 'Attack', other values -> 'Normal'; no prediction -> NULL."""
+    return F.when(col(pred).isNull(), F.lit(None).cast("string")) \
+        .when(col(pred) == 1, F.lit("Attack")).otherwise(F.lit("Normal"))
 
 
 def prediction_from_probability(p="probability", threshold: float = 0.5) -> Column:

@@ -63,16 +63,15 @@ def score_batch(df: DataFrame, t: Trained, threshold: float = 0.5,
     carried = df.select(*df.columns, *[F.col(c).alias(r) for c, r in raw.items()])
     x = t.spec.transform(carried, t.state, drop_outliers=False, rolling=rolling)
     x = x.withColumn("error", input_problems(x, t.state.features))
-    ok = x.filter(F.col("error").isNull())
-    bad = x.filter(F.col("error").isNotNull())
-    scored = AL.apply_bands(MO.predict(t.model, ok, threshold), "probability", threshold,
-                            pred="prediction")
-    rejected = (bad.withColumn("prediction", F.lit(None).cast("int"))
-                .withColumn("probability", F.lit(None).cast("double"))
-                .withColumn("prediction_label", F.lit(None).cast("string"))
-                .withColumn("confidence", F.lit(None).cast("string"))
-                .withColumn("threat_level", F.lit(None).cast("string")))
-    out = scored.unionByName(rejected, allowMissingColumns=True)
+    # one pass: rejected rows are predicted on neutral values and then masked,
+    # instead of a valid/rejected split whose two branches would each
+    # recompute the feature chain
+    ok = F.col("error").isNull()
+    safe = x.withColumns({f: F.when(ok, F.col(f)).otherwise(F.lit(0.0)) for f in t.state.features})
+    pred = MO.predict(t.model, safe, threshold)
+    pred = pred.withColumns({"probability": F.when(ok, F.col("probability")),
+                             "prediction": F.when(ok, F.col("prediction"))})
+    out = AL.apply_bands(pred, "probability", threshold, pred="prediction")
     keep = [F.col(r).alias(c) for c, r in raw.items()] + [
         "prediction", "prediction_label", "probability", "confidence", "threat_level", "error"]
     return out.select(*keep).withColumn("timestamp", F.lit(as_of).cast("timestamp_ntz")) \
