@@ -332,3 +332,18 @@ def test_psi_zero_for_same_data_and_positive_for_shift(spark):
     same = DR.psi(a, a, ["x"]).first()
     assert same["psi"] == pytest.approx(0.0, abs=1e-12) and same["severity"] == "metric"
     assert DR.psi(a, b, ["x"]).first()["severity"] == "drift"
+
+
+def test_duplicates_and_value_counts_match_pandas(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1.0, 2.0, None]), rng.randint(0, 2))
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "s string, x double, k int")
+    pdf = pd.DataFrame(rows, columns=["s", "x", "k"])
+    got = {r["metric"]: r["value"] for r in P.duplicate_rows(df).collect()}
+    assert got["duplicate_count"] == pdf.duplicated().sum()
+    vc = {r["value"]: r["n"] for r in P.value_counts(df, "s").collect() if r["value"] is not None}
+    assert vc == pdf["s"].value_counts().to_dict()
+    nulls = {r["column"]: r["value"] for r in P.null_profile(df).collect() if r["metric"] == "null_pct"}
+    exp = (pdf.isnull().sum() / len(pdf) * 100).round(2).to_dict()
+    assert nulls == pytest.approx(exp)

@@ -115,9 +115,9 @@ def duplicate_rows(df: DataFrame, threshold: float = 0.1) -> DataFrame:
     """Rows equal to an earlier row (NULLs equal), exact: group by all columns
     with map-side partial counts."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    g = df.groupBy(*cols).agg(_n().alias("k"))
-    dup = F.coalesce(F.sum(F.col("k") - 1), F.lit(0))
-    n = F.coalesce(F.sum("k"), F.lit(0))
+    g = df.groupBy(*cols).agg(_n().alias("__dup_n")).select("__dup_n")
+    dup = F.coalesce(F.sum(F.col("__dup_n") - 1), F.lit(0))
+    n = F.coalesce(F.sum("__dup_n"), F.lit(0))
     return run_metrics(g, [
         Metric("duplicate_rows", "*", "duplicate_count", dup, _sev(dup > n * threshold, "warning")),
         Metric("duplicate_rows", "*", "duplicate_pct",
