@@ -82,3 +82,14 @@ def test_late_events_beyond_watermark_are_dropped(spark):
     # the second arrival is days behind the watermark: none of its periods appear
     assert per.filter(F.col("period_start") < F.lit("2024-01-02").cast("timestamp_ntz")).count() == 0
     assert per.agg(F.sum("metric")).first()[0] == on_time.count()
+
+
+def test_tuning_result_feeds_training(spark, trained):
+    from tidewatch.operators import sampling as SA
+    folded = SA.fold_stratified(trained.train, "is_attack", "conn_id", 2, 42)
+    res = MO.cross_validate_grid(folded, trained.state.features,
+                                 MO.grid_combos({"max_depth": [2, 3], "n_estimators": [3]}),
+                                 "fold", "is_attack", ModelConfig(n_estimators=3), 2, "grid")
+    cfg = MO.best_config(res, ModelConfig(n_estimators=3))
+    assert cfg.max_depth in (2, 3) and cfg.n_estimators == 3
+    assert res.count() == 2 and res.filter(F.col("mean_auc") > 0.5).count() == 2
