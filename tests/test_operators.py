@@ -347,3 +347,18 @@ def test_duplicates_and_value_counts_match_pandas(spark):
     nulls = {r["column"]: r["value"] for r in P.null_profile(df).collect() if r["metric"] == "null_pct"}
     exp = (pdf.isnull().sum() / len(pdf) * 100).round(2).to_dict()
     assert nulls == pytest.approx(exp)
+
+
+def test_fence_bounds_push_into_scan_and_reject_nan(spark):
+    path = scratch_path(spark, "nan_parquet")
+    spark.createDataFrame([(float("nan"),), (1.0,), (None,), (2.0,), (3.0,), (250.0,)],
+                          "value double").write.parquet(path)
+    raw = spark.read.parquet(path)
+    st = OU.fit_iqr(raw, ["value"])                     # fit ignores NaN
+    q1, q3 = np.quantile([1.0, 2.0, 3.0, 250.0], [0.25, 0.75])
+    r = st.first()
+    assert (r["lower"], r["upper"]) == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    out = OU.apply(raw, st)
+    assert sorted(x["value"] for x in out.collect()) == [1.0, 2.0, 3.0]
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(value" in plan and "LessThanOrEqual(value" in plan

@@ -65,7 +65,7 @@ SELECT event_id, value FROM events, q
 WHERE value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)""",
     ["value"], ["event_id"]))
 def q_fence_iqr(spark, sf):
-    e = events(spark, sf)
+    e = events(spark, sf, normalize_nan=False)   # bounds push into the scan
     state = OU.fit_iqr(e, ["value"], mode="joint")
     return fin(OU.apply(e, state).select("event_id", "value"))
 
@@ -97,7 +97,7 @@ WITH s AS (SELECT avg(value) AS m, stddev_samp(value) AS sd FROM events)
 SELECT event_id, value FROM events, s WHERE abs((value - m) / sd) < 3.0""",
     ["value"], ["event_id"]))
 def q_fence_zscore(spark, sf):
-    e = events(spark, sf)
+    e = events(spark, sf, normalize_nan=False)   # bounds push into the scan
     state = OU.fit_zscore(e, ["value"], threshold=3.0)
     return fin(OU.apply(e, state).select("event_id", "value"))
 

@@ -46,7 +46,9 @@ def long_values(df: DataFrame, columns) -> DataFrame:
     where one wide aggregate with dozens of moment buffers per column falls
     back to interpreted mode."""
     cols = list(columns)
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    # NaN counts as missing (pandas semantics) even on un-normalised input
+    typed = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
+                        for c in cols])
     return typed.unpivot([], cols, "column", "x")
 
 

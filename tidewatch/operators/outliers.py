@@ -5,7 +5,11 @@ filter. ``sequential`` (the reference's definition): each column's bounds are
 computed on the rows that survived the previous columns — one small job per
 column. Both return bounds as a state table ``(column, lower, upper)``; the
 filter uses the bounds as literals, so Catalyst pushes it into the parquet
-scan. A NULL fails the filter (a NaN comparison is false in pandas).
+scan. A NULL fails the filter (a NaN comparison is false in pandas); in Spark
+NaN sorts above every number, so NaN fails ``x <= upper`` too — the filter may
+therefore run on raw scan columns, before any NaN->NULL projection, which is
+what lets the bounds reach the reader. Fits ignore NaN (long-form statistics
+treat it as missing).
 
 At scoring time use ``flag`` instead of ``apply``: rows are marked, not dropped.
 """

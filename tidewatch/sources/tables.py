@@ -100,8 +100,12 @@ def _connections(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .withColumn("is_attack", (at != F.lit("normal")).cast("int")))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nan_to_null(load(spark, sf_dir, "events"))
+def events(spark: SparkSession, sf_dir: str, normalize_nan: bool = True) -> DataFrame:
+    """The event table. ``normalize_nan=False`` keeps raw scan columns so that
+    literal filters (fitted fence bounds) reach the parquet reader; NaN fails
+    such bound filters exactly as NULL does."""
+    raw = load(spark, sf_dir, "events")
+    return nan_to_null(raw) if normalize_nan else raw
 
 
 def risk_probability(df: DataFrame) -> DataFrame:
