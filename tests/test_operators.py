@@ -362,3 +362,18 @@ def test_fence_bounds_push_into_scan_and_reject_nan(spark):
     assert sorted(x["value"] for x in out.collect()) == [1.0, 2.0, 3.0]
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(value" in plan and "LessThanOrEqual(value" in plan
+
+
+def test_three_way_split_sizes(spark):
+    rows = [(i, 1 if i % 5 == 0 else 0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, y int")
+    s = SA.split_stratified(df, "y", "k", 0.8, 42, validation_frac=0.2)
+    got = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    for y, n in ((0, 800), (1, 200)):
+        n_train = math.floor(n * 0.8 + 0.5)
+        n_val = math.floor(n_train * 0.2 + 0.5)
+        assert got[(y, "test")] == n - n_train and got[(y, "validation")] == n_val
+        assert got[(y, "train")] == n_train - n_val
+    two = SA.split_stratified(df, "y", "k", 0.8, 42).filter(F.col("split") == "test")
+    three = s.filter(F.col("split") == "test")
+    assert two.select("k").exceptAll(three.select("k")).count() == 0   # same test rows

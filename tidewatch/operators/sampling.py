@@ -25,14 +25,20 @@ def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
 
 
 def split_stratified(df: DataFrame, label: str = "is_attack", key: str = "conn_id",
-                     train_frac: float = 0.8, seed: int = 42) -> DataFrame:
-    """Adds ``split`` = 'train' / 'test'."""
+                     train_frac: float = 0.8, seed: int = 42,
+                     validation_frac: float = 0.0) -> DataFrame:
+    """Adds ``split`` = 'train' / 'test' (and 'validation' when
+    ``validation_frac`` > 0: the last floor(n_train * frac + 0.5) of each
+    label's train ranks — a second stratified split without a second ranking)."""
     r = _ranked(df, label, key, seed)
     sizes = r.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     r = join_small(r, sizes, [label])
     n_train = F.floor(F.col("__n") * F.lit(float(train_frac)) + F.lit(0.5))
-    return r.withColumn("split", F.when(F.col("__rank") <= n_train, "train").otherwise("test")) \
-        .drop("__rank", "__n")
+    n_val = F.floor(n_train * F.lit(float(validation_frac)) + F.lit(0.5))
+    split = F.when(F.col("__rank") > n_train, "test")
+    if validation_frac > 0:
+        split = split.when(F.col("__rank") > n_train - n_val, "validation")
+    return r.withColumn("split", split.otherwise("train")).drop("__rank", "__n")
 
 
 def fold_stratified(df: DataFrame, label: str = "is_attack", key: str = "conn_id",

@@ -30,18 +30,18 @@ class Trained:
 def train(df: DataFrame, spec: FeatureSpec = FeatureSpec(), cfg: Config = Config(),
           model_cfg: ModelConfig | None = None) -> Trained:
     mc = model_cfg or cfg.model
+    # one ranking: train / validation (early-stopping slice of train) / test
     split = SA.split_stratified(df, spec.target, spec.key, 1 - cfg.data.test_size,
-                                cfg.data.random_state).cache()
-    raw_train = split.filter(F.col("split") == "train").drop("split")
+                                cfg.data.random_state,
+                                validation_frac=cfg.training.validation_split).cache()
+    raw_train = split.filter(F.col("split") != "test") \
+        .withColumn("is_validation", F.col("split") == "validation").drop("split")
     raw_test = split.filter(F.col("split") == "test").drop("split")
+    # the boolean flag rides through the chain (features are numeric columns)
     state, x = spec.fit(raw_train)
-    # second split of train: validation rows for the early-stopping check
-    val = SA.split_stratified(x, spec.target, spec.key, 1 - cfg.training.validation_split,
-                              cfg.data.random_state + 1)
-    val = val.withColumn("is_validation", F.col("split") == "test").drop("split").cache()
-    model = MO.fit_boosted_trees(val, state.features, spec.target, mc,
+    model = MO.fit_boosted_trees(x, state.features, spec.target, mc,
                                  validation_col="is_validation")
-    return Trained(model, spec, state, val, raw_test)
+    return Trained(model, spec, state, x, raw_test)
 
 
 def input_problems(df: DataFrame, features: list[str]) -> Column:
