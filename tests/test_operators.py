@@ -377,3 +377,11 @@ def test_three_way_split_sizes(spark):
     two = SA.split_stratified(df, "y", "k", 0.8, 42).filter(F.col("split") == "test")
     three = s.filter(F.col("split") == "test")
     assert two.select("k").exceptAll(three.select("k")).count() == 0   # same test rows
+
+
+def test_attack_family_mapping(spark):
+    from tidewatch.functions.expressions import attack_family
+    df = spark.createDataFrame([("neptune",), ("Smurf ",), ("warezclient",), ("normal",),
+                                ("r2l",), ("zeroday",), (None,)], "attack_type string")
+    got = [r[0] for r in df.select(attack_family("attack_type")).collect()]
+    assert got == ["dos", "dos", "r2l", "normal", "r2l", "unknown", None]

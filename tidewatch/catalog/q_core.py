@@ -314,3 +314,25 @@ _net_query("host_connection_density", ["host_connection_density"],
            'CAST(srv_count AS DOUBLE) / ("count" + 1) AS host_connection_density',
            frame=lambda c: c.withColumn("dst_host_count", F.col("count"))
            .withColumn("dst_host_srv_count", F.col("srv_count")))
+
+
+# --- attack families ------------------------------------------------------------------
+def _family_sql():
+    from ..functions.expressions import ATTACK_FAMILIES, FAMILIES
+    pairs = dict(ATTACK_FAMILIES)
+    pairs.update({f: f for f in FAMILIES})
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs.items())
+    return with_cte(CONN_CTE, f"""
+SELECT family, count(*) AS n FROM (
+  SELECT CASE WHEN attack_type IS NULL THEN NULL
+              ELSE coalesce(CASE lower(trim(attack_type)) {whens} END, 'unknown') END AS family
+  FROM connections) f
+GROUP BY family""")
+
+
+@register("attack_family", sql_fin(_family_sql(), ints=["n"]))
+def q_attack_family(spark, sf):
+    from ..functions.expressions import attack_family
+    c = connections(spark, sf)
+    return fin(c.groupBy(attack_family("attack_type").alias("family"))
+               .agg(F.count(F.lit(1)).alias("n")))

@@ -107,3 +107,27 @@ def prediction_label(pred="prediction") -> Column:
 def prediction_from_probability(p="probability", threshold: float = 0.5) -> Column:
     return F.when(col(p).isNull(), F.lit(None).cast("int")).otherwise(
         (col(p) >= F.lit(threshold)).cast("int"))
+
+
+# Attack name -> family (the KDD Cup 1999 category assignment of
+# its 22 training attack names; family names as the reference spells them).
+ATTACK_FAMILIES = {
+    "back": "dos", "land": "dos", "neptune": "dos", "pod": "dos", "smurf": "dos",
+    "teardrop": "dos",
+    "ipsweep": "probe", "nmap": "probe", "portsweep": "probe", "satan": "probe",
+    "ftp_write": "r2l", "guess_passwd": "r2l", "imap": "r2l", "multihop": "r2l",
+    "phf": "r2l", "spy": "r2l", "warezclient": "r2l", "warezmaster": "r2l",
+    "buffer_overflow": "u2r", "loadmodule": "u2r", "perl": "u2r", "rootkit": "u2r",
+}
+FAMILIES = ["normal", "dos", "probe", "r2l", "u2r"]
+
+
+def attack_family(attack_type="attack_type") -> Column:
+    """Family of an attack name (a family name maps to itself); unknown names
+    give 'unknown', NULL stays NULL. A literal map lookup: a projection."""
+    pairs = dict(ATTACK_FAMILIES)
+    pairs.update({f: f for f in FAMILIES})
+    m = F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(v))])
+    t = F.lower(F.trim(col(attack_type)))
+    return F.when(t.isNull(), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.try_element_at(m, t), F.lit("unknown")))
