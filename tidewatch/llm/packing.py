@@ -4,6 +4,9 @@ grouping genetic algorithm, run as islands over blocks of pieces."""
 from __future__ import annotations
 
 import random
+import re
+import unicodedata
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -17,64 +20,166 @@ GENERATIONS = 6
 POPULATION = 6
 ELITES = 2             # solutions that leave an island for the next one
 EOS = 0
-CACHED_WORDS = 250_000
+CACHED_WORDS = 600_000  # of words and of runs of letters, in a Python worker
 
 
 # --------------------------------------------------------------- tokenising
 
-def _pieces_of(batches, tokenizer_path, capacity, eos, with_ids):
-    """Arrow batches (rid, doc_id, text) -> piece rows.
+class WordIds:
+    """Token ids of texts, word by word, with the ids of words remembered.
 
-    White space always ends a word of this vocabulary, so ids are looked up by
-    word and only words not seen before are sent to the tokenizer. Splitting is
-    at ASCII white space; all else stays inside a word for the tokenizer.
+    White space always parts words in this vocabulary, and so does the step from
+    a letter or digit to the ASCII marks that end a word; ASCII letters count in
+    lower case. Texts are cut there as one byte buffer and each different word
+    is looked up once. New words of letters go straight to the tokenizer's
+    merges, many in one text, whose ids are parted at the tokens that end a
+    word; any other new word goes through the whole tokenizer.
     """
+
+    # Bytes of white space, of ASCII marks, of ASCII letters and digits.
+    SPACE, MARK, PLAIN, OTHER = 0, 1, 2, 3
+    LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+
+    def __init__(self, path):
+        import numpy as np
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.kind = np.array([
+            self.SPACE if b in b" \t\n\r\x0b\x0c" else self.OTHER if b >= 0x80 or b < 0x20 or b == 0x7F
+            else self.PLAIN if chr(b).isalnum() else self.MARK for b in range(256)], np.uint8)
+        self.words: dict[bytes, bytes] = {}
+
+    def cut(self, texts: list[bytes]):
+        """(words as an Arrow array, words of each text) in order."""
+        import numpy as np
+        import pyarrow as pa
+        flat = b" ".join([*texts, b""])
+        if b"\xcc" not in flat and b"\xcd" not in flat:     # no combining mark for an ASCII letter
+            flat = flat.translate(self.LOWER)
+        buf = np.frombuffer(flat, np.uint8)
+        kind = self.kind[buf]
+        full = kind != self.SPACE
+        start = full.copy()
+        start[1:] &= ~full[:-1]
+        mark = kind == self.MARK
+        first, last = mark.copy(), mark.copy()
+        first[1:] &= ~mark[:-1]
+        last[:-1] &= ~mark[1:]
+        first, last = np.flatnonzero(first), np.flatnonzero(last)
+        first, last = first[first > 1], last[first > 1]
+        before = buf[first - 1]
+        letter = (kind[first - 1] == self.PLAIN) | (                # or a letter of Latin-1
+            (before >= 0x80) & (buf[first - 2] == 0xC3) & (before != 0x97) & (before != 0xB7))
+        start[first[letter & ~full[np.minimum(last + 1, len(buf) - 1)]]] = True
+        at = np.flatnonzero(start[full])
+        body = buf[full]
+        words = pa.Array.from_buffers(pa.binary(), len(at), [
+            None, pa.py_buffer(np.append(at, len(body)).astype(np.int32)), pa.py_buffer(body)])
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        return words, np.diff(np.searchsorted(np.flatnonzero(start), ends), prepend=0)
+
+    def of(self, texts: list[bytes]):
+        """Ids of the texts, end to end as one uint32 array, and the count of each."""
+        import numpy as np
+        words, count = self.cut(texts)
+        coded = words.dictionary_encode()
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        unique = coded.dictionary.to_pylist()
+        got = list(map(self.words.get, unique))
+        self.learn([w for w, g in zip(unique, got) if g is None])
+        got = [self.words[w] if g is None else g for w, g in zip(unique, got)]
+        ids = np.frombuffer(b"".join(got), "<u4")
+        size = np.array([len(g) for g in got], np.int64) // 4
+        place = np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        n = size[which]
+        ends = np.cumsum(n)
+        out = ids[np.repeat(place[which] - (ends - n), n) + np.arange(n.sum())]
+        by_text = np.append(0, ends)[np.cumsum(count)]
+        return out, np.diff(by_text, prepend=0)
+
+    def learn(self, words):
+        import numpy as np
+        keys, runs, alone = [], [], []
+        for w in words:
+            t = w.decode()
+            low = t if t.islower() else t.lower()
+            if low.isalpha() and (t.isascii() or (len(low) == len(t) and "\u03c3" not in low and "\u03c2" not in low
+                                                  and unicodedata.is_normalized("NFC", low)
+                                                  and unicodedata.is_normalized("NFC", t))):
+                keys.append(w)
+                runs.append(low)
+            else:
+                alone.append(w)
+        parts = [slice(at, at + 100) for at in range(0, len(runs), 100)]
+        done = self.merges.encode_batch_fast([" ".join(runs[p]) for p in parts], add_special_tokens=False)
+        for p, enc in zip(parts, done):
+            ids = np.array(enc.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(keys[p]):           # not one run of tokens a word
+                alone += keys[p]
+                continue
+            flat, lo = ids.tobytes(), 0
+            for w, hi in zip(keys[p], (4 * ends).tolist()):
+                self.words[w] = flat[lo:hi]
+                lo = hi
+        for w, enc in zip(alone, self.tok.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)):
+            self.words[w] = np.array(enc.ids, "<u4").tobytes()
+
+
+_WORD_IDS: dict[str, WordIds] = {}      # by tokenizer file; a worker's tasks share it
+
+
+def _slices(texts, most=8 << 20):
+    """Runs of texts of ``most`` bytes in all, or of one longer text."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= most):
+            size += len(texts[to])
+            to += 1
+        yield at, to
+        at = to
+
+
+def _pieces_of(batches, tokenizer_path, capacity, eos, with_ids):
+    """Arrow batches (rid, doc_id, text) -> piece rows."""
     import os
     import zlib
-    from array import array
 
     import numpy as np
     import pyarrow as pa
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path)
-    tok.encode_special_tokens = True      # their strings in a text are ordinary text
-    known: dict[bytes, bytes] = {}
-    end = array("I", [eos]).tobytes()
-
-    def encode(words):
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            got = tok.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
-            for w, e in zip(some, got):
-                known[w] = array("I", e.ids).tobytes()
-
-    def ids_of(text):
-        words = text.split()
-        try:
-            return b"".join(map(known.__getitem__, words)) + end
-        except KeyError:
-            encode(words)
-            return b"".join(map(known.__getitem__, words)) + end
-
+    if tokenizer_path not in _WORD_IDS:
+        _WORD_IDS[tokenizer_path] = WordIds(tokenizer_path)
+    ids_of = _WORD_IDS[tokenizer_path].of
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
-        for i, text in enumerate(texts):
-            flat, wide = ids_of(text or b""), 4 * capacity
-            for k, at in enumerate(range(0, len(flat), wide)):
-                part = flat[at:at + wide]
-                rows.append(i)
-                piece.append(k)
-                start.append(k * capacity)
-                length.append(len(part) // 4)
-                crc.append(zlib.crc32(part))
-                if with_ids:
-                    ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+        for lo, hi in _slices(texts):
+            flat, count = ids_of(texts[lo:hi])
+            ends = np.cumsum(count)
+            for i, (a, b) in enumerate(zip((ends - count).tolist(), ends.tolist()), lo):
+                own = np.append(flat[a:b], np.uint32(eos))
+                for k, at in enumerate(range(0, len(own), capacity)):
+                    part = own[at:at + capacity]
+                    rows.append(i)
+                    piece.append(k)
+                    start.append(at)
+                    length.append(len(part))
+                    crc.append(zlib.crc32(part.tobytes()))
+                    if with_ids:
+                        ids.append(part.astype(np.int32))
         take = pa.array(rows, pa.int64())
         cols = [batch.column(RID).take(take), batch.column("doc_id").take(take),
                 pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
@@ -150,26 +255,33 @@ def best_fit(bins, items, sizes, capacity):
 def replace(bins, items, sizes, capacity):
     """Swap one or two members of a bin for a larger item of ``items`` that still
     fits, so that bins fill up and smaller items are left; returns those left."""
-    left = sorted(items, key=lambda i: -sizes[i])
+    left = sorted(items, key=lambda i: sizes[i])
+    have = [sizes[i] for i in left]
     for members in bins:
+        if not left:
+            break
         room = capacity - sum(sizes[i] for i in members)
-        if not room or not left:
+        if not room:
             continue
         outs = [(i,) for i in members]
-        outs += [(a, b) for k, a in enumerate(members) for b in members[k + 1:]] if len(members) <= 8 else []
+        if len(members) <= 8:
+            outs += [(a, b) for k, a in enumerate(members) for b in members[k + 1:]]
         gain, swap = 0, None
-        for at, i in enumerate(left):
-            for out in outs:
-                more = sizes[i] - sum(sizes[o] for o in out)
-                if gain < more <= room:
-                    gain, swap = more, (at, out)
-            if gain == room:
-                break
+        for out in outs:
+            gone = sum(sizes[o] for o in out)
+            at = bisect_right(have, gone + room) - 1      # the largest that fits
+            if at >= 0 and have[at] - gone > gain:
+                gain, swap = have[at] - gone, (at, out)
+                if gain == room:
+                    break
         if swap:
             at, out = swap
-            members[:] = [i for i in members if i not in out] + [left[at]]
-            left[at:at + 1] = out
-            left.sort(key=lambda i: -sizes[i])
+            members[:] = [i for i in members if i not in out] + [left.pop(at)]
+            have.pop(at)
+            for o in out:
+                to = bisect_right(have, sizes[o])
+                have.insert(to, sizes[o])
+                left.insert(to, o)
     return left
 
 
