@@ -45,26 +45,100 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return out
 
 
-def unsettled(entries: DataFrame, keys: DataFrame, components: DataFrame, block: int) -> DataFrame | None:
-    """What a star round leaves open: the members of buckets that hold more than
-    one component, dealt into pairs of blocks. None if there are no such buckets.
-
-    ``entries(key, node)``; ``keys(key)``: buckets of more than two nodes;
-    ``components(node, component)``. Returns (key, i, j, blk, node, component): the
-    rows of one (key, i, j) are blocks i and j of that bucket, ``block`` nodes
-    each at the mean, so a bucket of any size is compared exactly in tasks of
-    bounded size. Buckets in one piece, which groups of copies make, are done.
+STAR_ROUNDS = 2         # of new pivots, before what is left is compared in blocks
+
+
+def settle(entries: DataFrame, wide: DataFrame, tested: DataFrame, links: DataFrame, confirm,
+           finish, block: int, rounds: int = STAR_ROUNDS) -> DataFrame:
+    """Components of the nodes of buckets, when the first star of every bucket
+    has been confirmed.
+
+    ``entries(key, node)``; ``wide(key)``: buckets of more than two nodes;
+    ``tested(a, b)``, ``links(a, b)``: pairs compared so far and those that hold.
+    A bucket in one piece is done, which buckets of copies are at once. In each
+    of the others a pivot drawn by hash meets the members outside its component
+    (``confirm(pairs) -> links``): a row a member. What stays open after
+    ``rounds`` of that is compared exactly by ``finish(rows) -> links`` in pairs
+    of blocks, as ``block_pairs`` deals them.
     """
-    inside = (entries.join(sized(keys, 16), "key").join(components, "node", "left")
-              .select("key", "node", F.coalesce("component", "node").alias("component")).distinct())
-    mixed = cut_lineage(inside.groupBy("key").agg(
-        F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("m"))
-        .where("c1 <> c2").select("key", "m"), "mixed")
-    if mixed.isEmpty():
-        return None
-    return (inside.join(sized(mixed, 24), "key")
-            .withColumn("blks", F.expr(f"cast(ceil(m / {block}.0) AS int)"))
-            .withColumn("blk", F.expr("cast(pmod(xxhash64(node), blks) AS int)"))
-            .withColumn("other", F.explode(F.expr("sequence(0, blks - 1)")))
-            .select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
+    comp = cut_lineage(connected_components(links), "components")
+    rows = entries.join(sized(wide, 16), "key").distinct()
+    for r in range(rounds + 1):
+        rows = _mixed(rows.select("key", "node"), comp)
+        if rows.isEmpty():
+            return comp
+        if r == rounds:
+            links = links.unionByName(cut_lineage(finish(block_pairs(rows, block)), "links"))
+        else:
+            pivot = rows.groupBy("key").agg(F.min(F.struct(
+                F.xxhash64("node", "key", F.lit(r)), "node", "component")).alias("p"))
+            pairs = (rows.join(pivot, "key").where("component <> p.component")
+                     .select(F.greatest("node", "p.node").alias("a"), F.least("node", "p.node").alias("b"))
+                     .distinct())
+            pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = tested.unionByName(pairs)
+            links = links.unionByName(confirm(pairs))
+        comp = cut_lineage(connected_components(links), "components")
+    return comp
+
+
+def _mixed(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, node, component) of the buckets that hold more than one component."""
+    rows = rows.join(comp, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
+    open_ = cut_lineage(rows.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+                        .where("c1 <> c2").select("key"), "open")
+    return cut_lineage(rows.join(sized(open_, 16), "key"), "mixed")
+
+
+def block_pairs(rows: DataFrame, block: int) -> DataFrame:
+    """Deal the members of buckets into pairs of blocks of ``block`` nodes at the
+    mean: those outside a bucket's largest component against it and against each
+    other. Columns key, i, j (a task), blk (i or j), node, component."""
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
+    most = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("m"))
+            .select("key", F.col("big.component").alias("big"),
+                    F.expr(f"cast(ceil(big.n / {block}.0) AS int)").alias("bb"),
+                    F.expr(f"cast(ceil((m - big.n) / {block}.0) AS int)").alias("bo")))
+    # blocks 0 to bo - 1 are of the others, bo to bo + bb - 1 of the largest component
+    dealt = rows.join(most, "key").withColumn("blk", F.expr(
+        "cast(if(component = big, bo + pmod(xxhash64(node), bb), pmod(xxhash64(node), bo)) AS int)"))
+    return (dealt.withColumn("to", F.explode(F.expr(
+                "if(blk >= bo, sequence(0, bo - 1), sequence(0, bo + bb - 1))")))
+            .select("key", F.least("blk", "to").alias("i"), F.greatest("blk", "to").alias("j"),
                     "blk", "node", "component"))
+
+
+def spanning_links(key, frame, same, near) -> list[tuple[int, int]]:
+    """Links that join components in one task of ``block_pairs``. ``frame`` has
+    keys (a node's bucket keys); ``near(r, others) -> mask`` screens, and
+    ``same(i, j)`` compares exactly, by row number in ``frame``. A pair is
+    compared in the first bucket that it shares, and only while its two
+    components are still apart."""
+    import numpy as np
+    k, i, j = key
+    keys = np.stack(frame["keys"].to_numpy())
+    blk, comp, node = (frame[c].to_numpy() for c in ("blk", "component", "node"))
+    band = int(np.flatnonzero((keys == k).all(axis=0))[0])
+    one, two = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+    up: dict[int, int] = {}
+
+    def find(x):
+        while (y := up.get(x, x)) != x:
+            x = y
+        return x
+
+    out = []
+    for r in one:
+        some = two if i != j else two[node[two] > node[r]]
+        some = some[comp[some] != comp[r]]
+        if len(some):
+            some = some[(keys[some] == keys[r]).argmax(axis=1) == band]
+        if len(some):
+            some = some[near(r, some)]
+        for q in some:
+            a, b = find(comp[r]), find(comp[q])
+            if a != b and same(r, q):
+                up[a] = b
+                out.append((max(node[r], node[q]), min(node[r], node[q])))
+    return out

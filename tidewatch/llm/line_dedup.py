@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import (RID, band_keys, cut_lineage, mix64, odd_multipliers, segment_minhash, sized,
                      with_row_id)
-from .components import connected_components, unsettled
+from .components import settle, spanning_links
 
 SHINGLE = 8             # characters
 THRESHOLD = 80          # percent
@@ -106,22 +106,22 @@ def _confirm(batches, percent, size):
 
 
 def _block_links(key, frame, percent, size):
-    """Links between lines of different components in two blocks of a bucket."""
+    """Links of one task of the last round, on full shingle sets."""
+    import numpy as np
     import pandas as pd
-    one, two = frame[frame["blk"] == key[1]], frame[frame["blk"] == key[2]]
+    if not len(frame):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    sets = [{t[i:i + size] for i in range(max(1, len(t) - size + 1))} for t in frame["line"]]
+    n = np.array([len(x) for x in sets])
+
+    def near(r, some):
+        return 100 * np.minimum(n[some], n[r]) >= percent * np.maximum(n[some], n[r])
 
-    def sets(f):
-        return [(h, c, {t[i:i + size] for i in range(max(1, len(t) - size + 1))})
-                for h, c, t in zip(f["node"], f["component"], f["line"])]
+    def same(r, q):
+        both = len(sets[r] & sets[q])
+        return 100 * both >= percent * (n[r] + n[q] - both)
 
-    a, b, out = sets(one), sets(two), []
-    for h, c, s in a:
-        for g, d, t in b:
-            if c != d and 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
-                both = len(s & t)
-                if 100 * both >= percent * (len(s) + len(t) - both):
-                    out.append((h, g))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return pd.DataFrame(spanning_links(key, frame, same, near), columns=["a", "b"], dtype="int64")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -144,7 +144,8 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     comes first by doc_id, row and place stays. Blank lines and null texts take
     no part. Equal lines are told by a 64-bit hash. Buckets are stars around
     their smallest node: a hot one costs a row a distinct line. Buckets that
-    then still hold two components are compared in blocks.
+    then still hold two components get other pivots, and in the end are compared
+    in blocks.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     saved = cut_lineage(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
@@ -161,18 +162,22 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
     texts = cut_lineage(lines_of(docs).select("h", "line").join(sized(wanted, 16), "h", "left_semi")
                         .groupBy("h").agg(F.first("line").alias("line")), "texts")
-    links = cut_lineage(
-        pairs.join(texts.select(F.col("h").alias("b"), F.col("line").alias("t2")), "b")
-        .join(texts.select(F.col("h").alias("a"), F.col("line").alias("t1")), "a")
-        .select("a", "b", "t1", "t2")
-        .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
-    comp = connected_components(links)
-    open_ = unsettled(entries.withColumnRenamed("h", "node"), wide.select("key"), comp, BLOCK)
-    if open_ is not None:
-        # every member of a bucket is in a pair with its pivot: its text is there
-        more = cut_lineage(open_.join(texts.withColumnRenamed("h", "node"), "node").groupBy("key", "i", "j")
-                           .applyInPandas(lambda k, f: _block_links(k, f, percent, size), "a bigint, b bigint"), "more")
-        comp = connected_components(links.unionByName(more))
+
+    def confirm(some):
+        t1, t2 = (texts.select(F.col("h").alias(c), F.col("line").alias(t)) for c, t in (("a", "t1"), ("b", "t2")))
+        return cut_lineage(some.join(t1, "a").join(t2, "b").select("a", "b", "t1", "t2")
+                           .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
+
+    def finish(rows):
+        # every member of a bucket is in a pair with its first pivot: its text is there
+        own = (saved.where("keys IS NOT NULL").select("h", "keys")
+               .join(sized(cut_lineage(rows.select(F.col("node").alias("h")).distinct(), "some"), 16), "h", "left_semi")
+               .dropDuplicates(["h"]).join(texts, "h").withColumnRenamed("h", "node"))
+        return (rows.join(cut_lineage(own, "own"), "node").groupBy("key", "i", "j")
+                .applyInPandas(lambda k, f: _block_links(k, f, percent, size), "a bigint, b bigint"))
+
+    comp = settle(entries.withColumnRenamed("h", "node"), wide.select("key"), pairs, confirm(pairs),
+                  confirm, finish, BLOCK)
     marked = cut_lineage(saved.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
         RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component")), "marked")
     first = marked.groupBy("component").agg(F.min(F.struct(

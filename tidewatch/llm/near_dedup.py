@@ -4,7 +4,8 @@ Documents with the same shingle set are one class. Class signatures are banded
 into buckets; every bucket is a star around its smallest class, so a bucket
 costs a row a member however large it is. Pairs whose odd sketches rule out the
 threshold go; the rest are confirmed on full shingle sets. Buckets that still
-hold two components after that are compared in blocks, sketch against sketch.
+hold two components after that get new pivots, and in the end are compared in
+blocks, where sketches screen and full sets decide.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import (RID, WordHashes, band_keys, cut_lineage, mix64, odd_multipliers,
                      segment_minhash, sized, with_row_id)
-from .components import connected_components, unsettled
+from .components import settle, spanning_links
 
 SHINGLE = 5
 THRESHOLD = 75          # percent
@@ -156,36 +157,40 @@ def confirmed_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, perce
     texts = cut_lineage(base.join(sized(wanted, 16), RID, "left_semi"), "texts")
     t1 = texts.select(F.col(RID).alias("a"), F.col("text").alias("t1"))
     t2 = texts.select(F.col(RID).alias("b"), F.col("text").alias("t2"))
-    return cut_lineage(near.join(t2, "b").join(t1, "a").select("a", "b", "t1", "t2")
+    return cut_lineage(near.join(t1, "a").join(t2, "b").select("a", "b", "t1", "t2")
                        .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
 
 
-def _block_pairs(key, frame, most):
-    """One pair of blocks of a bucket -> pairs of different components whose
-    sketches are near. Bounded: two blocks of BLOCK members at the mean."""
+def _block_links(key, frame, percent, most):
+    """Links of one task of the last round, on full sets of 64-bit shingle hashes."""
     import numpy as np
     import pandas as pd
-    i, j = key[1], key[2]
-    one = frame[frame["blk"] == i]
-    two = frame[frame["blk"] == j]
-    if not len(one) or not len(two):
+    if not len(frame):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    a = np.frombuffer(b"".join(one["sketch"]), np.uint64).reshape(len(one), -1)
-    b = np.frombuffer(b"".join(two["sketch"]), np.uint64).reshape(len(two), -1)
-    ca, cb = one["component"].to_numpy(), two["component"].to_numpy()
-    ia, ib = one["cid"].to_numpy(), two["cid"].to_numpy()
-    out_a, out_b = [], []
-    for r in range(len(one)):
-        ok = np.bitwise_count(b ^ a[r]).sum(axis=1) <= most
-        ok &= cb != ca[r]
-        if i == j:
-            ok &= ib > ia[r]
-        hit = ib[ok]
-        out_a.append(np.full(len(hit), ia[r]))
-        out_b.append(hit)
-    a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
-    b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}, dtype="int64")
+    sets = frame["hashes"].to_list()
+    n = np.array([len(x) for x in sets])
+    sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
+
+    def near(r, some):
+        ok = 100 * np.minimum(n[some], n[r]) >= percent * np.maximum(n[some], n[r])
+        return ok & (np.bitwise_count(sketch[some] ^ sketch[r]).sum(axis=1) <= most)
+
+    def same(r, q):
+        both = len(np.intersect1d(sets[r], sets[q], assume_unique=True))
+        return 100 * both >= percent * (n[r] + n[q] - both)
+
+    return pd.DataFrame(spanning_links(key, frame, same, near), columns=["a", "b"], dtype="int64")
+
+
+def _hash_rows(batches, size):
+    import numpy as np
+    import pyarrow as pa
+    cache = WordHashes()
+    for batch in batches:
+        got = [shingle_hashes(words_of(t or b""), cache, size).view(np.int64)
+               for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(RID), pa.array(got, pa.list_(pa.int64()))],
+                                         ["node", "hashes"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -216,16 +221,18 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     pairs = cut_lineage(pairs.distinct(), "pairs")
     most = most_differing_bits(bands * rows, percent, MARGIN, bits)
     links = confirmed_links(pairs, reps, docs, percent, most, size)
-    comp = cut_lineage(connected_components(links), "components")
-    open_ = unsettled(entries.withColumnRenamed("cid", "node"), wide.select("key"), comp, block)
-    if open_ is not None:
-        more = (open_.withColumnRenamed("node", "cid").join(reps.select("cid", "sketch"), "cid")
-                .groupBy("key", "i", "j")
-                .applyInPandas(lambda k, f: _block_pairs(k, f, most), "a bigint, b bigint")
-                .distinct().join(pairs, ["a", "b"], "left_anti"))
-        more = cut_lineage(more, "more")
-        links = links.unionByName(confirmed_links(more, reps, docs, percent, most, size))
-        comp = cut_lineage(connected_components(links), "components")
+
+    def finish(rows):
+        wanted = cut_lineage(rows.select(F.col("node").alias(RID)).distinct(), "wanted")
+        base = with_row_id(docs.select(F.col("text").cast("string").alias("text")))
+        hashes = (base.join(sized(wanted, 16), RID, "left_semi").select(RID, "text")
+                  .mapInArrow(lambda it: _hash_rows(it, size), "node bigint, hashes array<bigint>"))
+        own = cut_lineage(reps.select(F.col("cid").alias("node"), "keys", "sketch").join(hashes, "node"), "own")
+        return (rows.join(own, "node").groupBy("key", "i", "j")
+                .applyInPandas(lambda k, f: _block_links(k, f, percent, most), "a bigint, b bigint"))
+
+    comp = settle(entries.withColumnRenamed("cid", "node"), wide.select("key"), pairs, links,
+                  lambda p: confirmed_links(p, reps, docs, percent, most, size), finish, block)
     # back to documents: class -> component -> smallest doc_id
     of_class = classes.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select(
         "d1", "d2", F.coalesce("component", "cid").alias("component"))
