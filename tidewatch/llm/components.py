@@ -45,15 +45,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return out
 
 
-STAR_ROUNDS = 2         # of new pivots, before what is left is compared in blocks
+STAR_ROUNDS = 1         # of new pivots, before what is left is compared in blocks
 
 
-def settle(entries: DataFrame, wide: DataFrame, tested: DataFrame, links: DataFrame, confirm,
-           finish, block: int, rounds: int = STAR_ROUNDS) -> DataFrame:
+def settle(rows: DataFrame, tested: DataFrame, links: DataFrame, confirm, finish, block: int,
+           rounds: int = STAR_ROUNDS) -> DataFrame:
     """Components of the nodes of buckets, when the first star of every bucket
     has been confirmed.
 
-    ``entries(key, node)``; ``wide(key)``: buckets of more than two nodes;
+    ``rows(key, node)``: the distinct members of buckets of more than two;
     ``tested(a, b)``, ``links(a, b)``: pairs compared so far and those that hold.
     A bucket in one piece is done, which buckets of copies are at once. In each
     of the others a pivot drawn by hash meets the members outside its component
@@ -62,7 +62,6 @@ def settle(entries: DataFrame, wide: DataFrame, tested: DataFrame, links: DataFr
     of blocks, as ``block_pairs`` deals them.
     """
     comp = cut_lineage(connected_components(links), "components")
-    rows = entries.join(sized(wide, 16), "key").distinct()
     for r in range(rounds + 1):
         rows = _mixed(rows.select("key", "node"), comp)
         if rows.isEmpty():

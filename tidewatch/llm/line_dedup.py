@@ -15,6 +15,8 @@ BANDS, ROWS = 8, 3      # recall of a pair at the threshold: 1 - (1 - 0.8^3)^8 =
 
 
 BLOCK = 128             # lines in a block of the second round
+SCREEN = 64             # MinHash samples that screen the pairs of that round
+MARGIN = 25             # percent under the threshold: five standard deviations
 SEEN = 500_000          # hashes a task remembers to sign a line once
 
 
@@ -58,7 +60,12 @@ def _signatures(batches, bands, rows, size):
 
 
 def sign(lines, mult, mask, rows, size):
-    """Bucket keys of a list of lines, none empty. The lines are worked as one
+    """Bucket keys of a list of lines, none empty."""
+    return band_keys(minhashes(lines, mult, mask, size), rows)
+
+
+def minhashes(lines, mult, mask, size):
+    """MinHash signatures of a list of lines, none empty. The lines are worked as one
     array of code points; shingles that run over a line's end are left out, and
     a line shorter than a shingle is one shingle."""
     import numpy as np
@@ -79,7 +86,7 @@ def sign(lines, mult, mask, rows, size):
     edge[first + count] -= 1
     h = h[np.cumsum(edge[:-1]) > 0]
     starts = np.cumsum(count) - count
-    return band_keys(segment_minhash(h, starts, mult, mask), rows)
+    return segment_minhash(h, starts, mult, mask)
 
 
 def hash_short(text: str) -> int:
@@ -107,19 +114,26 @@ def _confirm(batches, percent, size):
 
 def _block_links(key, frame, percent, size):
     """Links of one task of the last round, on full shingle sets."""
-    import numpy as np
     import pandas as pd
     if not len(frame):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    sets = [{t[i:i + size] for i in range(max(1, len(t) - size + 1))} for t in frame["line"]]
-    n = np.array([len(x) for x in sets])
+    lines, sets = frame["line"].to_list(), {}
+    mult, mask = odd_multipliers(SCREEN, 13)
+    sig = minhashes(lines, mult, mask, size)
 
     def near(r, some):
-        return 100 * np.minimum(n[some], n[r]) >= percent * np.maximum(n[some], n[r])
+        return 100 * (sig[some] == sig[r]).sum(axis=1) >= (percent - MARGIN) * SCREEN
+
+    def shingles(r):
+        if r not in sets:
+            t = lines[r]
+            sets[r] = {t[i:i + size] for i in range(max(1, len(t) - size + 1))}
+        return sets[r]
 
     def same(r, q):
-        both = len(sets[r] & sets[q])
-        return 100 * both >= percent * (n[r] + n[q] - both)
+        one, other = shingles(r), shingles(q)
+        both = len(one & other)
+        return 100 * both >= percent * (len(one) + len(other) - both)
 
     return pd.DataFrame(spanning_links(key, frame, same, near), columns=["a", "b"], dtype="int64")
 
@@ -155,9 +169,9 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     stars = cut_lineage(entries.groupBy("key").agg(
         F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("m")).where("lo < hi"), "stars")
     wide = stars.where("m > 2")
+    inside = cut_lineage(entries.join(sized(wide.select("key", "lo"), 32), "key").distinct(), "inside")
     pairs = stars.where("m = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(
-        entries.join(sized(wide.select("key", "lo"), 32), "key").where("h <> lo")
-        .select(F.col("h").alias("a"), F.col("lo").alias("b")))
+        inside.where("h <> lo").select(F.col("h").alias("a"), F.col("lo").alias("b")))
     pairs = cut_lineage(pairs.distinct(), "pairs")
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
     texts = cut_lineage(lines_of(docs).select("h", "line").join(sized(wanted, 16), "h", "left_semi")
@@ -176,8 +190,7 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         return (rows.join(cut_lineage(own, "own"), "node").groupBy("key", "i", "j")
                 .applyInPandas(lambda k, f: _block_links(k, f, percent, size), "a bigint, b bigint"))
 
-    comp = settle(entries.withColumnRenamed("h", "node"), wide.select("key"), pairs, confirm(pairs),
-                  confirm, finish, BLOCK)
+    comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs), confirm, finish, BLOCK)
     marked = cut_lineage(saved.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
         RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component")), "marked")
     first = marked.groupBy("component").agg(F.min(F.struct(

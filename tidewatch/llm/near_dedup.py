@@ -215,9 +215,9 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     stars = cut_lineage(entries.groupBy("key").agg(
         F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.count("*").alias("m")).where("m > 1"), "stars")
     wide = stars.where("m > 2")
+    inside = cut_lineage(entries.join(sized(wide.select("key", "lo"), 32), "key"), "inside")
     pairs = stars.where("m = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(
-        entries.join(sized(wide.select("key", "lo"), 32), "key").where("cid <> lo")
-        .select(F.col("cid").alias("a"), F.col("lo").alias("b")))
+        inside.where("cid <> lo").select(F.col("cid").alias("a"), F.col("lo").alias("b")))
     pairs = cut_lineage(pairs.distinct(), "pairs")
     most = most_differing_bits(bands * rows, percent, MARGIN, bits)
     links = confirmed_links(pairs, reps, docs, percent, most, size)
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         return (rows.join(own, "node").groupBy("key", "i", "j")
                 .applyInPandas(lambda k, f: _block_links(k, f, percent, most), "a bigint, b bigint"))
 
-    comp = settle(entries.withColumnRenamed("cid", "node"), wide.select("key"), pairs, links,
+    comp = settle(inside.select("key", F.col("cid").alias("node")), pairs, links,
                   lambda p: confirmed_links(p, reps, docs, percent, most, size), finish, block)
     # back to documents: class -> component -> smallest doc_id
     of_class = classes.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select(
