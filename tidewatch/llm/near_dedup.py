@@ -76,9 +76,10 @@ def _profile(batches, bands, rows, bits, size):
     mult, mask = odd_multipliers(bands * rows, 7)
     cache = WordHashes()
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for lo in range(0, len(texts), 512):
-            part = [shingle_hashes(words_of(t or b""), cache, size) for t in texts[lo:lo + 512]]
+        for lo in range(0, batch.num_rows, 512):
+            some = batch.slice(lo, 512)
+            part = [shingle_hashes(words_of(t or b""), cache, size)
+                    for t in some.column("text").cast(pa.binary()).to_pylist()]
             n = np.array([len(p) for p in part], np.int64)
             full = np.flatnonzero(n)
             keys, sketch = [None] * len(part), [None] * len(part)
@@ -93,7 +94,7 @@ def _profile(batches, bands, rows, bits, size):
             high = [None if d is None else (d >> 64) - (1 << 63) for d in digest]
             low = [None if d is None else (d & ((1 << 64) - 1)) - (1 << 63) for d in digest]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(RID)[lo:lo + 512], batch.column("doc_id")[lo:lo + 512], pa.array(n),
+                [some.column(RID), some.column("doc_id"), pa.array(n),
                  pa.array(high, pa.int64()), pa.array(low, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                 [RID, "doc_id", "n", "d1", "d2", "keys", "sketch"])
