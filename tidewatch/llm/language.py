@@ -88,7 +88,7 @@ def averages(texts, values):
     return out / np.maximum(n, 1)[:, None], n
 
 
-def _slices(texts, most=1_500_000):
+def _slices(texts, most=400_000):
     """Runs of texts of so many characters at most; a longer text is alone."""
     at = 0
     while at < len(texts):

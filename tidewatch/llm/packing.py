@@ -20,7 +20,7 @@ GENERATIONS = 6
 POPULATION = 6
 ELITES = 2             # solutions that leave an island for the next one
 EOS = 0
-CACHED_WORDS = 600_000  # of words and of runs of letters, in a Python worker
+CACHED_WORDS = 300_000  # of words and of runs of letters, in a Python worker
 
 
 # --------------------------------------------------------------- tokenising
@@ -137,10 +137,10 @@ class WordIds:
             self.words[w] = np.array(enc.ids, "<u4").tobytes()
 
 
-_WORD_IDS: dict[str, WordIds] = {}      # by tokenizer file; a worker's tasks share it
+_WORD_IDS: dict[str, WordIds] = {}      # by tokenizer file; a worker's tasks share the tokenizers
 
 
-def _slices(texts, most=8 << 20):
+def _slices(texts, most=2 << 20):
     """Runs of texts of ``most`` bytes in all, or of one longer text."""
     at = 0
     while at < len(texts):
@@ -163,6 +163,7 @@ def _pieces_of(batches, tokenizer_path, capacity, eos, with_ids):
     if tokenizer_path not in _WORD_IDS:
         _WORD_IDS[tokenizer_path] = WordIds(tokenizer_path)
     ids_of = _WORD_IDS[tokenizer_path].of
+    _WORD_IDS[tokenizer_path].words.clear()       # a worker outlives the stage: its memory is others'
     for batch in batches:
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
@@ -189,6 +190,7 @@ def _pieces_of(batches, tokenizer_path, capacity, eos, with_ids):
             cols.append(pa.array(ids, pa.list_(pa.int32())))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(cols, names)
+    _WORD_IDS[tokenizer_path].words.clear()
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
