@@ -93,7 +93,8 @@ def _mixed(rows: DataFrame, comp: DataFrame) -> DataFrame:
 def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     """Deal the members of buckets into pairs of blocks of ``block`` nodes at the
     mean: those outside a bucket's largest component against it and against each
-    other. Columns key, i, j (a task), blk (i or j), node, component."""
+    other. Columns key, i, j (the pair), blk (i or j), node, component, and task:
+    pairs are dealt to tasks of some 8 blocks each, since most are tiny."""
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     most = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("m"))
             .select("key", F.col("big.component").alias("big"),
@@ -102,24 +103,27 @@ def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     # blocks 0 to bo - 1 are of the others, bo to bo + bb - 1 of the largest component
     dealt = rows.join(most, "key").withColumn("blk", F.expr(
         "cast(if(component = big, bo + pmod(xxhash64(node), bb), pmod(xxhash64(node), bo)) AS int)"))
-    return (dealt.withColumn("to", F.explode(F.expr(
+    pairs = cut_lineage(dealt.withColumn("to", F.explode(F.expr(
                 "if(blk >= bo, sequence(0, bo - 1), sequence(0, bo + bb - 1))")))
             .select("key", F.least("blk", "to").alias("i"), F.greatest("blk", "to").alias("j"),
-                    "blk", "node", "component"))
+                    "blk", "node", "component"), "blocks")
+    tasks = max(1, pairs.count() // (8 * block))
+    return pairs.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
 
-def spanning_links(key, frame, same, near) -> list[tuple[int, int]]:
+def spanning_links(frame, same, near) -> list[tuple[int, int]]:
     """Links that join components in one task of ``block_pairs``. ``frame`` has
     keys (a node's bucket keys); ``near(r, others) -> mask`` screens, and
     ``same(i, j)`` compares exactly, by row number in ``frame``. A pair is
     compared in the first bucket that it shares, and only while its two
     components are still apart."""
     import numpy as np
-    k, i, j = key
     keys = np.stack(frame["keys"].to_numpy())
-    blk, comp, node = (frame[c].to_numpy() for c in ("blk", "component", "node"))
-    band = int(np.flatnonzero((keys == k).all(axis=0))[0])
-    one, two = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+    key, i, j, blk, comp, node = (frame[c].to_numpy() for c in ("key", "i", "j", "blk", "component", "node"))
+    order = np.lexsort((j, i, key))
+    new = np.ones(len(order), bool)
+    new[1:] = ((key[order][1:] != key[order][:-1]) | (i[order][1:] != i[order][:-1])
+               | (j[order][1:] != j[order][:-1]))
     up: dict[int, int] = {}
 
     def find(x):
@@ -128,16 +132,20 @@ def spanning_links(key, frame, same, near) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for r in one:
-        some = two if i != j else two[node[two] > node[r]]
-        some = some[comp[some] != comp[r]]
-        if len(some):
-            some = some[(keys[some] == keys[r]).argmax(axis=1) == band]
-        if len(some):
-            some = some[near(r, some)]
-        for q in some:
-            a, b = find(comp[r]), find(comp[q])
-            if a != b and same(r, q):
-                up[a] = b
-                out.append((max(node[r], node[q]), min(node[r], node[q])))
+    for g in np.split(order, np.flatnonzero(new)[1:]):
+        first = g[0]
+        band = int(np.flatnonzero((keys[g] == key[first]).all(axis=0))[0])
+        one, two = g[blk[g] == i[first]], g[blk[g] == j[first]]
+        for r in one:
+            some = two if i[first] != j[first] else two[node[two] > node[r]]
+            some = some[comp[some] != comp[r]]
+            if len(some):
+                some = some[(keys[some] == keys[r]).argmax(axis=1) == band]
+            if len(some):
+                some = some[near(r, some)]
+            for q in some:
+                a, b = find(comp[r]), find(comp[q])
+                if a != b and same(r, q):
+                    up[a] = b
+                    out.append((max(node[r], node[q]), min(node[r], node[q])))
     return out

@@ -112,7 +112,7 @@ def _confirm(batches, percent, size):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _block_links(key, frame, percent, size):
+def _block_links(frame, percent, size):
     """Links of one task of the last round, on full shingle sets."""
     import pandas as pd
     if not len(frame):
@@ -135,7 +135,7 @@ def _block_links(key, frame, percent, size):
         both = len(one & other)
         return 100 * both >= percent * (len(one) + len(other) - both)
 
-    return pd.DataFrame(spanning_links(key, frame, same, near), columns=["a", "b"], dtype="int64")
+    return pd.DataFrame(spanning_links(frame, same, near), columns=["a", "b"], dtype="int64")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -187,8 +187,8 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         own = (saved.where("keys IS NOT NULL").select("h", "keys")
                .join(sized(cut_lineage(rows.select(F.col("node").alias("h")).distinct(), "some"), 16), "h", "left_semi")
                .dropDuplicates(["h"]).join(texts, "h").withColumnRenamed("h", "node"))
-        return (rows.join(cut_lineage(own, "own"), "node").groupBy("key", "i", "j")
-                .applyInPandas(lambda k, f: _block_links(k, f, percent, size), "a bigint, b bigint"))
+        return (rows.join(cut_lineage(own, "own"), "node").groupBy("task")
+                .applyInPandas(lambda f: _block_links(f, percent, size), "a bigint, b bigint"))
 
     comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs), confirm, finish, BLOCK)
     marked = cut_lineage(saved.join(comp.withColumnRenamed("node", "h"), "h", "left").select(

@@ -162,7 +162,7 @@ def confirmed_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, perce
                        .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
 
 
-def _block_links(key, frame, percent, most):
+def _block_links(frame, percent, most):
     """Links of one task of the last round, on full sets of 64-bit shingle hashes."""
     import numpy as np
     import pandas as pd
@@ -180,7 +180,7 @@ def _block_links(key, frame, percent, most):
         both = len(np.intersect1d(sets[r], sets[q], assume_unique=True))
         return 100 * both >= percent * (n[r] + n[q] - both)
 
-    return pd.DataFrame(spanning_links(key, frame, same, near), columns=["a", "b"], dtype="int64")
+    return pd.DataFrame(spanning_links(frame, same, near), columns=["a", "b"], dtype="int64")
 
 
 def _hash_rows(batches, size):
@@ -229,8 +229,8 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         hashes = (base.join(sized(wanted, 16), RID, "left_semi").select(RID, "text")
                   .mapInArrow(lambda it: _hash_rows(it, size), "node bigint, hashes array<bigint>"))
         own = cut_lineage(reps.select(F.col("cid").alias("node"), "keys", "sketch").join(hashes, "node"), "own")
-        return (rows.join(own, "node").groupBy("key", "i", "j")
-                .applyInPandas(lambda k, f: _block_links(k, f, percent, most), "a bigint, b bigint"))
+        return (rows.join(own, "node").groupBy("task")
+                .applyInPandas(lambda f: _block_links(f, percent, most), "a bigint, b bigint"))
 
     comp = settle(inside.select("key", F.col("cid").alias("node")), pairs, links,
                   lambda p: confirmed_links(p, reps, docs, percent, most, size), finish, block)
