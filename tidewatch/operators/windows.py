@@ -104,10 +104,14 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str],
                max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inner join with a per-group table: broadcast it when its row count is
     checked to be under ``max_rows`` (hot groups then cost nothing), else a
-    shuffle join that AQE's skew handling splits."""
+    shuffle join that AQE's skew handling splits. NULL keys match each other:
+    a NULL group keeps its rows."""
     n = small.count()
+    keys = {c: f"__key{i}" for i, c in enumerate(on)}
+    small = small.withColumnsRenamed(keys)
     side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on=on, how="inner")
+    same = [big[f"`{c}`"].eqNullSafe(side[k]) for c, k in keys.items()]
+    return big.join(side, on=same, how="inner").drop(*keys.values())
 
 
 def rolling_window_size(n_rows: int, cap: int = 100, divisor: int = 10) -> int:
