@@ -127,6 +127,55 @@ def test_lines_small(spark, tmp_path):
     assert line_dedup.line_rows(d.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("size", [8, 5])
+def test_pairs_of_lines_match_sets(size):
+    import numpy as np
+    rng = random.Random(size)
+    lines = ["x", "é" * 30, "ab" * 400]
+    for _ in range(150):
+        base = "".join(rng.choice("abcd ") for _ in range(rng.randint(20, 200)))
+        at = rng.randrange(len(base))
+        lines += [base, base[:at] + "#" * rng.randint(0, 6) + base[at:]]
+    sets = line_dedup.LineSets(lines, size)
+    a = np.array([i for i in range(len(lines)) for _ in range(4)])
+    b = np.array([j for i in range(len(lines)) for j in (i, i ^ 1, (i + 2) % len(lines), rng.randrange(len(lines)))])
+    b = np.minimum(b, len(lines) - 1)
+    want = []
+    for i, j in zip(a, b):
+        one, other = sets.shingles(i), sets.shingles(j)
+        want.append(100 * len(one & other) >= 80 * len(one | other))
+    assert sets.same(a, b, 80).tolist() == want and 0 < sum(want) < len(want)
+    assert list(sets.counts) == [len(sets.shingles(i)) for i in range(len(lines))]
+
+
+def test_spanning_links_meet_every_pair():
+    import numpy as np
+    import pandas as pd
+    from tidewatch.llm.components import spanning_links
+    rng = random.Random(1)
+    keys = {n: np.array([n % 7 + 100, n % 5 + 200], np.int64) for n in range(60)}
+    rows = []
+    for k in sorted({int(k) for v in keys.values() for k in v}):
+        nodes = [n for n in keys if k in keys[n]]
+        blk = {n: rng.randrange(2) for n in nodes}
+        for i, j in ((0, 0), (0, 1), (1, 1)):
+            rows += [(k, i, j, blk[n], n, n // 3, keys[n]) for n in nodes if blk[n] in (i, j)]
+    rng.shuffle(rows)
+    frame = pd.DataFrame(rows, columns=["key", "i", "j", "blk", "node", "component", "keys"])
+    node, met = frame["node"].to_numpy(), set()
+
+    def near(a, b):
+        pairs = [tuple(sorted(p)) for p in zip(node[a].tolist(), node[b].tolist())]
+        assert met.isdisjoint(pairs) and len(set(pairs)) == len(pairs)
+        met.update(pairs)
+        return np.ones(len(a), bool)
+
+    links = spanning_links(frame, lambda a, b: np.ones(len(a), bool), near)
+    assert met == {(a, b) for a in keys for b in keys
+                   if a < b and a // 3 != b // 3 and (keys[a] == keys[b]).any()}
+    assert len(links) == 19     # 20 components of three nodes become one
+
+
 def test_topk_whole_table(spark):
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op7_topk_search"](spark, SF_SMALL).collect())

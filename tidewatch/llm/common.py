@@ -61,12 +61,65 @@ def segment_minhash(h, starts, mult, mask):
     while i < n:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + 65536, "right")))
         part, at = h[starts[i]:ends[j - 1]], starts[i:j] - starts[i]
+        buf = np.empty_like(part)
         for c in range(k):
-            out[i:j, c] = np.minimum.reduceat((part ^ mask[c]) * mult[c], at)
+            np.multiply(np.bitwise_xor(part, mask[c], out=buf), mult[c], out=buf)
+            out[i:j, c] = np.minimum.reduceat(buf, at)
         i = j
     return out
 
 
+PAIRS = 4096            # sets or pairs of sets in one sort: 12 bits of number, 52 of hash
+
+
+def spread(starts, counts):
+    """Places of the elements of segments, end to end."""
+    import numpy as np
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def distinct_sets(h, counts):
+    """Segments of 64-bit hashes -> (52-bit hashes, counts): each once in a segment."""
+    import numpy as np
+    flat, n, at = [], [], 0
+    for lo in range(0, len(counts), PAIRS):
+        some = counts[lo:lo + PAIRS]
+        key = np.sort(np.repeat(np.arange(len(some), dtype=np.uint64) << np.uint64(52), some)
+                      | (h[at:at + some.sum()] >> np.uint64(12)))
+        at += some.sum()
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        key = key[new]
+        flat.append(key & np.uint64((1 << 52) - 1))
+        n.append(np.bincount((key >> np.uint64(52)).astype(np.int64), minlength=len(some)))
+    return np.concatenate(flat), np.concatenate(n)
+
+
+def similar(sets, counts, a, b, percent, most=2_000_000):
+    """Pairs (a[i], b[i]) of ``distinct_sets`` -> 100 * intersection - percent *
+    union; far below 0 for pairs that the set sizes rule out. Pairs are worked in sorts of ``most`` hashes or one pair."""
+    import numpy as np
+    starts = np.cumsum(counts) - counts
+    n, m = counts[a], counts[b]
+    out = np.full(len(a), -1 << 40, np.int64)
+    fit = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    total = np.cumsum(n[fit] + m[fit])
+    lo = 0
+    while lo < len(fit):
+        before = total[lo - 1] if lo else 0
+        hi = min(lo + PAIRS, max(lo + 1, int(np.searchsorted(total, before + most, "right"))))
+        some = fit[lo:hi]
+        number = np.arange(len(some), dtype=np.uint64) << np.uint64(52)
+        key = np.sort(np.concatenate([
+            np.repeat(number, n[some]) | sets[spread(starts[a[some]], n[some])],
+            np.repeat(number, m[some]) | sets[spread(starts[b[some]], m[some])]]))
+        both = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(52)).astype(np.int64), minlength=len(some))
+        out[some] = 100 * both - percent * (n[some] + m[some] - both)
+        lo = hi
+    return out
+
+
 def band_keys(sig, rows: int):
     """(n, k) signature -> (n, k / rows) int64 bucket keys; the band number is
     part of the key."""

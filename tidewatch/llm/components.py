@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut_lineage, sized
+from .common import cut_lineage, sized, spread
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -111,41 +111,60 @@ def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     return pairs.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
 
 
+SLICE = 200_000         # pairs screened at once
+
+
 def spanning_links(frame, same, near) -> list[tuple[int, int]]:
     """Links that join components in one task of ``block_pairs``. ``frame`` has
-    keys (a node's bucket keys); ``near(r, others) -> mask`` screens, and
-    ``same(i, j)`` compares exactly, by row number in ``frame``. A pair is
-    compared in the first bucket that it shares, and only while its two
+    keys (a node's bucket keys); ``near(a, b) -> mask`` screens pairs of row
+    numbers in ``frame``, and ``same(a, b) -> mask`` compares them exactly. A
+    pair is compared in the first bucket that it shares, and only while its two
     components are still apart."""
     import numpy as np
     keys = np.stack(frame["keys"].to_numpy())
     key, i, j, blk, comp, node = (frame[c].to_numpy() for c in ("key", "i", "j", "blk", "component", "node"))
-    order = np.lexsort((j, i, key))
+    band = (keys == key[:, None]).argmax(axis=1)
+    order = np.lexsort((blk, j, i, key))        # a group's rows of block i come before those of j
     new = np.ones(len(order), bool)
     new[1:] = ((key[order][1:] != key[order][:-1]) | (i[order][1:] != i[order][:-1])
                | (j[order][1:] != j[order][:-1]))
+    group = np.cumsum(new) - 1
+    end = np.append(np.flatnonzero(new)[1:], len(order))[group]
+    one = (blk == i)[order]
+    ones = np.bincount(group, weights=one).astype(np.int64)
+    place = np.arange(len(order))
+    # rows of one block meet those after them; else rows of i meet those of j
+    first = np.where((i == j)[order], place + 1, np.flatnonzero(new)[group] + ones[group])
+    count = np.where(one, end - first, 0)
+    total = np.cumsum(count)
     up: dict[int, int] = {}
 
     def find(x):
         while (y := up.get(x, x)) != x:
-            x = y
+            up[x] = x = up.get(y, y)
         return x
 
-    out = []
-    for g in np.split(order, np.flatnonzero(new)[1:]):
-        first = g[0]
-        band = int(np.flatnonzero((keys[g] == key[first]).all(axis=0))[0])
-        one, two = g[blk[g] == i[first]], g[blk[g] == j[first]]
-        for r in one:
-            some = two if i[first] != j[first] else two[node[two] > node[r]]
-            some = some[comp[some] != comp[r]]
-            if len(some):
-                some = some[(keys[some] == keys[r]).argmax(axis=1) == band]
-            if len(some):
-                some = some[near(r, some)]
-            for q in some:
-                a, b = find(comp[r]), find(comp[q])
-                if a != b and same(r, q):
-                    up[a] = b
-                    out.append((max(node[r], node[q]), min(node[r], node[q])))
+    out, at = [], 0
+    while at < len(order):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE, "right")))
+        a = order[np.repeat(place[at:to], count[at:to])]
+        b = order[spread(first[at:to], count[at:to])]
+        at = to
+        ok = comp[a] != comp[b]
+        a, b = a[ok], b[ok]
+        if len(a):
+            ok = (keys[a] == keys[b]).argmax(axis=1) == band[a]
+            a, b = a[ok], b[ok]
+        if len(a):
+            ok = near(a, b)
+            a, b = a[ok], b[ok]
+        for lo in range(0, len(a), 512):
+            apart = [k for k in range(lo, min(lo + 512, len(a))) if find(comp[a[k]]) != find(comp[b[k]])]
+            if not apart:
+                continue
+            for k in np.array(apart)[same(a[apart], b[apart])]:
+                x, y = find(comp[a[k]]), find(comp[b[k]])
+                if x != y:
+                    up[x] = y
+                    out.append((max(node[a[k]], node[b[k]]), min(node[a[k]], node[b[k]])))
     return out

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (RID, band_keys, cut_lineage, mix64, odd_multipliers, segment_minhash, sized,
-                     with_row_id)
+from .common import (RID, band_keys, cut_lineage, distinct_sets, mix64, odd_multipliers, segment_minhash,
+                     similar, sized, with_row_id)
 from .components import settle, spanning_links
 
 SHINGLE = 8             # characters
@@ -21,10 +21,11 @@ SEEN = 500_000          # hashes a task remembers to sign a line once
 
 
 def _signatures(batches, bands, rows, size):
-    """Arrow rows (rid, doc_id, line_no, h, line) -> the same without the line
-    and with the bucket keys, null where the task has signed the line before."""
+    """Arrow rows (rid, doc_id, line_no, h, line) -> the same with the bucket
+    keys; line and keys are null where the task has signed the line before."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
     mult, mask = odd_multipliers(bands * rows, 11)
     seen: set[int] = set()
     for batch in batches:
@@ -54,9 +55,11 @@ def _signatures(batches, bands, rows, size):
             keys = values.take(pa.array(places, mask=places < 0))
         else:
             keys = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
+        line = batch.column("line")
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in (RID, "doc_id", "line_no", "h")), keys],
-            [RID, "doc_id", "line_no", "h", "keys"])
+            [*(batch.column(c) for c in (RID, "doc_id", "line_no", "h")),
+             pc.if_else(pa.array(places >= 0), line, pa.scalar(None, line.type)), keys],
+            [RID, "doc_id", "line_no", "h", "line", "keys"])
 
 
 def sign(lines, mult, mask, rows, size):
@@ -65,28 +68,40 @@ def sign(lines, mult, mask, rows, size):
 
 
 def minhashes(lines, mult, mask, size):
-    """MinHash signatures of a list of lines, none empty. The lines are worked as one
-    array of code points; shingles that run over a line's end are left out, and
-    a line shorter than a shingle is one shingle."""
+    """MinHash signatures of a list of lines, none empty."""
+    import numpy as np
+    h, count = shingle_hashes(lines, size)
+    return segment_minhash((h >> np.uint64(32)).astype(np.uint32), np.cumsum(count) - count, mult, mask)
+
+
+def shingle_hashes(lines, size):
+    """64-bit hashes of the shingles of lines, none empty, end to end, and the
+    count of each line. The lines are worked as one array of code points;
+    shingles that run over a line's end are left out, and a line shorter than a
+    shingle is one shingle."""
     import numpy as np
     n = np.array([len(t) for t in lines], np.int64)
     cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
     cp = np.concatenate([cp, np.zeros(size, np.uint64)])
     acc = np.zeros(len(cp) - size, np.uint64)
-    for k in range(size):
-        acc *= np.uint64(0x9E3779B97F4A7C15)
-        acc += cp[k:k + len(acc)]
+    if size & (size - 1):
+        for k in range(size):
+            acc *= np.uint64(0x9E3779B97F4A7C15)
+            acc += cp[k:k + len(acc)]
+    else:       # the same sum, by doubling
+        part, power, k = cp, 0x9E3779B97F4A7C15, 1
+        while k < size:
+            part = part[:-k] * np.uint64(power) + part[k:]
+            power, k = power * power % (1 << 64), 2 * k
+        acc = part[:len(acc)].copy()
     count = np.maximum(n - size + 1, 1)
     first = np.cumsum(n) - n
     for i in np.flatnonzero(n < size):
         acc[first[i]] = np.uint64(hash_short(lines[i]))
-    h = (mix64(acc) >> np.uint64(32)).astype(np.uint32)
-    edge = np.zeros(len(acc) + 1, np.int64)
+    edge = np.zeros(len(acc) + 1, np.int8)
     edge[first] += 1
     edge[first + count] -= 1
-    h = h[np.cumsum(edge[:-1]) > 0]
-    starts = np.cumsum(count) - count
-    return segment_minhash(h, starts, mult, mask)
+    return mix64(acc[np.cumsum(edge[:-1], dtype=np.int8) > 0]), count
 
 
 def hash_short(text: str) -> int:
@@ -94,22 +109,40 @@ def hash_short(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8"))
 
 
-def _confirm(batches, percent, size):
-    import pyarrow as pa
-    last, last_set = None, None
+class LineSets:
+    """Shingle sets of lines, compared in pairs by 52-bit hashes; pairs so close
+    to the threshold that a collision could decide are compared as strings."""
+
+    def __init__(self, lines, size):
+        self.lines, self.size = lines, size
+        self.sets, self.counts = distinct_sets(*shingle_hashes(lines, size))
+
+    def shingles(self, r):
+        t = self.lines[r]
+        return {t[i:i + self.size] for i in range(max(1, len(t) - self.size + 1))}
+
+    def same(self, a, b, percent):
+        import numpy as np
+        over = similar(self.sets, self.counts, a, b, percent)
+        ok = over >= 0
+        for k in np.flatnonzero(np.abs(over) <= 2 * (100 + percent)):
+            one, other = self.shingles(a[k]), self.shingles(b[k])
+            both = len(one & other)
+            ok[k] = 100 * both >= percent * (len(one) + len(other) - both)
+        return ok
 
-    def shingles(t):
-        return {t[i:i + size] for i in range(max(1, len(t) - size + 1))}
 
+def _confirm(batches, percent, size):
+    """Pairs (a, b, t1, t2) of lines -> those that reach the threshold."""
+    import numpy as np
+    import pyarrow as pa
     for batch in batches:
-        ok = []
-        for x, y in zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist()):
-            if y != last:
-                last, last_set = y, shingles(y)
-            one = shingles(x)
-            both = len(one & last_set)
-            ok.append(100 * both >= percent * (len(one) + len(last_set) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        for lo in range(0, batch.num_rows, 2048):
+            some = batch.slice(lo, 2048)
+            places: dict[str, int] = {}
+            a, b = (np.array([places.setdefault(t, len(places)) for t in some.column(c).to_pylist()])
+                    for c in ("t1", "t2"))
+            yield some.select(["a", "b"]).filter(pa.array(LineSets(list(places), size).same(a, b, percent), pa.bool_()))
 
 
 def _block_links(frame, percent, size):
@@ -117,25 +150,14 @@ def _block_links(frame, percent, size):
     import pandas as pd
     if not len(frame):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    lines, sets = frame["line"].to_list(), {}
-    mult, mask = odd_multipliers(SCREEN, 13)
-    sig = minhashes(lines, mult, mask, size)
-
-    def near(r, some):
-        return 100 * (sig[some] == sig[r]).sum(axis=1) >= (percent - MARGIN) * SCREEN
-
-    def shingles(r):
-        if r not in sets:
-            t = lines[r]
-            sets[r] = {t[i:i + size] for i in range(max(1, len(t) - size + 1))}
-        return sets[r]
-
-    def same(r, q):
-        one, other = shingles(r), shingles(q)
-        both = len(one & other)
-        return 100 * both >= percent * (len(one) + len(other) - both)
-
-    return pd.DataFrame(spanning_links(frame, same, near), columns=["a", "b"], dtype="int64")
+    place, nodes = pd.factorize(frame["node"])
+    lines = frame["line"].to_numpy()[pd.Series(range(len(frame))).groupby(place).first().to_numpy()].tolist()
+    sig = minhashes(lines, *odd_multipliers(SCREEN, 13), size)
+    sets = LineSets(lines, size)
+    links = spanning_links(
+        frame, lambda a, b: sets.same(place[a], place[b], percent),
+        lambda a, b: 100 * (sig[place[a]] == sig[place[b]]).sum(axis=1) >= (percent - MARGIN) * SCREEN)
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -164,7 +186,7 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     id_type = docs.schema["doc_id"].dataType.simpleString()
     saved = cut_lineage(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
         lambda it: _signatures(it, bands, rows, size),
-        f"{RID} bigint, doc_id {id_type}, line_no int, h bigint, keys array<bigint>"), "lines")
+        f"{RID} bigint, doc_id {id_type}, line_no int, h bigint, line string, keys array<bigint>"), "lines")
     entries = saved.select(F.explode("keys").alias("key"), "h")
     stars = cut_lineage(entries.groupBy("key").agg(
         F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("m")).where("lo < hi"), "stars")
@@ -174,7 +196,7 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         inside.where("h <> lo").select(F.col("h").alias("a"), F.col("lo").alias("b")))
     pairs = cut_lineage(pairs.distinct(), "pairs")
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    texts = cut_lineage(lines_of(docs).select("h", "line").join(sized(wanted, 16), "h", "left_semi")
+    texts = cut_lineage(saved.where("line IS NOT NULL").select("h", "line").join(sized(wanted, 16), "h", "left_semi")
                         .groupBy("h").agg(F.first("line").alias("line")), "texts")
 
     def confirm(some):
@@ -191,8 +213,9 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
                 .applyInPandas(lambda f: _block_links(f, percent, size), "a bigint, b bigint"))
 
     comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs), confirm, finish, BLOCK)
-    marked = cut_lineage(saved.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
-        RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component")), "marked")
+    comp = comp.withColumnRenamed("node", "h")
+    marked = saved.select(RID, "doc_id", "line_no", "h").join(sized(comp, 24), "h", "left").select(
+        RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component"))
     first = marked.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(RID), F.col("line_no"))).alias("f"))
     return marked.join(first, "component").select(

@@ -172,13 +172,13 @@ def _block_links(frame, percent, most):
     n = np.array([len(x) for x in sets])
     sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
 
-    def near(r, some):
-        ok = 100 * np.minimum(n[some], n[r]) >= percent * np.maximum(n[some], n[r])
-        return ok & (np.bitwise_count(sketch[some] ^ sketch[r]).sum(axis=1) <= most)
+    def near(a, b):
+        ok = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+        return ok & (np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1) <= most)
 
-    def same(r, q):
-        both = len(np.intersect1d(sets[r], sets[q], assume_unique=True))
-        return 100 * both >= percent * (n[r] + n[q] - both)
+    def same(a, b):
+        both = np.array([len(np.intersect1d(sets[r], sets[q], assume_unique=True)) for r, q in zip(a, b)])
+        return 100 * both >= percent * (n[a] + n[b] - both)
 
     return pd.DataFrame(spanning_links(frame, same, near), columns=["a", "b"], dtype="int64")
 
