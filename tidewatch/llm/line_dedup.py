@@ -216,11 +216,15 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     comp = comp.withColumnRenamed("node", "h")
     marked = saved.select(RID, "doc_id", "line_no", "h").join(sized(comp, 24), "h", "left").select(
         RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component"))
-    first = marked.groupBy("component").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(RID), F.col("line_no"))).alias("f"))
-    return marked.join(first, "component").select(
+    # lines that are alone stay without a join, and a hot component's rows can be split
+    first = cut_lineage(marked.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(RID), F.col("line_no"))).alias("f"),
+        F.count("*").alias("n")).where("n > 1").select(
+            "component", F.col(f"f.{RID}").alias("__tw_row"), F.col("f.line_no").alias("__tw_line")), "first")
+    return marked.join(sized(first, 48), "component", "left").select(
         RID, "doc_id", "line_no", "h", "component",
-        ((F.col(RID) == F.col(f"f.{RID}")) & (F.col("line_no") == F.col("f.line_no"))).alias("kept"))
+        (F.col("__tw_row").isNull() | ((F.col(RID) == F.col("__tw_row"))
+                                       & (F.col("line_no") == F.col("__tw_line")))).alias("kept"))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
