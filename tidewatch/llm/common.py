@@ -69,6 +69,36 @@ def segment_minhash(h, starts, mult, mask):
     return out
 
 
+SLICE = 512             # rows of texts that a task has as Python objects
+
+
+def slices(batches, rows: int = SLICE):
+    """The rows of Arrow batches, so many at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def give_back():
+    """Return the memory that this process has freed to the system."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """``run`` (Arrow batches -> Arrow batches), after which the Python worker,
+    which outlives its task, keeps nothing that the task has freed."""
+    def task(batches):
+        yield from run(batches)
+        give_back()
+    return task
+
+
 PAIRS = 4096            # sets or pairs of sets in one sort: 12 bits of number, 52 of hash
 
 

@@ -7,7 +7,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut_lineage, mix64, with_row_id, RID
+from .common import RID, cut_lineage, lean, mix64, slices, with_row_id
 
 WINDOW = 10
 # Benchmark text is broadcast in blocks of at most so many bytes; more blocks
@@ -85,7 +85,7 @@ def _scan(batches, block, carry):
     from itertools import repeat
     schema = pa.schema([(RID, pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.list_(pa.int64()))),
                         ("items", pa.list_(pa.string()))])
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         n_words, hits, items = [], [], []
         for text in texts:
@@ -145,7 +145,7 @@ def scan_hits(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BY
     for block in _blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(block)
         passes.append(base.select(RID, "doc_id", "text").mapInArrow(
-            lambda it, b=shared: _scan(it, b, True), schema))
+            lean(lambda it, b=shared: _scan(it, b, True)), schema))
         if len(passes) > 1:
             passes[-1] = cut_lineage(passes[-1].where("size(hits) > 0"), "hits")
     if len(passes) == 1:
@@ -187,7 +187,7 @@ def _filtered(batches, block, mode):
     windows = Windows(block.value)
     get = windows.ids.get
     word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    for batch in batches:
+    for batch in slices(batches):
         at = batch.schema.get_field_index("text")
         texts = batch.column(at).cast(pa.binary()).to_pylist()
         keep, new = [], []
@@ -221,5 +221,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     out = docs
     for block in _blocks(benchmark, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        out = out.mapInArrow(lambda it, b=shared: _filtered(it, b, mode), T.StructType(docs.schema.fields))
+        out = out.mapInArrow(lean(lambda it, b=shared: _filtered(it, b, mode)), T.StructType(docs.schema.fields))
     return out

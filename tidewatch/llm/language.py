@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import RID, mix64, with_row_id
+from .common import RID, lean, mix64, slices, with_row_id
 
 BUCKETS = 1 << 14
 GRAMS = (1, 2, 3)       # characters in a subword; a word is closed by a blank on both sides
@@ -104,7 +104,7 @@ def _count_rows(batches, buckets):
     """Arrow rows (lang, text) -> (lang, bucket indices, counts)."""
     import numpy as np
     import pyarrow as pa
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         idx, cnt, keep = [], [], []
         for i, t in enumerate(texts):
@@ -141,7 +141,7 @@ def fit(sample: DataFrame, buckets: int = BUCKETS, dim: int = DIM, epochs: int =
     """
     import numpy as np
     rows = sample.select("lang", "text").mapInArrow(
-        lambda it: _count_rows(it, buckets), "lang string, idx array<int>, cnt array<int>").toPandas()
+        lean(lambda it: _count_rows(it, buckets)), "lang string, idx array<int>, cnt array<int>").toPandas()
     if not len(rows):
         return None
     rows = rows.iloc[np.lexsort(([hash_of(i, c) for i, c in zip(rows["idx"], rows["cnt"])], rows["lang"]))]
@@ -229,7 +229,7 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in slices(batches):
             lang, score, rejected = predict_texts(batch.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
@@ -237,7 +237,7 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")
+        lean(run), f"doc_id {id_type}, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, model) -> DataFrame:
@@ -248,11 +248,11 @@ def keep_identified(docs: DataFrame, model) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in slices(batches):
             _, _, rejected = predict_texts(batch.column("text").to_pylist(), shared.value)
             yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return docs.mapInArrow(lean(run), T.StructType(docs.schema.fields))
 
 
 def held_out():

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (RID, band_keys, cut_lineage, distinct_sets, mix64, odd_multipliers, segment_minhash,
+from .common import (RID, band_keys, cut_lineage, distinct_sets, lean, mix64, odd_multipliers, segment_minhash,
                      similar, sized, with_row_id)
 from .components import settle, spanning_links
 
@@ -185,7 +185,7 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     saved = cut_lineage(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
-        lambda it: _signatures(it, bands, rows, size),
+        lean(lambda it: _signatures(it, bands, rows, size)),
         f"{RID} bigint, doc_id {id_type}, line_no int, h bigint, line string, keys array<bigint>"), "lines")
     entries = saved.select(F.explode("keys").alias("key"), "h")
     stars = cut_lineage(entries.groupBy("key").agg(
@@ -202,7 +202,7 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     def confirm(some):
         t1, t2 = (texts.select(F.col("h").alias(c), F.col("line").alias(t)) for c, t in (("a", "t1"), ("b", "t2")))
         return cut_lineage(some.join(t1, "a").join(t2, "b").select("a", "b", "t1", "t2")
-                           .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
+                           .mapInArrow(lean(lambda it: _confirm(it, percent, size)), "a bigint, b bigint"), "links")
 
     def finish(rows):
         # every member of a bucket is in a pair with its first pivot: its text is there

@@ -14,8 +14,8 @@ import math
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import (RID, WordHashes, band_keys, cut_lineage, mix64, odd_multipliers,
-                     segment_minhash, sized, with_row_id)
+from .common import (RID, WordHashes, band_keys, cut_lineage, lean, mix64, odd_multipliers,
+                     segment_minhash, sized, slices, with_row_id)
 from .components import settle, spanning_links
 
 SHINGLE = 5
@@ -75,36 +75,34 @@ def _profile(batches, bands, rows, bits, size):
     import xxhash
     mult, mask = odd_multipliers(bands * rows, 7)
     cache = WordHashes()
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            some = batch.slice(lo, 512)
-            part = [shingle_hashes(words_of(t or b""), cache, size)
-                    for t in some.column("text").cast(pa.binary()).to_pylist()]
-            n = np.array([len(p) for p in part], np.int64)
-            full = np.flatnonzero(n)
-            keys, sketch = [None] * len(part), [None] * len(part)
-            if len(full):
-                flat = np.concatenate([part[i] for i in full])
-                starts = np.concatenate(([0], np.cumsum(n[full])[:-1]))
-                sig = segment_minhash((flat >> np.uint64(32)).astype(np.uint32), starts, mult, mask)
-                kk, ss = band_keys(sig, rows), odd_sketches(sig, bits)
-                for j, i in enumerate(full):
-                    keys[i], sketch[i] = kk[j], ss[j].tobytes()
-            digest = [xxhash.xxh128_intdigest(p.tobytes()) if len(p) else None for p in part]
-            high = [None if d is None else (d >> 64) - (1 << 63) for d in digest]
-            low = [None if d is None else (d & ((1 << 64) - 1)) - (1 << 63) for d in digest]
-            yield pa.RecordBatch.from_arrays(
-                [some.column(RID), some.column("doc_id"), pa.array(n),
-                 pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                [RID, "doc_id", "n", "d1", "d2", "keys", "sketch"])
+    for some in slices(batches):
+        part = [shingle_hashes(words_of(t or b""), cache, size)
+                for t in some.column("text").cast(pa.binary()).to_pylist()]
+        n = np.array([len(p) for p in part], np.int64)
+        full = np.flatnonzero(n)
+        keys, sketch = [None] * len(part), [None] * len(part)
+        if len(full):
+            flat = np.concatenate([part[i] for i in full])
+            starts = np.concatenate(([0], np.cumsum(n[full])[:-1]))
+            sig = segment_minhash((flat >> np.uint64(32)).astype(np.uint32), starts, mult, mask)
+            kk, ss = band_keys(sig, rows), odd_sketches(sig, bits)
+            for j, i in enumerate(full):
+                keys[i], sketch[i] = kk[j], ss[j].tobytes()
+        digest = [xxhash.xxh128_intdigest(p.tobytes()) if len(p) else None for p in part]
+        high = [None if d is None else (d >> 64) - (1 << 63) for d in digest]
+        low = [None if d is None else (d & ((1 << 64) - 1)) - (1 << 63) for d in digest]
+        yield pa.RecordBatch.from_arrays(
+            [some.column(RID), some.column("doc_id"), pa.array(n),
+             pa.array(high, pa.int64()), pa.array(low, pa.int64()),
+             pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+            [RID, "doc_id", "n", "d1", "d2", "keys", "sketch"])
 
 
 def profiles(docs: DataFrame, bands=BANDS, rows=ROWS, bits=SKETCH_BITS, size=SHINGLE) -> DataFrame:
     base = with_row_id(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return base.select(RID, "doc_id", "text").mapInArrow(
-        lambda it: _profile(it, bands, rows, bits, size),
+        lean(lambda it: _profile(it, bands, rows, bits, size)),
         f"{RID} bigint, doc_id {id_type}, n bigint, d1 bigint, d2 bigint, keys array<bigint>, sketch binary")
 
 
@@ -132,7 +130,7 @@ def _confirm(batches, percent, size):
         n = min(size, len(w))
         return set(zip(*(w[k:len(w) - n + 1 + k] for k in range(n)))) if n else set()
 
-    for batch in batches:
+    for batch in slices(batches):
         ok = []
         for x, y in zip(batch.column("t1").cast(pa.binary()).to_pylist(),
                         batch.column("t2").cast(pa.binary()).to_pylist()):
@@ -151,7 +149,7 @@ def confirmed_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, perce
     side = lambda c, s, n: classes.select(F.col("cid").alias(c), F.col("sketch").alias(s), F.col("n").alias(n))
     near = (pairs.join(side("a", "s1", "n1"), "a").join(side("b", "s2", "n2"), "b")
             .where(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)")
-            .select("a", "b", "s1", "s2").mapInArrow(lambda it: _near_sketches(it, most), "a bigint, b bigint"))
+            .select("a", "b", "s1", "s2").mapInArrow(lean(lambda it: _near_sketches(it, most)), "a bigint, b bigint"))
     near = cut_lineage(near, "near")
     wanted = cut_lineage(near.select(F.explode(F.array("a", "b")).alias(RID)).distinct(), "wanted")
     base = with_row_id(docs.select(F.col("text").cast("string").alias("text")))
@@ -159,7 +157,7 @@ def confirmed_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, perce
     t1 = texts.select(F.col(RID).alias("a"), F.col("text").alias("t1"))
     t2 = texts.select(F.col(RID).alias("b"), F.col("text").alias("t2"))
     return cut_lineage(near.join(t1, "a").join(t2, "b").select("a", "b", "t1", "t2")
-                       .mapInArrow(lambda it: _confirm(it, percent, size), "a bigint, b bigint"), "links")
+                       .mapInArrow(lean(lambda it: _confirm(it, percent, size)), "a bigint, b bigint"), "links")
 
 
 def _block_links(frame, percent, most):
@@ -187,7 +185,7 @@ def _hash_rows(batches, size):
     import numpy as np
     import pyarrow as pa
     cache = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         got = [shingle_hashes(words_of(t or b""), cache, size).view(np.int64)
                for t in batch.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(RID), pa.array(got, pa.list_(pa.int64()))],
@@ -227,7 +225,7 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
         wanted = cut_lineage(rows.select(F.col("node").alias(RID)).distinct(), "wanted")
         base = with_row_id(docs.select(F.col("text").cast("string").alias("text")))
         hashes = (base.join(sized(wanted, 16), RID, "left_semi").select(RID, "text")
-                  .mapInArrow(lambda it: _hash_rows(it, size), "node bigint, hashes array<bigint>"))
+                  .mapInArrow(lean(lambda it: _hash_rows(it, size)), "node bigint, hashes array<bigint>"))
         own = cut_lineage(reps.select(F.col("cid").alias("node"), "keys", "sketch").join(hashes, "node"), "own")
         return (rows.join(own, "node").groupBy("task")
                 .applyInPandas(lambda f: _block_links(f, percent, most), "a bigint, b bigint"))

@@ -10,7 +10,7 @@ from bisect import bisect_right
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import RID, cut_lineage, with_row_id
+from .common import RID, cut_lineage, lean, slices, with_row_id
 
 CAPACITY = 2048        # ids in a sequence
 BLOCK_ITEMS = 4096     # mean pieces in a block, the unit of one genetic search
@@ -164,7 +164,7 @@ def _pieces_of(batches, tokenizer_path, capacity, eos, with_ids):
         _WORD_IDS[tokenizer_path] = WordIds(tokenizer_path)
     ids_of = _WORD_IDS[tokenizer_path].of
     _WORD_IDS[tokenizer_path].words.clear()       # a worker outlives the stage: its memory is others'
-    for batch in batches:
+    for batch in slices(batches, 2048):
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
         for lo, hi in _slices(texts):
@@ -210,7 +210,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str | None = None, capacity: int =
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     return base.select(RID, "doc_id", "text").mapInArrow(
-        lambda it: _pieces_of(it, tokenizer_path, capacity, eos, with_ids), T.StructType(fields))
+        lean(lambda it: _pieces_of(it, tokenizer_path, capacity, eos, with_ids)), T.StructType(fields))
 
 
 # ------------------------------------------------------- the genetic search
@@ -397,7 +397,7 @@ def _pack_blocks(items: DataFrame, n_blocks: int, capacity: int, layer: int, isl
              .withColumn("elites", F.lit(None).cast("array<array<int>>")))
     for epoch in range(epochs):
         ran = state.select("block", "island", "sizes", "elites").mapInArrow(
-            lambda it, e=epoch: _evolve_rows(it, capacity, e, generations), _POP)
+            lean(lambda it, e=epoch: _evolve_rows(it, capacity, e, generations)), _POP)
         ran = cut_lineage(ran, "islands")
         # ring migration: an island gets its own elites and its neighbour's
         moved = (ran.select("block", F.explode(F.array(
