@@ -170,12 +170,10 @@ def q_sink_report(spark, sf):
 
 @register("sink_capture", with_cte(SCORED_CTE, """
 SELECT CAST(ts AS DATE) AS capture_date, count(*) AS n, count(*) FILTER (WHERE prediction = 1)
-       AS attacks FROM scored WHERE ts < TIMESTAMP '1995-03-01 00:00:00' GROUP BY ALL"""))
+       AS attacks FROM scored GROUP BY ALL"""))
 def q_sink_capture(spark, sf):
-    s = rule_scored(spark, sf).filter(
-        F.col("ts") < F.lit("1995-03-01 00:00:00").cast("timestamp_ntz"))
     path = scratch_path(spark, "capture")
-    SK.capture(s.withColumn("timestamp", F.col("ts")), path)
+    SK.capture(rule_scored(spark, sf), path, ts="ts", by_month=True)
     back = spark.read.parquet(path)
     return fin(back.groupBy("capture_date").agg(F.count(F.lit(1)).alias("n"),
                                                F.count_if(F.col("prediction") == 1).alias("attacks")))

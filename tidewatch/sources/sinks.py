@@ -47,10 +47,13 @@ def write_report(checks: DataFrame, path: str) -> str:
 
 
 def capture(scored: DataFrame, path: str, ts: str = "timestamp",
-            fraction: float = 1.0, seed: int = 42) -> str:
-    """Append scored rows (inputs + outputs) partitioned by capture date;
-    ``fraction`` < 1 samples (the sampling is the feature here)."""
+            fraction: float = 1.0, seed: int = 42, by_month: bool = False) -> str:
+    """Append scored rows (inputs + outputs) with their capture date, in one
+    folder a date or, for long spans, a month (``capture_month``); ``fraction``
+    < 1 samples (the sampling is the feature here)."""
     out = scored if fraction >= 1.0 else scored.sample(False, fraction, seed)
     out = out.withColumn("capture_date", F.to_date(F.col(ts)))
-    out.write.mode("append").partitionBy("capture_date").parquet(path)
+    if by_month:
+        out = out.withColumn("capture_month", F.date_format("capture_date", "yyyy-MM"))
+    out.write.mode("append").partitionBy("capture_month" if by_month else "capture_date").parquet(path)
     return path
