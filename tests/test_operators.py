@@ -385,3 +385,21 @@ def test_attack_family_mapping(spark):
                                 ("r2l",), ("zeroday",), (None,)], "attack_type string")
     got = [r[0] for r in df.select(attack_family("attack_type")).collect()]
     assert got == ["dos", "dos", "r2l", "normal", "r2l", "unknown", None]
+
+
+def test_scan_auto_routes_by_file_name(spark, tmp_path):
+    folder = tmp_path / "translated_kdd"
+    folder.mkdir()
+    (folder / "plain.csv").write_text("a,attack_type\n1,normal\n2,smurf\n")
+    got = FI.scan_auto(spark, str(folder / "plain.csv")).orderBy("a").collect()
+    assert [(r["a"], r["is_attack"]) for r in got] == [(1, 0), (2, 1)]
+
+
+def test_capture_by_month_keeps_all_rows(spark, tmp_path):
+    from tidewatch.sources import sinks as SK
+    df = spark.sql("SELECT timestamp'1995-01-31' + make_dt_interval(id) AS timestamp, id FROM range(40)"
+                   " UNION ALL SELECT NULL, 99")
+    SK.capture(df, str(tmp_path / "c"), by_month=True)
+    back = spark.read.parquet(str(tmp_path / "c"))
+    assert back.count() == 41 and back.where("capture_date IS NULL").count() == 1
+    assert back.select("capture_month").distinct().count() == 4

@@ -80,11 +80,12 @@ def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | Non
 
 
 def scan_auto(spark: SparkSession, path: str, dataset_type: str = "auto") -> DataFrame:
-    """Pick the layout from the path ('nsl' before 'kdd'), else generic CSV with
-    a header; fail on empty input; derive the label when only the type exists."""
+    """Pick the layout from the file or folder name ('nsl' before 'kdd'; parent
+    folders do not count), else generic CSV with a header; fail on
+    empty input; derive the label when only the type exists."""
     kind = dataset_type
     if kind == "auto":
-        low = path.lower()
+        low = path.rstrip("/").rsplit("/", 1)[-1].lower()
         kind = "nsl" if "nsl" in low else "kdd" if "kdd" in low else "csv"
     if kind == "nsl":
         df, _ = scan_nsl(spark, path)
