@@ -51,6 +51,16 @@ def test_markov_ratio_parts_random_from_words(spark):
     assert got == {1: [(4, 36, 4)], 2: [], 3: []}
 
 
+def test_rare_secrets_fit_the_model_in_a_large_table(spark, tmp_path):
+    rng = random.Random(7)
+    key = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTVWXYZabcdefghjkmnpqrstvwxyz23456789") for _ in range(n))
+    texts = [f"another {w} sentence mentions nothing particular {i}" for i in range(6000) for w in ("ordinary", "common")]
+    texts += [f"token={key(36)} here" for _ in range(30)] + [f"see {key(30)}x7 there"]
+    d = saved(spark, docs_frame(spark, texts), tmp_path)
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.secret_rows(d).where("n_markov > 0").collect()}
+    assert got == {len(texts) - 1: "markov:4:36"}
+
+
 def test_no_model_without_labelled_secrets(spark):
     assert secret_scan.fit_models(spark.createDataFrame([("word", "hello")], "label string, value string")) is None
 

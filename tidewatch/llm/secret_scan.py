@@ -8,6 +8,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import cut_lineage
+
 # The base patterns; group 2 of the first is the secret's value.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
           r"""([A-Za-z0-9+/_.=-]+)""")
@@ -23,9 +25,7 @@ _RUN = "A-Za-z0-9+/_=-"
 CANDIDATE = (rf"(?<![{_RUN}])(?=[A-Za-z+/_=-]{{0,512}}[0-9])(?=[0-9+/_=-]{{0,512}}[A-Za-z])"
              rf"[{_RUN}]{{{MIN_CANDIDATE},}}")
 
-# Bounds of the labelled sample that the models are fitted on.
-TRAIN_DOCS = 3000      # documents, drawn by hash
-MIN_LABELLED = 20      # fewer random strings than this: no model, no added spans
+MIN_LABELLED = 20      # fewer random strings than this in the whole table: no model, no added spans
 SMOOTHING = 0.5
 
 _SPANS = "array<struct<s:int,k:int,e:int,v:string>>"
@@ -63,20 +63,17 @@ def base_spans(df: DataFrame, text: str, out: str) -> DataFrame:
 def _score(value: str, table: str) -> str:
     """SQL of the mean log-likelihood ratio a character of string ``value``."""
     n = len(SYMBOLS) + 1
-    return f"""(aggregate(sequence(1, length({value})), struct(0D AS sum, 0 AS prev),
-      (a, i) -> struct(a.sum + get({table}, a.prev * {n} + instr('{SYMBOLS}', substring({value}, i, 1))) AS sum,
-                       instr('{SYMBOLS}', substring({value}, i, 1)) AS prev),
+    return f"""(aggregate(split({value}, ''), struct(0D AS sum, 0 AS prev),
+      (a, c) -> struct(a.sum + get({table}, a.prev * {n} + instr('{SYMBOLS}', c)) AS sum,
+                       instr('{SYMBOLS}', c) AS prev),
       a -> a.sum) / length({value}))"""
 
 
-def labelled_samples(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def labelled_samples(docs: DataFrame) -> DataFrame:
     """(label, value): random strings are the values that the fixed patterns
-    find, ordinary identifiers the words of the rest of the same texts. Taken
-    from at most about ``train_docs`` documents, drawn by a hash of the text."""
-    total = docs.count()
-    share = min(1.0, train_docs / max(1, total))
-    d = (docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-         .where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(share * 1_000_003) + 1))
+    find, ordinary identifiers the words of the rest of the texts; of all
+    documents."""
+    d = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     d = base_spans(d, "text", "base")
     value = ASSIGN.replace("\\", "\\\\").replace("'", "\\'")
     rand = d.select(F.lit("random").alias("label"), F.explode(F.expr(
@@ -92,17 +89,18 @@ def fit_models(samples: DataFrame, smoothing: float = SMOOTHING) -> dict | None:
     """Two first-order character models from (label, value) rows: a table of
     log-likelihood ratios by (previous, next) symbol, and the threshold on the
     mean ratio that 99.9 % of the words and no more stay under (0 at least).
-    Only symbol-pair counts, bounded by the alphabet, come to the driver. None
-    if there are fewer than MIN_LABELLED random strings."""
+    Every string counts as often as it occurs; the different strings are saved
+    with their counts. Only symbol-pair counts, bounded by the alphabet, come
+    to the driver. None if there are fewer than MIN_LABELLED random strings."""
     n = len(SYMBOLS) + 1
-    pairs = samples.select("label", F.explode(F.expr(
-        f"transform(sequence(1, length(value)), i -> "
-        f"if(i = 1, 0, instr('{SYMBOLS}', substring(value, i - 1, 1))) * {n}"
-        f" + instr('{SYMBOLS}', substring(value, i, 1)))")).alias("pair"))
+    strings = cut_lineage(samples.groupBy("label", "value").agg(F.count("*").alias("n")), "strings")
+    pairs = strings.withColumn("at", F.expr(f"transform(split(value, ''), c -> instr('{SYMBOLS}', c))")).select(
+        "label", "n", F.explode(F.expr(
+            f"transform(at, (c, i) -> if(i = 0, 0, get(at, i - 1)) * {n} + c)")).alias("pair"))
     counts = {(r["label"], r["pair"]): r["n"] for r in
-              pairs.groupBy("label", "pair").agg(F.count("*").alias("n")).collect()}
-    starts = {lab: sum(c for (x, p), c in counts.items() if x == lab and p < n) for lab in ("random", "word")}
-    if starts["random"] < MIN_LABELLED:
+              pairs.groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()}
+    starts = strings.where("label = 'random'").agg(F.sum("n").alias("n")).first()["n"] or 0
+    if starts < MIN_LABELLED:
         return None
     logp = {}
     for lab in ("random", "word"):
@@ -112,8 +110,11 @@ def fit_models(samples: DataFrame, smoothing: float = SMOOTHING) -> dict | None:
             logp.update({(lab, a * n + b): math.log(x / total) for b, x in enumerate(row)})
     table = [round(logp["random", p] - logp["word", p], 4) for p in range(n * n)]
     lit = _table_literal(table)
-    cut = samples.where("label = 'word'").agg(
-        F.percentile_approx(F.expr(_score("value", lit)), 0.999).alias("t")).first()["t"]
+    # scores to 4 places: few enough different ones for an exact quantile
+    scores = cut_lineage(strings.where("label = 'word'").select(
+        "n", F.round(F.expr(_score("value", lit)), 4).alias("t")).groupBy("t").agg(F.sum("n").alias("n")), "scores")
+    at = scores.agg(F.expr("percentile(t, 0.999, n)").alias("t")).first()["t"]
+    cut = None if at is None else scores.where(F.col("t") >= at - 1e-9).agg(F.min("t").alias("t")).first()["t"]
     return {"table": table, "threshold": max(0.0, cut or 0.0)}
 
 
@@ -152,7 +153,7 @@ def _joined(col: str) -> Column:
 
 
 def secret_rows(docs: DataFrame) -> DataFrame:
-    """Fit on a bounded labelled sample of ``docs``, scan all of it and give the
+    """Fit on the labelled strings of all ``docs``, scan all of it and give the
     counts and digests."""
     found = scan(docs, fit_models(labelled_samples(docs)))
     n = lambda k: F.expr(f"cast(size(filter(base, x -> x.k = {k})) AS bigint)")
