@@ -13,6 +13,7 @@ from tidewatch.functions.expressions import (confidence_band, derive_label, safe
                                               threat_level)
 from tidewatch.functions.stats import numeric_summary, quantiles
 from tidewatch.operators import alerts as AL
+from tidewatch.operators import drift as DR
 from tidewatch.operators import encoders as EN
 from tidewatch.operators import evaluate as EV
 from tidewatch.operators import features as FE
@@ -122,6 +123,40 @@ def test_unseen_category_onehot_zero_label_minus_one(spark):
     assert lab == [2, -1, -1]
 
 
+def test_dictionary_of_any_size_is_joined(spark):
+    n = 12_000                                                  # over MAP_LIMIT: the join branch
+    fit = spark.range(n).select(F.format_string("v%05d", F.col("id")).alias("p"), F.lit("k").alias("q"))
+    state = EN.fit_dictionary(fit, ["p", "q"])
+    assert state.count() == n + 1
+    new = spark.createDataFrame([(0, "v00000", "k"), (1, "v11999", None), (2, "gone", "k"), (3, None, "z")],
+                                "i int, p string, q string")
+    got = EN.label_transform(new, state).orderBy("i").select("p", "q").collect()
+    assert [tuple(r) for r in got] == [(0, 0), (n - 1, -1), (-1, 0), (-1, -1)]
+
+
+def test_onehot_has_no_cap(spark):
+    state = EN.fit_dictionary(spark.range(5_002).select(F.col("id").cast("string").alias("p")), ["p"])
+    assert state.count() == 5_002
+    assert len(EN.onehot_transform(spark.createDataFrame([("1",)], "p string"), state).columns) == 5_001
+
+
+def test_correlation_is_pairwise_complete(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, None, 5.0, None), (2.0, 1.0, 3.0, 5.0, None), (3.0, 5.0, 1.0, 5.0, None),
+            (4.0, None, 2.0, 5.0, None), (None, 7.0, 4.0, 5.0, None), (6.0, 3.0, nan, 5.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, z double")
+    frame = pd.DataFrame(rows, columns=list("abckz"), dtype="float64")
+    for method in ("pearson", "spearman"):
+        want = frame.corr(method)
+        for r in DR.correlation(df, list("abckz"), method).collect():
+            if r["a"] == r["b"]:
+                assert r["corr"] == 1.0
+            elif np.isnan(want.loc[r["a"], r["b"]]):
+                assert r["corr"] is None if "z" in (r["a"], r["b"]) else np.isnan(r["corr"])
+            else:
+                assert r["corr"] == pytest.approx(want.loc[r["a"], r["b"]])
+
+
 def test_scaler_population_std_and_constant(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, c double")
     st = {r["column"]: (r["mean"], r["scale"]) for r in SC.fit(df).collect()}

@@ -8,6 +8,8 @@ PSI = sum (a - e) * ln(a / e) over buckets, proportions floored at ``eps``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.stats import quantiles
@@ -52,15 +54,51 @@ def psi(reference: DataFrame, current: DataFrame, columns, n_bins: int = 10,
 
 
 def correlation(df: DataFrame, columns, method: str = "pearson") -> DataFrame:
-    """Long-form correlation matrix (a, b, corr) over rows complete in all
-    columns, via Spark ML's distributed covariance (k x k result)."""
+    """Long-form correlation matrix (a, b, corr), each pair over the rows where
+    both are there (NaN counts as missing): Pearson for all pairs in one
+    aggregate, Spearman pair by pair with Spark ML. 1 on the diagonal; NULL for
+    a pair without rows, NaN where one side is constant."""
+    if method not in ("pearson", "spearman"):
+        raise ValueError(f"unknown correlation method {method!r}")
+    typed = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
+    got = _pearson(typed, columns, pairs) if method == "pearson" else _spearman(typed, columns, pairs)
+    rows = [(a, b, 1.0 if i == j else got[max(i, j), min(i, j)])
+            for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+
+
+def _pearson(df: DataFrame, columns, pairs) -> dict:
+    if not pairs:
+        return {}
+    items = []
+    for i, j in pairs:
+        a, b = F.col(columns[i]), F.col(columns[j])
+        both = a.isNotNull() & b.isNotNull()
+        items.append(F.struct(F.count_if(both).alias("n"), F.covar_pop(a, b).alias("c"),
+                              F.var_pop(F.when(both, a)).alias("va"), F.var_pop(F.when(both, b)).alias("vb"))
+                     .alias(f"p_{i}_{j}"))
+    row = df.agg(*items).first()
+    out = {}
+    for i, j in pairs:
+        r = row[f"p_{i}_{j}"]
+        sd = math.sqrt(r["va"]) * math.sqrt(r["vb"]) if r["n"] else 0.0
+        out[i, j] = None if not r["n"] else r["c"] / sd if sd else math.nan
+    return out
+
+
+def _spearman(df: DataFrame, columns, pairs) -> dict:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    vec = VectorAssembler(inputCols=list(columns), outputCol="v").transform(complete).select("v")
-    m = Correlation.corr(vec, "v", method).first()[0].toArray().tolist()
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+    out = {}
+    for i, j in pairs:
+        two = df.select(F.col(columns[i]).alias("x"), F.col(columns[j]).alias("y")).dropna()
+        if two.isEmpty():
+            out[i, j] = None
+            continue
+        vec = VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(two).select("v")
+        out[i, j] = float(Correlation.corr(vec, "v", "spearman").first()[0].toArray()[0, 1])
+    return out
 
 
 def correlated_pairs(corr: DataFrame, threshold: float = 0.95) -> DataFrame:
