@@ -106,6 +106,31 @@ def test_patterns_discover_unseen_identifiers(spark, tmp_path):
     assert got[21] == ""
 
 
+def test_patterns_discover_every_written_form(spark, tmp_path):
+    seeds = [f"word{i % 7} please call me at +1 (555) 123-{4000 + i} today" for i in range(30)]
+    seeds += [f"x{i}y | +1 (555) 124-{4000 + i} | is my phone" for i in range(30)]
+    seeds += [f"reach user{i}@example.com by mail" for i in range(30)]
+    forms = [("please call me at ", "(017) 555-7713", " today"), ("please call me at ", "555 123 4567", " today"),
+             ("please call me at: ", "4111 1111 1111 1112", " today"), ("call me at : ", "0171234567", " today"),
+             ("call me at | ", "0171234568", " | now"), ("", "555.123.9878", " is my phone"),
+             ("reach ", "someone@localhost", " by mail"), ("please call me at ", "x4711", " today")]
+    d = saved(spark, docs_frame(spark, seeds + [a + b + c for a, b, c in forms] + ["order (018) 555-7713 sent"]), tmp_path)
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_rows(d).collect()}
+    for i, (a, b, _) in enumerate(forms):
+        kind = "email" if "@" in b else "phone"
+        assert got[len(seeds) + i] == f"ctx_{kind}:{len(a)}:{len(a + b)}", (a, b)
+    assert got[len(seeds) + len(forms)] == ""
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    edges = [("p0", f"s{i}", 1) for i in range(60)]
+    for step in range(6):          # the instances found by p_n are the seeds of p_n+1
+        edges += [(f"p{step + j}", f"u{step}_{i}", 0) for i in range(12) for j in (0, 1)]
+    found = pii.score_graph(spark.createDataFrame(edges, "pattern string, inst string, k int"),
+                            min_pattern=0.01, min_instance=0.01)
+    assert found.count() == 72
+
+
 ITEMS = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None),
          (4, "..."), (5, "Alpha, beta gamma delta epsilon zeta eta theta iota kappa"), (None, "nameless thing here"),
          (1, "short item"), (6, "été à la plage " * 4)]

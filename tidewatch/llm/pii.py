@@ -6,14 +6,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import RID, cut_lineage, with_row_id
 
 KINDS = ["email", "ip", "card", "phone"]        # base kinds, in listed order
 FOUND = "ctx_"                                  # prefix of the kinds of added spans
-MIN_DIGITS = 6          # of a token that may be an unknown identifier
-ROUNDS = 3
+MIN_DIGITS = 6          # of a token inside a run of digit groups that is also looked up alone
+MAX_DIGITS = 19         # of one identifier: a longer run of groups holds several
 MIN_SEEDS = 5           # different seed instances behind a pattern
 MIN_PATTERN = 0.8       # confidence of a pattern that may discover
 MIN_INSTANCE = 0.9      # confidence of an instance that is reported
@@ -26,7 +26,10 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"\S*[0-9]\S*")
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
+_GROUP = re.compile(r"\+?[0-9][0-9()./-]*")            # a token of a run of digit groups
+_WORD = re.compile(r"[^\W_]")
+_GAP = re.compile(r"[()\x20-]{1,3}")                   # and what parts it from the next
 _EDGE = ".,;:!?()[]{}<>\"'#$%&*|"
 
 
@@ -68,38 +71,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span: the word before, the two words before,
-    and the words on both sides, in lower case and without marks."""
-    left = [w.strip(_EDGE).lower() for w in text[max(0, start - 80):start].split()[-2:]]
-    right = [w.strip(_EDGE).lower() for w in text[end:end + 40].split()[:1]]
-    one = left[-1] if left else ""
-    two = left[-2] if len(left) > 1 else ""
-    nxt = right[0] if right else ""
+    """Lexical patterns around a span: the one and two words before, the one and
+    two words after, and the words on both sides, in lower case and without
+    marks; what is only marks is no word."""
+    left = [w.strip(_EDGE).lower() for w in text[max(0, start - 80):start].split() if _WORD.search(w)][-2:]
+    right = [w.strip(_EDGE).lower() for w in text[end:end + 40].split() if _WORD.search(w)][:2]
     out = []
-    if one:
-        out.append(f"L {one}")
-        if two:
-            out.append(f"LL {two} {one}")
-        if nxt:
-            out.append(f"LR {one} {nxt}")
+    if left:
+        out.append(f"L {left[-1]}")
+        if len(left) > 1:
+            out.append(f"LL {left[0]} {left[1]}")
+        if right:
+            out.append(f"LR {left[-1]} {right[0]}")
+    if right:
+        out.append(f"R {right[0]}")
+        if len(right) > 1:
+            out.append(f"RR {right[0]} {right[1]}")
     return out
 
 
-def candidates(text: str, base) -> list[tuple[int, int]]:
-    """Tokens with MIN_DIGITS digits or more that touch no base span."""
-    out, k = [], 0
+def candidates(text: str, base) -> list[tuple[int, int, bool]]:
+    """(start, end, with its contexts) of what may be an unknown identifier:
+    tokens with a digit or an at sign that touch no base span. Neighbours of
+    digit groups parted by blanks, brackets or hyphens are one candidate; a token
+    of it with MIN_DIGITS digits is looked up too, but its contexts count only
+    if the run is longer than any identifier."""
+    tokens, k = [], 0
     for m in _TOKEN.finditer(text):
         a, b = m.span()
         while a < b and text[a] in _EDGE:
             a += 1
         while b > a and text[b - 1] in _EDGE:
             b -= 1
-        if sum("0" <= c <= "9" for c in text[a:b]) < MIN_DIGITS:
+        if a == b:
             continue
         while k < len(base) and base[k][2] <= a:
             k += 1
         if not any(s < b and a < e for s, _, e in base[max(0, k - 4):k + 8]):
-            out.append((a, b))
+            tokens.append((a, b))
+    out, i = [], 0
+    while i < len(tokens):
+        j, (a, b) = i + 1, tokens[i]
+        if _GROUP.fullmatch(text, a, b):
+            while (j < len(tokens) and _GAP.fullmatch(text, b, tokens[j][0])
+                   and _GROUP.fullmatch(text, *tokens[j])):
+                b = tokens[j][1]
+                j += 1
+            if a and text[a - 1] == "(" and ")" in text[a:b]:
+                a -= 1
+        out.append((a, b, True))
+        if j > i + 1:
+            digits = [sum("0" <= c <= "9" for c in text[x:y]) for x, y in tokens[i:j]]
+            out += [(x, y, sum(digits) > MAX_DIGITS) for (x, y), n in zip(tokens[i:j], digits) if n >= MIN_DIGITS]
+        i = j
     return out
 
 
@@ -119,17 +143,17 @@ def _extract(batches):
         for text in batch.column("text").to_pylist():
             text = text or ""
             base = base_spans(text)
-            seen = [(s, e, k) for s, k, e in base]
-            seen += [(s, e, 0) for s, e in candidates(text, base)]
+            seen = [(s, e, k, True) for s, k, e in base]
+            seen += [(s, e, 0, own) for s, e, own in candidates(text, base)]
             base_col.append([{"s": s, "k": k, "e": e} for s, k, e in base])
             seen_col.append([{"s": s, "e": e, "k": k, "inst": text[s:e].lower(), "pats": p}
-                             for s, e, k in seen if (p := contexts(text, s, e)) or not k])
+                             for s, e, k, own in seen if (p := contexts(text, s, e) if own else []) or not k])
         yield pa.RecordBatch.from_arrays(
             [batch.column(RID), batch.column("doc_id"), pa.array(base_col, pa.list_(span)),
              pa.array(seen_col, pa.list_(inst))], [RID, "doc_id", "base", "seen"])
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
+def score_graph(edges: DataFrame, min_seeds: int = MIN_SEEDS,
                 min_pattern: float = MIN_PATTERN, min_instance: float = MIN_INSTANCE) -> DataFrame:
     """Distinct ``edges(pattern, inst, k)`` (k 0: unknown instance) -> the
     discovered (inst, k, conf).
@@ -138,15 +162,16 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEE
     of that kind over all its instances plus PRIOR; patterns need ``min_seeds``
     instances of the kind. An unknown instance gets 1 - prod(1 - confidence)
     over its confident patterns and, from MIN_INSTANCE up, counts as an instance
-    of its best kind in the next round. Sums are pre-aggregated by task, so a
-    pattern as common as a stop word costs a row a task.
+    of its best kind, which it keeps, in the next round; found instances only
+    add to scores, so rounds go on until none is new. Sums are pre-aggregated by
+    task, so a pattern as common as a stop word costs a row a task.
     """
     edges = cut_lineage(edges, "edges")
     known = edges.where("k > 0").select("pattern", "inst", "k", F.lit(1.0).alias("conf"))
     unknown = edges.where("k = 0").select("pattern", "inst")
     total = cut_lineage(edges.groupBy("pattern").agg(F.count("*").alias("n")), "totals")
-    found = None
-    for _ in range(rounds):
+    found, before = None, 0
+    while True:
         support = known if found is None else known.unionByName(
             unknown.join(found, "inst").select("pattern", "inst", "k", "conf"))
         good = (support.groupBy("pattern", "k").agg(F.sum("conf").alias("c"), F.count("*").alias("m"))
@@ -156,13 +181,19 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEE
         good = cut_lineage(good, "patterns")
         scored = (unknown.join(good, "pattern").groupBy("inst", "k")
                   .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("p"), F.lit(1e-9)))))).alias("conf"))
-                  .where(F.col("conf") >= min_instance)
-                  .groupBy("inst").agg(F.max(F.struct("conf", (-F.col("k")).alias("neg"))).alias("b"))
+                  .where(F.col("conf") >= min_instance))
+        kept = F.lit(False)
+        if found is not None:
+            scored = scored.join(found.select("inst", F.col("k").alias("was")), "inst", "left")
+            kept = F.col("k").eqNullSafe(F.col("was"))
+        scored = (scored.groupBy("inst").agg(F.max(F.struct(
+                      kept.alias("kept"), "conf", (-F.col("k")).alias("neg"))).alias("b"))
                   .select("inst", (-F.col("b.neg")).alias("k"), F.col("b.conf").alias("conf")))
-        before = 0 if found is None else found.count()
         found = cut_lineage(scored, "instances")
-        if found.count() == before:
+        now = found.count()
+        if now <= before:
             break
+        before = now
     return found
 
 
@@ -172,7 +203,7 @@ def find_personal_data(docs: DataFrame, **options) -> DataFrame:
 
     Whole texts are read, once. Null and empty texts have no spans; repeated
     rows repeat their result; other columns are ignored. The pattern graph holds
-    only tokens with digits and their contexts.
+    only tokens and runs with digits or at signs and their contexts.
     """
     base = with_row_id(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -182,7 +213,11 @@ def find_personal_data(docs: DataFrame, **options) -> DataFrame:
     edges = (seen.select(F.explode("x.pats").alias("pattern"), F.col("x.inst").alias("inst"), F.col("x.k").alias("k"))
              .groupBy("pattern", "inst").agg(F.max("k").alias("k")))
     found = score_graph(edges, **options)
+    # a token that lies in a found run of digit groups is part of that run
+    longer = F.max("e").over(Window.partitionBy(RID).orderBy("s", F.desc("e")).rowsBetween(
+        Window.unboundedPreceding, -1))
     added = (seen.where("x.k = 0").select(RID, "x.s", "x.e", "x.inst").join(found.select("inst", "k"), "inst")
+             .withColumn("longer", longer).where("longer IS NULL OR e > longer")
              .groupBy(RID).agg(F.collect_list(F.struct(
                  "s", (F.col("k") + 10).cast("int").alias("k"), "e")).alias("added")))
     return rows.join(added, RID, "left").select(
