@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from conftest import SF_SMALL
 from tidewatch.config import Config, ModelConfig
 from tidewatch.operators import alerts as AL
@@ -52,6 +53,13 @@ def test_importance_and_explanations(spark, trained):
     assert len(e) == 3 and {"feature", "importance", "value"} <= set(e[0].asDict())
 
 
+@pytest.mark.parametrize("name", ["explain_rows", "sink_model", "process_features"])
+def test_model_queries_cover_all_connections(spark, name):
+    got = queries()[name](spark, SF_SMALL).select("conn_id")
+    want = connections(spark, SF_SMALL).select("conn_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def _score(df):
     return AL.apply_bands(risk_probability(df)).select("conn_id", "probability", "threat_level")
 

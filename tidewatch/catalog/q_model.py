@@ -92,7 +92,7 @@ def q_feature_importance(spark, sf):
 def q_explain_rows(spark, sf):
     t = trained(spark, sf)
     imp = MO.feature_importance(t.model, t.state.features)
-    x = t.spec.transform(t.test, t.state)
+    x = t.spec.transform(connections(spark, sf), t.state)
     return MO.explain_rows(MO.predict(t.model, x), imp, 10).select(
         "conn_id", "probability", "explanation")
 
@@ -104,7 +104,7 @@ def q_sink_model(spark, sf):
     MO.save_model(t.model, path, t.state.tables(),
                   {"version": "gbt-small", "features": t.state.features})
     model, state, meta = MO.load_model(spark, path, list(t.state.tables()))
-    x = t.spec.transform(t.test, t.state)
+    x = t.spec.transform(connections(spark, sf), t.state)
     return MO.predict(model, x).select("conn_id", "probability", "prediction") \
         .withColumn("model_version", F.lit(meta["version"] if meta else None))
 
@@ -120,9 +120,9 @@ def q_evaluate_model(spark, sf):
 
 @register("process_features")
 def q_process_features(spark, sf):
-    """The fitted feature chain applied to the held-out rows (rows-only check)."""
+    """The fitted feature chain applied to all connections (rows-only check)."""
     t = trained(spark, sf)
-    x = t.spec.transform(t.test, t.state)
+    x = t.spec.transform(connections(spark, sf), t.state)
     return x.select("conn_id", *t.state.features)
 
 
