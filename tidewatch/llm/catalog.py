@@ -11,10 +11,13 @@ from .language import language_rows
 from .line_dedup import line_rows
 from .near_dedup import near_rows
 from .packing import pack_documents
+from .periodic import run_rows
 from .pii import personal_rows
 from .secret_scan import secret_rows
 from .sharding import shard_rows
+from .spelling import spelling_rows
 from .topk import top_k
+from .url_filter import url_rows
 from .warc import archive_rows
 
 QUERIES = {
@@ -29,5 +32,8 @@ QUERIES = {
     "op8_personal_data": lambda spark, d: personal_rows(read_table(spark, d, "documents")),
     "op9_web_archive": lambda spark, d: archive_rows(read_table(spark, d, "pages")),
     "op10_language_id": lambda spark, d: language_rows(read_table(spark, d, "documents")),
+    "op11_periodic_runs": lambda spark, d: run_rows(read_table(spark, d, "documents")),
+    "op12_url_filter": lambda spark, d: url_rows(read_table(spark, d, "pages")),
+    "op13_spelling_variants": lambda spark, d: spelling_rows(read_table(spark, d, "documents")),
 }
 ORACLE: dict[str, str] = {}
