@@ -325,17 +325,59 @@ def test_alarm_needs_consecutive_periods(spark):
     assert [r["alarm"] for r in out] == [0, 1, 0, 0, 1]
 
 
-def test_bracketed_exact_quantiles_equal_numpy_with_atoms(spark):
+def test_radix_quantiles_equal_numpy_with_atoms_and_extremes(spark):
     from tidewatch.functions.stats import exact_quantiles
     rng = np.random.default_rng(0)
-    vals = np.concatenate([rng.lognormal(size=20000), np.zeros(5000), np.full(3000, 2.5)])
-    df = spark.createDataFrame([(float(v), float(v) * 3 if i % 7 else None)
-                                for i, v in enumerate(vals)], "a double, b double")
+    vals = np.concatenate([rng.lognormal(size=20000), np.zeros(5000), np.full(3000, 2.5), -rng.lognormal(size=4000),
+                           [5e-324, -5e-324, 2.2e-308, 1.7976931348623157e308, -1.7e308, 1.0, np.nextafter(1, 2),
+                            np.nextafter(1, 0), -0.0, 2.0 ** 60]])
+    df = spark.createDataFrame([(float(v), float(v) / 3 if i % 7 else None, None, i, float("nan") if i % 2 else 1.5)
+                                for i, v in enumerate(vals)], "a double, `b.x` double, c double, d int, e double")
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
-    got = exact_quantiles(df, ["a", "b"], probs, accuracy=1000)   # n > A: bracket path
+    got = exact_quantiles(df, ["a", "b.x", "c", "d", "e"], probs)
     assert got["a"] == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
-    b = np.array([float(v) * 3 for i, v in enumerate(vals) if i % 7])
-    assert got["b"] == pytest.approx(list(np.quantile(b, probs)), abs=1e-12)
+    b = np.array([float(v) / 3 for i, v in enumerate(vals) if i % 7])
+    assert got["b.x"] == pytest.approx(list(np.quantile(b, probs)), abs=1e-12)
+    assert got["c"] == [None] * 8 and got["e"] == [1.5] * 8
+    assert got["d"] == pytest.approx(list(np.quantile(np.arange(len(vals)), probs)))
+    assert exact_quantiles(df.limit(0), ["a"], [0.5]) == {"a": [None]}
+
+
+def test_double_keys_are_the_bits_in_order(spark):
+    import struct
+    from tidewatch.functions.radix import double_key, key_double
+    rng = random.Random(1)
+    vals = [struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(3000)]
+    vals = [v for v in vals if v == v] + [0.0, -0.0, float("inf"), float("-inf"), 2.0 ** 1023, 2.0 ** -1074]
+    vals += [2.0 ** e * (1 + s) for e in range(-1022, 1023, 13) for s in (0, 2.0 ** -52, 1 - 2.0 ** -52)]
+    rows = spark.createDataFrame([(v,) for v in vals], "v double").select("v", double_key(F.col("v")).alias("k")).collect()
+    for r in rows:
+        b = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["k"] == (b if r["v"] >= 0 else -b) and key_double(r["k"]) == r["v"]
+
+
+def test_radix_counts_do_not_grow_with_the_rows(spark):
+    from tidewatch.functions.radix import BITS, select_ranks
+    sent = []
+    for n in (51_200, 1_024_000):
+        keys = spark.range(0, n, 1, 4).select(F.lit("a").alias("g"), ((F.col("id") % 512) * 7).alias("k"))
+        r = select_ranks(keys, [F.floor(F.col("n") / 2), F.col("n") - 1, F.col("n")], local=n < 100_000).orderBy("i").collect()
+        assert [(x["i"], x["k"], x["below"]) for x in r] == [(0, 256 * 7, n // 2), (1, 511 * 7, n - n // 512)]
+        # what the partial counts of the deepest scan send: a row a task and bucket
+        sent.append(keys.groupBy(F.spark_partition_id(), F.shiftright("k", 64 - 4 * BITS)).count().count())
+    assert sent[0] == sent[1] == 4 * 512
+
+
+def test_scratch_scope_removes_what_it_wrote(spark):
+    from tidewatch.session import cut_lineage, exists, scratch_scope
+    with scratch_scope(spark) as outer:
+        with scratch_scope(spark) as inner:
+            gone = cut_lineage(spark.range(3))
+            kept = inner.save(gone.where("id > 0"))
+        files = [kept.inputFiles()[0], gone.inputFiles()[0]]
+        assert [exists(f.replace("file://", "")) for f in files] == [True, False] and kept.count() == 2
+        last = outer.save(kept)
+    assert not exists(files[0].replace("file://", "")) and last.count() == 2
 
 
 def test_scan_auto_rejects_empty_and_unlabelled(spark):

@@ -5,38 +5,26 @@ and ``groupBy(column)`` — so one scan serves every column and the aggregate
 stays inside whole-stage codegen.
 
 Quantile methods (all linear interpolation = pandas / DuckDB ``quantile_cont``):
-  * ``exact`` (default) – exact AND bounded at any scale: a count pass; columns
-    with at most A values use the single-pass map (bounded for them); for the
-    others a GK sketch
-    (``percentile_approx``, accuracy A) brackets each target rank within
-    +-2n/A; one counting pass places the rank inside the bracket (rows equal
-    to a bracket edge are counted, never gathered), and only the <= 6n/A
-    values strictly inside the bracket are ranked. Three scans, no task holds
-    more than the bracket. Columns with at most A values use the single-pass
-    map, which is bounded for them.
-  * ``single_pass`` – Spark ``percentile``: one scan, but a value->count map per
-    column merged in one task; only for bounded-cardinality columns.
-  * ``approx`` – the sketch alone (rank error n/A).
+  * ``exact`` (default) – radix selection (functions/radix.py): one path at any
+    size, memory and shuffle bounded by buckets, not by rows.
+  * ``approx`` – Spark's sketch alone (rank error n / APPROX_ACCURACY).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..session import cut_lineage, scratch_scope
+from .radix import double_key, key_double, select_ranks
 
 APPROX_ACCURACY = 100000
-BRACKET_ACCURACY = 1_000_000
 
 
-def quantile_exprs(c: str, probs, method: str = "exact") -> Column:
-    x = F.col(c).cast("double")
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if method in ("exact", "single_pass"):
-        return F.percentile(x, arr)
-    if method == "approx":
-        return F.percentile_approx(x, arr, APPROX_ACCURACY)
-    raise ValueError(f"unknown quantile method {method!r}")
+def sketch_quantiles(c: str, probs) -> Column:
+    """Array of approximate quantiles: one aggregate expression."""
+    return F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]), APPROX_ACCURACY)
 
 
 def long_values(df: DataFrame, columns) -> DataFrame:
@@ -63,110 +51,46 @@ def quantile_table(df: DataFrame, columns, probs, method: str = "exact") -> Data
 
 def quantiles(df: DataFrame, columns, probs, method: str = "exact") -> dict:
     """{column: [value per prob]} (None for an all-NULL column)."""
+    if method not in ("exact", "approx"):
+        raise ValueError(f"unknown quantile method {method!r}")
+    columns = list(columns)
     if not columns:
         return {}
     if method == "exact":
         return exact_quantiles(df, columns, probs)
-    rows = long_values(df, columns).groupBy("column") \
-        .agg(quantile_exprs("x", probs, method).alias("v")).collect()
+    rows = long_values(df, columns).groupBy("column").agg(sketch_quantiles("x", probs).alias("v")).collect()
     got = {r["column"]: r["v"] for r in rows}
     return {c: (list(got[c]) if got.get(c) is not None else [None] * len(probs)) for c in columns}
 
 
 def _interpolate(pos: float, v0: float, v1: float) -> float:
     lo, hi = math.floor(pos), math.ceil(pos)
-    if lo == hi:
+    if lo == hi or v0 == v1:        # weights of equal values may not add up to 1
         return v0
     return (hi - pos) * v0 + (pos - lo) * v1   # the same formula as Spark's percentile
 
 
-def exact_quantiles(df: DataFrame, columns, probs, accuracy: int = BRACKET_ACCURACY) -> dict:
-    """Exact linear-interpolated quantiles with bounded memory (see module doc)."""
-    spark = df.sparkSession
+def exact_quantiles(df: DataFrame, columns, probs) -> dict:
+    """Exact linear-interpolated quantiles of all columns together. The source is
+    evaluated once: its values are saved as one 64-bit key a column, and up to four
+    scans of that table, each one bounded count, find the wanted ranks. NULL and
+    NaN are no values; an infinite neighbour gives what the interpolation gives."""
     probs = [float(p) for p in probs]
-    lv = long_values(df, columns).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    # the sketch's rank error is n/A; +-4/A also covers the (n-1)p rank
-    # convention of the interpolation whenever n > A
-    d = 4.0 / accuracy
-    ext = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-d, d)})
-    out = {c: [None] * len(probs) for c in columns}
-    if df.count() <= accuracy:
-        # the whole table has at most A rows (a footer read on saved tables)
-        counts = {c: accuracy for c in columns}
-    else:
-        # pass 0: non-null count per column (cheap, one row per column)
-        counts = {r["column"]: r["n"] for r in lv.groupBy("column")
-                  .agg(F.count("x").alias("n")).collect()}
-    small = [c for c in columns if 0 < counts.get(c, 0) <= accuracy]
-    large = [c for c in columns if counts.get(c, 0) > accuracy]
-    if small:
-        # at most A values per column: the single-pass map is bounded here
-        rows = lv.filter(F.col("column").isin(*small)).groupBy("column").agg(
-            F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("v")).collect()
-        for r in rows:
-            out[r["column"]] = list(r["v"])
-    if not large:
-        return out
-    # pass 1: sketch brackets for the large columns
-    sk = {r["column"]: (counts[r["column"]], dict(zip(ext, r["a"] or [])))
-          for r in lv.filter(F.col("column").isin(*large)).groupBy("column").agg(
-              F.percentile_approx("x", F.array(*[F.lit(e) for e in ext]), accuracy).alias("a"))
-          .collect()}
-    specs = []
-    for c in large:
-        n, a = sk.get(c, (0, {}))
+    columns = list(columns)
+    name = {f"k{i}": c for i, c in enumerate(columns)}
+    with scratch_scope(df.sparkSession):
+        wide = cut_lineage(df.select(*[double_key(F.col(f"`{c}`")).alias(k) for k, c in name.items()]), "keys")
+        keys = wide.unpivot([], list(name), "g", "k").where("k IS NOT NULL")
+        at = [F.col("n").cast("double") - 1] * len(probs)
+        ranks = [f(x * F.lit(p)) for x, p in zip(at, probs) for f in (F.floor, F.ceil)]
+        found = {(r["g"], r["i"]): r for r in select_ranks(keys, ranks).collect()}
+    out = {}
+    for k, c in name.items():
+        out[c] = [None] * len(probs)
         for i, p in enumerate(probs):
-            if not n:
-                continue
-            lo = a[min(1.0, max(0.0, p - d))] if p - d > 0 else float("-inf")
-            hi = a[min(1.0, max(0.0, p + d))] if p + d < 1 else float("inf")
-            specs.append((c, i, (n - 1) * p, float(lo), float(hi)))
-    if not specs:
-        return out
-    spec_df = spark.createDataFrame(specs, "column string, qi int, pos double, lo double, hi double")
-    # the spec table has one row per (column, prob): a proven bound for broadcast
-    j = lv.join(F.broadcast(spec_df), "column")
-    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
-    # pass 2: where each bracket sits in the sorted column
-    cnt = {(r["column"], r["qi"]): r for r in j.groupBy("column", "qi").agg(
-        F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("eq_lo"),
-        F.count_if((x > lo) & (x < hi)).alias("inner"), F.count_if(x == hi).alias("eq_hi"))
-        .collect()}
-    need = {}     # (column, qi) -> {inner index: None}
-    plan = {}     # (column, qi, rank) -> ('lo'|'hi'|'inner', k)
-    for c, i, pos, lo_v, hi_v in specs:
-        r = cnt.get((c, i))
-        for rank in {math.floor(pos), math.ceil(pos)}:
-            if r is None or rank < r["below"]:
-                raise RuntimeError("quantile bracket missed its rank (sketch guarantee)")
-            k = rank - r["below"]
-            if k < r["eq_lo"]:
-                plan[(c, i, rank)] = ("lo", lo_v)
-            elif k < r["eq_lo"] + r["inner"]:
-                plan[(c, i, rank)] = ("inner", k - r["eq_lo"])
-                need.setdefault((c, i), set()).add(k - r["eq_lo"])
-            elif k < r["eq_lo"] + r["inner"] + r["eq_hi"]:
-                plan[(c, i, rank)] = ("hi", hi_v)
-            else:
-                raise RuntimeError("quantile bracket missed its rank (sketch guarantee)")
-    inner_vals = {}
-    if need:
-        keys = spark.createDataFrame([(c, i) for (c, i) in need], "column string, qi int")
-        # pass 3: rank only the values strictly inside the bracket (<= 6n/A per group)
-        w = Window.partitionBy("column", "qi").orderBy("x")
-        inner = (j.filter((x > lo) & (x < hi)).join(F.broadcast(keys), ["column", "qi"])
-                 .withColumn("k", F.row_number().over(w) - 1))
-        wanted = F.lit(False)
-        for (c, i), ks in need.items():
-            wanted = wanted | ((F.col("column") == c) & (F.col("qi") == i) & F.col("k").isin(*ks))
-        for r in inner.filter(wanted).select("column", "qi", "k", "x").collect():
-            inner_vals[(r["column"], r["qi"], r["k"])] = r["x"]
-    for c, i, pos, lo_v, hi_v in specs:
-        vals = []
-        for rank in (math.floor(pos), math.ceil(pos)):
-            kind, v = plan[(c, i, rank)]
-            vals.append(inner_vals[(c, i, v)] if kind == "inner" else v)
-        out[c][i] = _interpolate(pos, vals[0], vals[1])
+            lo, hi = found.get((k, 2 * i)), found.get((k, 2 * i + 1))
+            if lo is not None:
+                out[c][i] = _interpolate((lo["n"] - 1) * p, key_double(lo["k"]), key_double(hi["k"]))
     return out
 
 
@@ -179,7 +103,7 @@ def numeric_summary(df: DataFrame, columns, probs=(0.25, 0.5, 0.75),
             sample_skewness("x").alias("skewness"), sample_kurtosis("x").alias("kurtosis"),
             F.min(x).alias("min"), F.max(x).alias("max")]
     if method != "exact":
-        aggs.append(quantile_exprs("x", probs, method).alias("q"))
+        aggs.append(sketch_quantiles("x", probs).alias("q"))
     g = long_values(df, columns).groupBy("column").agg(*aggs)
     if method == "exact":
         q = quantiles(df, columns, probs, "exact")   # bounded one row per column

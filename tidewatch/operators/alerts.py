@@ -78,17 +78,12 @@ def prediction_stats(df: DataFrame, p: str = "probability",
                      pred: str = "prediction", method: str = "exact") -> DataFrame:
     """One row: totals, class counts, distribution of p (population std) and
     zero-filled counts per confidence band and threat level. One aggregate,
-    plus the median of p (bounded exact quantile unless ``method`` says
-    otherwise)."""
-    from ..functions.stats import quantile_exprs, quantiles
+    plus the median of p (radix selection, or the sketch for ``approx``)."""
+    from ..functions.stats import quantiles
     valid = F.col(pred).isNotNull()
     pv = F.when(valid, F.col(p))
-    if method == "exact":
-        med = quantiles(df.select(pv.alias("__pv")), ["__pv"], [0.5], "exact")["__pv"][0]
-        median = F.lit(med).cast("double")
-    else:
-        median = quantile_exprs("__pv", [0.5], method).getItem(0)
-        df = df.withColumn("__pv", pv)
+    med = quantiles(df.select(pv.alias("__pv")), ["__pv"], [0.5], method)["__pv"][0]
+    median = F.lit(med).cast("double")
     aggs = [
         F.count(F.lit(1)).alias("total_predictions"),
         F.count_if(valid).alias("valid_predictions"),

@@ -3,14 +3,16 @@
 Everything that needs durable scratch space (checkpoints, round-trip files,
 stream checkpoints) goes below the folder the cluster names in
 ``spark.checkpoint.dir``. Only when that setting is absent (local tests) do we
-create one of our own under /tmp.
+create one of our own under /tmp; on any other master its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local runs and tests only.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -67,15 +70,64 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidewatch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class Scope:
+    """What ``scratch_scope`` yields: ``save`` writes a table that outlives it."""
+
+    def __init__(self, spark: SparkSession, outer: "Scope | None"):
+        self.spark, self.outer, self.paths = spark, outer, []
+
+    def save(self, df: DataFrame, name: str = "table") -> DataFrame:
+        path = _written(df, name)
+        if self.outer is not None:
+            self.outer.paths.append(path)
+        return self.spark.read.parquet(path)
+
+
+class _Scopes(threading.local):
+    def __init__(self):
+        self.open: list[Scope] = []
+
+
+_scopes = _Scopes()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that ``cut_lineage`` writes inside are removed at the end: nothing
+    that is still to be read may come out but what ``scope.save`` wrote (it
+    belongs to the scope around, if there is one). Only folders written here
+    are removed."""
+    scope = Scope(spark, _scopes.open[-1] if _scopes.open else None)
+    _scopes.open.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.open.remove(scope)
+        for path in scope.paths:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's file system (any store)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _written(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read
     it back: lineage ends there (it survives executor loss — never
     localCheckpoint), and later passes get column pruning and filter pushdown
     on the saved table, which an RDD checkpoint would not give."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = _written(df, name)
+    if _scopes.open:
+        _scopes.open[-1].paths.append(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def local_path(path: str) -> str:
