@@ -345,12 +345,12 @@ def test_radix_quantiles_equal_numpy_with_atoms_and_extremes(spark):
 
 def test_double_keys_are_the_bits_in_order(spark):
     import struct
-    from tidewatch.functions.radix import double_key, key_double
+    from tidewatch.functions.radix import key_double, with_double_key
     rng = random.Random(1)
     vals = [struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(3000)]
     vals = [v for v in vals if v == v] + [0.0, -0.0, float("inf"), float("-inf"), 2.0 ** 1023, 2.0 ** -1074]
     vals += [2.0 ** e * (1 + s) for e in range(-1022, 1023, 13) for s in (0, 2.0 ** -52, 1 - 2.0 ** -52)]
-    rows = spark.createDataFrame([(v,) for v in vals], "v double").select("v", double_key(F.col("v")).alias("k")).collect()
+    rows = with_double_key(spark.createDataFrame([(v,) for v in vals], "v double"), "v").collect()
     for r in rows:
         b = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
         assert r["k"] == (b if r["v"] >= 0 else -b) and key_double(r["k"]) == r["v"]

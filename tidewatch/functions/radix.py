@@ -19,27 +19,28 @@ from ..session import cut_lineage
 BITS = 16               # of the key that a scan counts by
 
 
-def double_key(x: Column) -> Column:
-    """A bigint in the order of the doubles: the IEEE bits of |x|, negated below
-    zero (so both zeros are 0). NULL for NULL and NaN. Plain arithmetic: scaling
-    by powers of two is exact, and the exponent is put right where the logarithm
-    was rounded over a power."""
-    x = F.nanvl(x.cast("double"), F.lit(None).cast("double"))
-    a = F.abs(x)
-    power = lambda e: F.pow(F.lit(2.0), e)
-    e = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(a)).cast("double")))
-    m = a / power(e)
-    e = e + (m >= 2).cast("double") - ((m < 1) & (e > -1022)).cast("double")
-    m = a / power(e)
+def with_double_key(df: DataFrame, x: str, k: str = "k") -> DataFrame:
+    """Adds ``k``, a bigint in the order of the doubles in ``x``: the IEEE bits of
+    |x|, negated below zero (so both zeros are 0); NULL for NULL and NaN. Plain
+    arithmetic in whole-stage code, a step a column so that no step is computed
+    twice: scaling by powers of two is exact, and where the logarithm was rounded
+    over a power the exponent is put right."""
+    a, e, m = F.col("__a"), F.col("__e"), F.col("__m")
+    over, under = m >= 2, (m < 1) & (e > -1022)
+    df = df.withColumn("__a", F.abs(F.nanvl(F.col(x).cast("double"), F.lit(None).cast("double"))))
+    df = df.withColumn("__e", F.floor(F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.log2(a)))).cast("int"))
+    df = df.withColumn("__m", a / F.pow(F.lit(2.0), e))
+    df = df.withColumn("__e", F.when(over, e + 1).when(under, e - 1).otherwise(e)).withColumn(
+        "__m", F.when(over, m / 2).when(under, m * 2).otherwise(m))
     scale = F.lit(float(1 << 52))
-    bits = F.when(m < 1, (m * scale).cast("long")).otherwise(
-        (e + 1023).cast("long") * F.lit(1 << 52) + ((m - 1) * scale).cast("long"))
-    bits = F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52)).otherwise(bits)
-    return F.when(x < 0, -bits).otherwise(bits)
+    df = df.withColumn("__a", F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52))
+                       .when(m < 1, (m * scale).cast("long"))
+                       .otherwise((e + 1023).cast("long") * F.lit(1 << 52) + ((m - 1) * scale).cast("long")))
+    return df.withColumn(k, F.when(F.col(x) < 0, -a).otherwise(a)).drop("__a", "__e", "__m")
 
 
 def key_double(k: int) -> float:
-    """The double of a ``double_key``."""
+    """The double of a key of ``with_double_key``."""
     v = struct.unpack("<d", struct.pack("<q", abs(k)))[0]
     return -v if k < 0 else v
 
@@ -59,7 +60,14 @@ def select_ranks(keys: DataFrame, ranks: list[Column], local: bool = True) -> Da
     spark = keys.sparkSession
 
     def settled(df):
-        return spark.createDataFrame(df.collect(), schema) if local else cut_lineage(df, "ranks")
+        """Targets whose bucket holds one value, and the others (None: there are none)."""
+        if local:
+            rows = df.collect()
+            part = [[r for r in rows if (r["lo"] == r["hi"]) is one] for one in (True, False)]
+            return spark.createDataFrame(part[0], schema), spark.createDataFrame(part[1], schema) if part[1] else None
+        df = cut_lineage(df, "ranks")
+        rest = df.where("lo < hi")
+        return df.where("lo = hi"), None if rest.isEmpty() else rest
 
     done, wanted, shift = None, None, 64
     while shift > 0:
@@ -89,10 +97,8 @@ def select_ranks(keys: DataFrame, ranks: list[Column], local: bool = True) -> Da
                    .withColumn("below", F.col("base") + F.col("sum"))
                    .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("m")))
                    .select("g", "i", "rank", "n", "below", F.col("b").alias("prefix"), "lo", "hi"))
-        hit = settled(hit)
-        ended = hit.where("lo = hi")
+        ended, wanted = settled(hit)
         done = ended if done is None else done.unionByName(ended)
-        wanted = hit.where("lo < hi")
-        if wanted.isEmpty():
+        if wanted is None:
             break
     return done.select("g", "i", "n", "below", F.col("lo").alias("k"))

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage, scratch_scope
-from .radix import double_key, key_double, select_ranks
+from .radix import key_double, select_ranks, with_double_key
 
 APPROX_ACCURACY = 100000
 
@@ -72,15 +72,16 @@ def _interpolate(pos: float, v0: float, v1: float) -> float:
 
 def exact_quantiles(df: DataFrame, columns, probs) -> dict:
     """Exact linear-interpolated quantiles of all columns together. The source is
-    evaluated once: its values are saved as one 64-bit key a column, and up to four
+    evaluated once: its values are saved as (column, 64-bit key), and up to four
     scans of that table, each one bounded count, find the wanted ranks. NULL and
     NaN are no values; an infinite neighbour gives what the interpolation gives."""
     probs = [float(p) for p in probs]
     columns = list(columns)
     name = {f"k{i}": c for i, c in enumerate(columns)}
     with scratch_scope(df.sparkSession):
-        wide = cut_lineage(df.select(*[double_key(F.col(f"`{c}`")).alias(k) for k, c in name.items()]), "keys")
-        keys = wide.unpivot([], list(name), "g", "k").where("k IS NOT NULL")
+        values = df.select(*[F.col(f"`{c}`").cast("double").alias(k) for k, c in name.items()])
+        long = values.unpivot([], list(name), "g", "x").where("x IS NOT NULL AND NOT isnan(x)")
+        keys = cut_lineage(with_double_key(long, "x").select("g", "k"), "keys")
         at = [F.col("n").cast("double") - 1] * len(probs)
         ranks = [f(x * F.lit(p)) for x, p in zip(at, probs) for f in (F.floor, F.ceil)]
         found = {(r["g"], r["i"]): r for r in select_ranks(keys, ranks).collect()}

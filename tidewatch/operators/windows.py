@@ -1,11 +1,12 @@
 """Order-dependent operators without single-partition windows.
 
-``global_row_number`` / ``prefix_sums``: range-partition on the order columns,
-sort inside partitions, tag rows with ``monotonically_increasing_id`` (partition
-id in the high bits, position in the low bits) and write the tagged table to the
-shared folder, so recomputation cannot move rows between partitions (range
-boundaries come from sampling). Per-partition
-counts / sums are a tiny table (one row per partition) turned into offsets.
+``global_row_number`` / ``prefix_sums`` are two-level scans: the input is saved
+once (range boundaries come from sampling, which reads it again), range-partitioned
+on the order columns into partitions of a size taken from its row count, sorted
+inside them, tagged with ``monotonically_increasing_id`` (partition in the high
+bits, place in the low bits) and written, so recomputation cannot move rows between
+partitions. Totals of the partitions, one row each, are summed up in order and
+joined back; nothing of them passes through the driver or the plan.
 
 ``rolling``: row-count frames over an order, optionally per entity. Rows are
 numbered per entity, cut into buckets of ``bucket_rows`` rows, and the last
@@ -25,14 +26,15 @@ LOW_BITS = 33
 LOW_MASK = (1 << LOW_BITS) - 1
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+PARTITION_ROWS = 1_000_000
 
 
 def ranged(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, id-tagged and checkpointed copy of ``df``;
-    adds ``__pid`` and ``__pos``."""
-    n = _partitions(df, partitions)
+    """Range-partitioned, sorted, id-tagged and saved copy of ``df``; adds
+    ``__pid`` and ``__pos``."""
+    df = cut_lineage(df, "unordered")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = partitions or max(least, -(-df.count() // PARTITION_ROWS))
     r = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("__id", F.monotonically_increasing_id()))
     # ids are fixed once written: partition id and position are data from here on
@@ -41,32 +43,20 @@ def ranged(df: DataFrame, order: list[Column], partitions: int | None = None) ->
             .withColumn("__pos", F.col("__id").bitwiseAND(F.lit(LOW_MASK))))
 
 
-def _offset_map(rows, key: str, cols: list[str]) -> dict:
-    rows = sorted(rows, key=lambda r: r[key])
-    acc = {c: 0 for c in cols}
-    out = {}
-    for r in rows:
-        out[r[key]] = dict(acc)
-        for c in cols:
-            acc[c] += r[c] or 0
-    return out
-
-
-def _lookup(offsets: dict, col: str, key: Column) -> Column:
-    if not offsets:
-        return F.lit(0)
-    m = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v[col]))])
-    return F.coalesce(F.try_element_at(m, key), F.lit(0))
+def _with_offsets(r: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """``r`` with, for each total, its sum over all partitions before the row's
+    own. The joined table has a row a range partition."""
+    per = r.groupBy("__pid").agg(*[t.alias(k) for k, t in totals.items()])
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("__pid", *[F.coalesce(F.sum(k).over(w), F.lit(0)).alias(k) for k in totals])
+    return r.join(F.broadcast(offs), "__pid")
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
                       partitions: int | None = None) -> DataFrame:
     """1-based row number in the total order ``order`` (must be unique)."""
-    r = ranged(df, order, partitions)
-    counts = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()  # one row/partition
-    offs = _offset_map(counts, "__pid", ["n"])
-    return r.withColumn(name, _lookup(offs, "n", F.col("__pid")) + F.col("__pos") + 1) \
-        .drop("__id", "__pid", "__pos")
+    r = _with_offsets(ranged(df, order, partitions), {"__before": F.count(F.lit(1))})
+    return r.withColumn(name, F.col("__before") + F.col("__pos") + 1).drop("__id", "__pid", "__pos", "__before")
 
 
 def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column],
@@ -75,15 +65,10 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column],
     ``sums`` entry. Local running sums are a window per range partition (each
     partition is one bounded slice); partition totals become offsets."""
     base = df.withColumns({f"__v_{k}": v for k, v in sums.items()})
-    r = ranged(base, order, partitions)
+    r = _with_offsets(ranged(base, order, partitions), {f"__o_{k}": F.sum(f"__v_{k}") for k in sums})
     w = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = r.withColumns({f"__c_{k}": F.sum(f"__v_{k}").over(w) for k in sums})
-    tot = r.groupBy("__pid").agg(*[F.sum(f"__v_{k}").alias(k) for k in sums]).collect()
-    offs = _offset_map(tot, "__pid", list(sums))
-    out = local.withColumns({k: _lookup(offs, k, F.col("__pid")) + F.col(f"__c_{k}")
-                             for k in sums})
-    return out.drop("__id", "__pid", "__pos", *[f"__v_{k}" for k in sums],
-                    *[f"__c_{k}" for k in sums])
+    out = r.withColumns({k: F.col(f"__o_{k}") + F.sum(f"__v_{k}").over(w) for k in sums})
+    return out.drop("__id", "__pid", "__pos", *[f"__{x}_{k}" for k in sums for x in "vo"])
 
 
 def rank_within_groups(df: DataFrame, groups: list[str], order: list[Column],
@@ -92,26 +77,33 @@ def rank_within_groups(df: DataFrame, groups: list[str], order: list[Column],
     without one task per group: global number, minus the group's first."""
     rn = global_row_number(df, [F.col(g) for g in groups] + order, "__grn", partitions)
     first = rn.groupBy(*groups).agg(F.min("__grn").alias("__first"))
-    return (join_small(rn, first, groups)
+    return (join_small(rn, cut_lineage(first, "firsts"), groups)
             .withColumn(name, F.col("__grn") - F.col("__first") + 1)
             .drop("__grn", "__first"))
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 48 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Rows, at 16 bytes a column, and the bytes of all strings, counted."""
+    text = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema.fields
+            if f.dataType.typeName() in ("string", "binary", "varchar", "char")]
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(text, F.lit(0)).cast("long")).alias("b")).first()
+    return r["n"] * 16 * len(df.columns) + (r["b"] or 0)
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str],
-               max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join with a per-group table: broadcast it when its row count is
-    checked to be under ``max_rows`` (hot groups then cost nothing), else a
-    shuffle join that AQE's skew handling splits. NULL keys match each other:
-    a NULL group keeps its rows."""
-    n = small.count()
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+               limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Join with a per-group table: broadcast it when its counted bytes are under
+    ``limit`` (hot groups then cost nothing), else a shuffle join that AQE's skew
+    handling splits. NULL keys match each other: a NULL group keeps its rows."""
     keys = {c: f"__key{i}" for i, c in enumerate(on)}
-    small = small.withColumnsRenamed(keys)
-    side = F.broadcast(small) if n <= max_rows else small
+    side = small.withColumnsRenamed(keys)
+    if table_bytes(small) <= limit:
+        side = F.broadcast(side)
     same = [big[f"`{c}`"].eqNullSafe(side[k]) for c, k in keys.items()]
-    return big.join(side, on=same, how="inner").drop(*keys.values())
+    return big.join(side, on=same, how=how).drop(*keys.values())
 
 
 def rolling_window_size(n_rows: int, cap: int = 100, divisor: int = 10) -> int:
