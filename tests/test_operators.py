@@ -3,6 +3,7 @@
 import math
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from tidewatch.operators import sampling as SA
 from tidewatch.operators import scaling as SC
 from tidewatch.operators import windows as WI
 from tidewatch.schemas import nan_to_null
-from tidewatch.session import local_path, scratch_path
+from tidewatch.session import cut_lineage, local_path, scratch_path
 from tidewatch.sources import files as FI
 
 
@@ -480,3 +481,81 @@ def test_capture_by_month_keeps_all_rows(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "c"))
     assert back.count() == 41 and back.where("capture_date IS NULL").count() == 1
     assert back.select("capture_month").distinct().count() == 4
+
+
+def test_split_keeps_repeated_keys_together_and_null_labels_apart(spark):
+    rows = [(i, None if i % 3 == 0 else i % 3) for i in range(999)] + [(7, 1)] * 50 + [(None, 2)] * 4
+    df = spark.createDataFrame(rows, "k int, y int")
+    got = SA.split_stratified(df, "y", "k", 0.8, validation_frac=0.25).collect()
+    assert len(got) == len(rows) and {r["split"] for r in got} == {"train", "validation", "test"}
+    assert len({r["split"] for r in got if r["k"] == 7}) == 1
+    n = sum(r["y"] is None and r["split"] != "test" for r in got)
+    assert n == int(333 * 0.8 + 0.5)
+    assert SA.split_stratified(df.limit(0), "y", "k").collect() == []
+    alone = SA.split_stratified(df.limit(1), "y", "k", 0.2).collect()      # no row of its label is train
+    assert [r["split"] for r in alone] == ["test"]
+
+
+def test_folds_over_many_hash_prefixes_equal_one_window(spark, monkeypatch):
+    rows = [(i, None if i % 5 == 0 else i % 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, y int")
+    one = {r["k"]: r["fold"] for r in SA.fold_stratified(df, "y", "k").collect()}
+    monkeypatch.setattr(SA, "FOLD_ROWS", 10)
+    many = {r["k"]: r["fold"] for r in SA.fold_stratified(df, "y", "k").collect()}
+    assert one == many and len(one) == 3000
+
+
+def test_global_order_over_more_partitions_than_a_plan_could_list(spark):
+    df = spark.range(4000).select((F.col("id") * 7919 % 4001).alias("k"))
+    rn = WI.global_row_number(df, [F.col("k")], partitions=400)
+    got = sorted((r["k"], r["rn"]) for r in rn.collect())
+    assert [x[1] for x in got] == list(range(1, 4001))
+
+
+def test_sparse_onehot_with_many_categories(spark):
+    from pyspark.ml.linalg import SparseVector
+    df = spark.range(120_000).select(F.col("id").alias("k"), F.format_string("c.%06d", F.col("id")).alias("big"),
+                                     F.when(F.col("id") % 4 < 3, F.concat(F.lit("x"), F.col("id") % 4)).alias("few"))
+    state = cut_lineage(EN.fit_dictionary(df, ["big", "few"]))
+    assert state.count() == 120_003
+    new = spark.createDataFrame([(1, "c.000000", "x0"), (2, "c.000001", "x2"), (3, "c.119999", None), (4, "other", "x1"),
+                                 (5, None, "new")], "k int, big string, few string")
+    v = EN.onehot_vectors(new, state, drop=False)
+    assert {r["k"]: r["onehot"]["indices"] for r in v.collect()} == {
+        1: [], 2: [0, 120_000], 3: [119_998], 4: [119_999], 5: []}
+    ml = {r["k"]: r["onehot"] for r in EN.as_ml_vectors(v).collect()}
+    assert ml[2] == SparseVector(120_001, {0: 1.0, 120_000: 1.0})
+    with pytest.raises(EN.TooManyFlags):
+        EN.onehot_transform(new, state)
+
+
+def test_wide_onehot_quotes_and_parts_names(spark):
+    df = spark.createDataFrame([("a.b", "1", 0), ("c", "b_1", 1), ("c", None, 2)], "`p.q` string, `p.q_c` string, `p.q_d` int")
+    out = EN.onehot_transform(df, EN.fit_dictionary(df, ["p.q", "p.q_c"]))
+    assert out.columns == ["p.q_d", "p.q_c", "p.q_c_b_1"] and [tuple(r) for r in out.collect()] == [
+        (0, 0, 0), (1, 1, 1), (2, 1, 0)]
+
+
+def test_header_scan_keeps_bad_lines(spark):
+    path = local_path(scratch_path(spark, "header_scan"))
+    os.makedirs(path)
+    names = ["attack_type", "extra", "duration", "src_bytes", "service"]
+    for i, lines in enumerate((["normal,e,1.5,10,http", "smurf,e,x,10,http", "normal,e,2.5"],
+                               ['normal,"a,b",NaN,7,', "neptune,e,1,2,ftp,more", "land,e,1,9.5,ftp", ""])):
+        with open(f"{path}/part{i}.csv", "w") as f:
+            f.write("\n".join([",".join(names), *lines]) + "\n")
+    good, bad = FI.scan_chunked(spark, path)
+    assert {(r["attack_type"], r["duration"], r["src_bytes"], r["service"], r["is_attack"]) for r in good.collect()} \
+        == {("normal", None, 7, None, 0), ("normal", 1.5, 10, "http", 0)} and good.count() == 2
+    assert sorted(r["raw"] for r in bad.collect()) == ["land,e,1,9.5,ftp", "neptune,e,1,2,ftp,more", "normal,e,2.5",
+                                                       "smurf,e,x,10,http"]
+    with pytest.raises(FI.ScanError):
+        FI.header_schema(["a", "a"], FI.kdd_schema())
+
+
+def test_repeated_rows_compare_whole_rows(spark):
+    rows = [(i % 50, None if i % 4 else "s", float(i % 3)) for i in range(700)] + [(1, None, None)] * 300
+    df = spark.createDataFrame(rows, "a int, `b.c` string, d double")
+    n = Counter(rows)
+    assert sorted(r["n"] for r in P.repeated_rows(df).collect()) == sorted(c for c in n.values() if c > 1)
+    assert P.repeated_rows(df.limit(0)).collect() == []

@@ -9,7 +9,8 @@ from ..operators import features as FE
 from ..operators import impute as IM
 from ..operators import outliers as OU
 from ..operators import scaling as SC
-from ..sources.tables import connections, events
+from ..session import cut_lineage
+from ..sources.tables import connections, events, load
 from .base import CONN_CTE, fin, register, sql_fin, with_cte
 
 NUM = ["duration", "src_bytes", "dst_bytes", "count", "srv_count", "serror_rate",
@@ -141,6 +142,28 @@ def q_encode_onehot(spark, sf):
     return fin(long)
 
 
+# --- one sparse vector a row, over every (part, supplier) endpoint there is -------------
+@register("encode_onehot_sparse", sql_fin("""WITH
+lines AS (SELECT l_orderkey, l_linenumber, l_partkey || '/' || l_suppkey AS endpoint, l_returnflag FROM lineitem),
+ends AS (SELECT endpoint, row_number() OVER (ORDER BY endpoint) - 2 AS place
+         FROM (SELECT DISTINCT endpoint FROM lines WHERE endpoint IS NOT NULL) e),
+flags AS (SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 2 AS place
+          FROM (SELECT DISTINCT l_returnflag FROM lines WHERE l_returnflag IS NOT NULL) f),
+sizes AS (SELECT (SELECT count(*) - 1 FROM ends) AS n_ends, (SELECT count(*) - 1 FROM flags) AS n_flags)
+SELECT l_orderkey, l_linenumber, n_ends + n_flags AS size,
+       concat_ws(',', CASE WHEN e.place >= 0 THEN e.place END,
+                 CASE WHEN f.place >= 0 THEN f.place + n_ends END) AS indices
+FROM lines LEFT JOIN ends e USING (endpoint) LEFT JOIN flags f USING (l_returnflag), sizes""",
+    ints=["l_orderkey", "l_linenumber", "size"]))
+def q_encode_onehot_sparse(spark, sf):
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.concat_ws(
+        "/", "l_partkey", "l_suppkey").alias("endpoint"))
+    state = cut_lineage(EN.fit_dictionary(lines, ["endpoint", "l_returnflag"]), "dictionary")
+    v = EN.onehot_vectors(lines, state)
+    return fin(v.select("l_orderkey", "l_linenumber", F.col("onehot.size").alias("size"),
+                        F.array_join(F.col("onehot.indices").cast("array<string>"), ",").alias("indices")))
+
+
 # --- label encoding fitted on old connections, applied to all -----------------------
 _FIT_WHERE = "ts < TIMESTAMP '1996-01-01 00:00:00'"
 _LBL_CATS = " UNION ALL ".join(

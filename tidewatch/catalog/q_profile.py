@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import rule_label, rule_score
 from ..operators import profile as P
+from ..operators.sampling import concat_parts
 from ..sources.tables import connections
 from .base import CONN_CTE, fin, register, with_cte
 
@@ -211,17 +212,32 @@ def q_null_profile(spark, sf):
 
 
 _DUP_COLS = ["protocol_type", "service", "flag", "count", "srv_count", "serror_rate", "rerror_rate"]
-_DUP_SRC = f"(SELECT {', '.join(q(c) for c in _DUP_COLS)}, count(*) AS k FROM connections " \
-           f"GROUP BY ALL) g"
 
 
-@register("duplicate_rows", wrap(with_cte(CONN_CTE, union([
-    m("duplicate_rows", "*", "duplicate_count", "coalesce(sum(k - 1), 0)",
-      sev("coalesce(sum(k - 1), 0) > coalesce(sum(k), 0) * 0.1", "warning"), src=_DUP_SRC),
-    m("duplicate_rows", "*", "duplicate_pct", "coalesce(sum(k - 1), 0) * 100.0 / sum(k)",
-      sev("coalesce(sum(k - 1), 0) > coalesce(sum(k), 0) * 0.1", "warning"), src=_DUP_SRC)]))))
+def _dup_sql(cols, src="connections"):
+    groups = f"(SELECT {', '.join(q(c) for c in cols)}, count(*) AS k FROM {src} GROUP BY ALL) g"
+    severity = sev("coalesce(sum(k - 1), 0) > coalesce(sum(k), 0) * 0.1", "warning")
+    return wrap(with_cte(CONN_CTE, union([
+        m("duplicate_rows", "*", "duplicate_count", "coalesce(sum(k - 1), 0)", severity, src=groups),
+        m("duplicate_rows", "*", "duplicate_pct", "coalesce(sum(k - 1), 0) * 100.0 / sum(k)", severity, src=groups)])))
+
+
+@register("duplicate_rows", _dup_sql(ALL))
 def q_duplicate_rows(spark, sf):
-    return fin(P.duplicate_rows(connections(spark, sf).select(*_DUP_COLS)))
+    return fin(P.duplicate_rows(connections(spark, sf, materialize=True)))
+
+
+@register("duplicate_rows_key_columns", _dup_sql(_DUP_COLS))
+def q_duplicate_rows_key_columns(spark, sf):
+    return fin(P.duplicate_rows(connections(spark, sf, materialize=True).select(*_DUP_COLS)))
+
+
+# all columns, with the attacks loaded a second time
+@register("duplicate_rows_reloaded", _dup_sql(
+    ALL, "(SELECT * FROM connections UNION ALL SELECT * FROM connections WHERE is_attack = 1) x"))
+def q_duplicate_rows_reloaded(spark, sf):
+    c = connections(spark, sf, materialize=True)
+    return fin(P.duplicate_rows(concat_parts(c, c.filter(F.col("is_attack") == 1))))
 
 
 @register("infinite_columns", wrap(src_cte(union(infinite_sql(DOUBLES)))))

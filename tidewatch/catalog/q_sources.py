@@ -10,11 +10,12 @@ from ..functions.expressions import derive_label
 from ..operators import profile as P
 from ..plans.scoring import rule_scored
 from ..schemas import KDD_COLUMNS, KDD_NAMES, nsl_schema
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files as FI
 from ..sources import sinks as SK
 from ..sources.tables import connections, kdd_layout
 from .base import CONN_CTE, SCORED_CTE, fin, register, sql_fin, with_cte
+from .q_profile import ALL, empty_sql, src_cte, union, wrap
 
 _SQL_TYPES = {"DoubleType()": "DOUBLE", "StringType()": "VARCHAR", "LongType()": "BIGINT",
               "IntegerType()": "INTEGER"}
@@ -71,13 +72,19 @@ def q_scan_kdd_header(spark, sf):
     return fin(FI.scan_kdd(spark, path).select(*OUT))
 
 
-@register("scan_nsl", KDD_SQL)
+@register("scan_nsl", sql_fin(with_cte(
+    KDD_CTE, "SELECT *, CASE WHEN flag = 'BUILDING' THEN 'test' ELSE 'train' END AS part FROM kddl"), _DBL, _INT))
 def q_scan_nsl(spark, sf):
-    path = scratch_path(spark, "nsl")
+    # a pair of files: train without, test with a header line
+    paths = [scratch_path(spark, f"nsl_{part}") for part in ("train", "test")]
     k = _kdd(spark, sf).withColumn("difficulty_level", F.col("count"))
-    k.select(*[f.name for f in nsl_schema().fields]).write.mode("overwrite").csv(path)
-    train, _ = FI.scan_nsl(spark, path)
-    return fin(train.select(*OUT))
+    k = k.select(*[f.name for f in nsl_schema().fields])
+    test = F.coalesce(F.col("flag") == "BUILDING", F.lit(False))
+    k.filter(~test).write.mode("overwrite").csv(paths[0])
+    k.filter(test).write.mode("overwrite").option("header", True).csv(paths[1])
+    both = FI.scan_nsl(spark, *paths)
+    train, test = (df.select(*OUT, F.lit(part).alias("part")) for df, part in zip(both, ("train", "test")))
+    return fin(train.unionByName(test))
 
 
 @register("scan_auto", KDD_SQL)
@@ -105,17 +112,37 @@ def q_scan_json_record(spark, sf):
     return fin(FI.scan_json_records(spark, path).select(*OUT))
 
 
-@register("scan_chunked", with_cte(KDD_CTE, """
-SELECT count(*) AS good_rows, CAST(0 AS BIGINT) AS rejected_rows,
-       count(*) FILTER (WHERE is_attack = 1) AS attacks FROM kddl"""))
+# Bad lines: connections of one packet lose the end of their line, those of two
+# packets have a text where a number belongs.
+@register("scan_chunked", with_cte(KDD_CTE + """,
+flagged AS (SELECT is_attack, coalesce("count" = 1, FALSE) AS cut, coalesce("count" = 2, FALSE) AS wrong FROM kddl)""", """
+SELECT layout, CASE WHEN wrong OR (cut AND layout = 'plain') THEN 'rejected' ELSE 'good' END AS outcome,
+       count(*) AS n, count(*) FILTER (WHERE is_attack = 1) AS attacks
+FROM flagged, (SELECT 'plain' AS layout UNION ALL SELECT 'header') l GROUP BY ALL"""))
 def q_scan_chunked(spark, sf):
-    path = scratch_path(spark, "chunked")
-    _kdd(spark, sf).repartition(4).write.mode("overwrite").csv(path)
-    df = FI.scan_kdd(spark, path, header=False)
-    ok = F.col(FI.CORRUPT).isNull()
-    # one pass: good / rejected / attack counts together
-    return fin(df.agg(F.count_if(ok).alias("good_rows"), F.count_if(~ok).alias("rejected_rows"),
-                      F.count_if(ok & (F.col("is_attack") == 1)).alias("attacks")))
+    k = cut_lineage(_kdd(spark, sf), "records")
+    plain, headed = scratch_path(spark, "chunked"), scratch_path(spark, "chunked_header")
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in KDD_NAMES]
+    wrong = F.coalesce(F.col("count") == 2, F.lit(False))
+    texts = [F.when(wrong, "n/a").otherwise(t) if c == "src_bytes" else t for c, t in zip(KDD_NAMES, texts)]
+    line = F.concat_ws(",", *texts)
+    cut = F.concat_ws(",", *texts[:30], texts[-1])
+    k.select(F.when(F.col("count") == 1, cut).otherwise(line).alias("value")).write.mode("overwrite").text(plain)
+    # with a header line the columns may stand in any order
+    named = dict(zip(KDD_NAMES, texts))
+    k.select(*[named[c].alias(c) for c in reversed(KDD_NAMES)]).write.mode("overwrite").option(
+        "header", True).option("emptyValue", "").csv(headed)
+    out = None
+    for layout, path in (("plain", plain), ("header", headed)):
+        good, bad = FI.scan_chunked(spark, path)
+        rows = good.select("is_attack", F.lit("good").alias("outcome")).unionByName(
+            bad.where("raw IS NOT NULL AND error IS NOT NULL").select(
+                F.when(F.col("raw").rlike("(^normal,)|(,normal$)"), 0).otherwise(1).alias("is_attack"),
+                F.lit("rejected").alias("outcome")))
+        rows = rows.groupBy("outcome").agg(F.count("*").alias("n"), F.count_if(F.col("is_attack") == 1).alias(
+            "attacks")).withColumn("layout", F.lit(layout))
+        out = rows if out is None else out.unionByName(rows)
+    return fin(out.select("layout", "outcome", "n", "attacks"))
 
 
 _SCORED_OUT = ["conn_id", "probability", "prediction", "prediction_label", "confidence",
@@ -155,16 +182,10 @@ def q_sink_processed(spark, sf):
     return fin(spark.read.parquet(path).select(*OUT))
 
 
-@register("sink_report", with_cte(CONN_CTE, """
-SELECT 'empty_columns' AS "check", 'conn_id' AS "column", 'non_null_count' AS metric,
-       CAST(count(conn_id) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text,
-       'metric' AS severity FROM connections
-UNION ALL SELECT 'empty_columns', 'duration', 'non_null_count', CAST(count(duration) AS DOUBLE),
-       NULL, 'metric' FROM connections"""))
+@register("sink_report", wrap(src_cte(union(empty_sql(ALL)))))
 def q_sink_report(spark, sf):
-    c = connections(spark, sf).select("conn_id", "duration")
     path = scratch_path(spark, "report")
-    SK.write_report(P.empty_columns(c), path)
+    SK.write_report(P.empty_columns(connections(spark, sf)), path)
     return fin(spark.read.schema(P.CHECK_DDL).json(path))
 
 

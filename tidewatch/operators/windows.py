@@ -103,7 +103,8 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     if table_bytes(small) <= limit:
         side = F.broadcast(side)
     same = [big[f"`{c}`"].eqNullSafe(side[k]) for c, k in keys.items()]
-    return big.join(side, on=same, how=how).drop(*keys.values())
+    joined = big.join(side, on=same, how=how)
+    return joined if how == "left_semi" else joined.drop(*keys.values())
 
 
 def rolling_window_size(n_rows: int, cap: int = 100, divisor: int = 10) -> int:

@@ -8,6 +8,8 @@ are kept in ``_corrupt_record`` (PERMISSIVE mode) and split off by
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.expressions import derive_label
@@ -18,17 +20,33 @@ class ScanError(ValueError):
     pass
 
 
-def looks_like_header(spark: SparkSession, path: str, names=KDD_NAMES) -> bool:
-    """First line names the known columns (reads one line, not the file)."""
+def first_cells(spark: SparkSession, path: str) -> list[str]:
+    """Cells of the first line (reads one line, not the file)."""
     first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return False
-    cells = [c.strip().strip('"') for c in first[0][0].split(",")]
-    return len(cells) >= 3 and cells[:3] == list(names[:3])
+    return next(csv.reader([first[0][0]]), []) if first else []
+
+
+def looks_like_header(spark: SparkSession, path: str, names=KDD_NAMES) -> bool:
+    """Half or more of the first line's cells are known column names, in any order."""
+    cells = {c.strip() for c in first_cells(spark, path)}
+    return 2 * len(cells & set(names)) >= len(cells) > 0
+
+
+def header_schema(cells: list[str], known: T.StructType) -> T.StructType:
+    """Schema of a file with this header line: known columns with their types
+    wherever they stand, others as text, and the column for bad lines."""
+    types = {f.name: f.dataType for f in known.fields}
+    names = [c.strip() for c in cells]
+    twice = {c for c in names if names.count(c) > 1}
+    if twice:
+        raise ScanError(f"column names repeat in the header: {sorted(twice)}")
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in names]
+                        + [T.StructField(CORRUPT, T.StringType())])
 
 
 def _csv(spark, path, schema, header: bool) -> DataFrame:
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+    # which lines are bad must not depend on the columns that a query reads
+    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
             .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
@@ -37,40 +55,65 @@ def _finish(df: DataFrame, drop=()) -> DataFrame:
     return df.withColumn("is_attack", derive_label("attack_type"))
 
 
+def _by_header(spark, path, known: T.StructType) -> DataFrame:
+    """A file with a header line: its known columns in the layout's order. A line
+    with too few or too many cells, or a value that its type cannot hold, keeps
+    ``_corrupt_record`` and never ends the job. Every file of a folder must have
+    the header of the first."""
+    schema = header_schema(first_cells(spark, path), known)
+    df = _csv(spark, path, schema, True)
+    return df.select(*[f"`{f.name}`" for f in known.fields if f.name in df.columns], CORRUPT)
+
+
 def scan_kdd(spark: SparkSession, path: str, header: bool | None = None) -> DataFrame:
     """42 named columns (+ header detection) -> + is_attack; bad rows keep
-    ``_corrupt_record``."""
+    ``_corrupt_record``. With a header, columns are read by name in any order and
+    columns that the layout does not know (as a trailing label) are left out."""
     if header is None:
         header = looks_like_header(spark, path)
-    schema = kdd_schema(with_corrupt=True)
     if header:
-        # a header file may carry an extra is_attack column: read by name
-        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in kdd_schema().fields
-                if f.name in df.columns]
-        df = df.select(*cols).withColumn(CORRUPT, F.lit(None).cast("string"))
-        return _finish(df, drop=("is_attack",))
-    return _finish(_csv(spark, path, schema, False))
+        return _finish(_by_header(spark, path, kdd_schema()))
+    return _finish(_csv(spark, path, kdd_schema(with_corrupt=True), False))
 
 
 def scan_nsl(spark: SparkSession, train_path: str, test_path: str | None = None):
-    """43 columns; ``difficulty_level`` is dropped. Returns (train, test)."""
-    schema = nsl_schema(with_corrupt=True)
-    tr = _finish(_csv(spark, train_path, schema, False), drop=("difficulty_level",))
-    te = _finish(_csv(spark, test_path, schema, False), drop=("difficulty_level",)) \
-        if test_path else None
-    return tr, te
+    """43 columns; ``difficulty_level`` is dropped. Returns (train, test); bad rows
+    of either keep ``_corrupt_record``."""
+    def one(path):
+        if looks_like_header(spark, path):
+            df = _by_header(spark, path, nsl_schema())
+        else:
+            df = _csv(spark, path, nsl_schema(with_corrupt=True), False)
+        return _finish(df, drop=("difficulty_level",))
+
+    return one(train_path), one(test_path) if test_path else None
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              **options) -> DataFrame:
-    """Generic CSV with pass-through options (``inferSchema`` only when asked)."""
+    """Generic CSV with pass-through options (``inferSchema`` only when asked).
+    With ``schema`` and ``_corrupt_record`` among its columns, bad lines are kept
+    there."""
     r = spark.read.options(**{k: str(v) for k, v in options.items()})
     if schema is not None:
-        r = r.schema(schema)
+        r = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     return nan_to_null(r.csv(path))
 
 
+SAMPLE_ROWS = 10_000
+
+
+def sampled_schema(spark: SparkSession, path: str, rows: int = SAMPLE_ROWS) -> T.StructType:
+    """Column names of the header line, types inferred from the first ``rows`` lines
+    only. Later values that a type cannot hold are kept as bad lines by the scan,
+    so the sample decides types, never which rows are read."""
+    head = spark.read.text(path).limit(rows + 1)
+    lines = [r[0] for r in head.collect()]
+    found = spark.read.option("header", True).option("inferSchema", True).csv(
+        spark.sparkContext.parallelize(lines, 1)).schema if lines else T.StructType()
+    return T.StructType([*found.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One JSON object per connection (many records), KDD schema by default."""
     s = schema or kdd_schema(with_corrupt=True)
@@ -92,7 +135,7 @@ def scan_auto(spark: SparkSession, path: str, dataset_type: str = "auto") -> Dat
     elif kind == "kdd":
         df = scan_kdd(spark, path)
     else:
-        df = scan_csv(spark, path, header=True, inferSchema=True)
+        df = scan_csv(spark, path, sampled_schema(spark, path), header=True, mode="PERMISSIVE")
     if df.isEmpty():
         raise ScanError(f"no rows in {path}")
     if "is_attack" not in df.columns:
