@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import cut_lineage, scratch_path  # noqa: F401  (re-used by the operators)
+from ..session import cut_lineage, scratch_path, scratch_scope  # noqa: F401  (re-used by the operators)
 
 # Internal row number. Operators pick the columns they need before they add it,
 # so a caller's column of any ordinary name cannot clash with it.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut_lineage, sized, spread
+from .common import cut_lineage, scratch_scope, sized, spread
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -15,10 +15,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbours (a map-side combined minimum, so a hub costs one row a task),
     both ends of every edge move along the pointers, loops and repeats go.
     Each round at least halves the nodes of a component. Every round is a saved
-    table in the shared folder; the pointers are then composed backwards. Only
-    row counts reach the driver. Nulls and loops in ``edges`` are ignored; no
-    edges give no rows.
+    table in the shared folder, which goes when the result is saved; the pointers
+    are then composed backwards. Only row counts reach the driver. Nulls and loops
+    in ``edges`` are ignored; no edges give no rows.
     """
+    with scratch_scope(edges.sparkSession) as scope:
+        return scope.save(_contracted(edges), "components")
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     live = cut_lineage(
         edges.select("a", "b").where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
@@ -61,7 +66,7 @@ def settle(rows: DataFrame, tested: DataFrame, links: DataFrame, confirm, finish
     ``rounds`` of that is compared exactly by ``finish(rows) -> links`` in pairs
     of blocks, as ``block_pairs`` deals them.
     """
-    comp = cut_lineage(connected_components(links), "components")
+    comp = connected_components(links)
     for r in range(rounds + 1):
         rows = _mixed(rows.select("key", "node"), comp)
         if rows.isEmpty():
@@ -77,7 +82,7 @@ def settle(rows: DataFrame, tested: DataFrame, links: DataFrame, confirm, finish
             pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
             tested = tested.unionByName(pairs)
             links = links.unionByName(confirm(pairs))
-        comp = cut_lineage(connected_components(links), "components")
+        comp = connected_components(links)
     return comp
 
 

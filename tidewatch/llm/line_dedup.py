@@ -3,10 +3,10 @@ verification and union-find; one line of each component stays."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import (RID, band_keys, cut_lineage, distinct_sets, lean, mix64, odd_multipliers, segment_minhash,
-                     similar, sized, with_row_id)
+from .common import (BROADCAST_BYTES, RID, band_keys, cut_lineage, distinct_sets, lean, mix64, odd_multipliers,
+                     scratch_scope, segment_minhash, similar, sized, with_row_id)
 from .components import settle, spanning_links
 
 SHINGLE = 8             # characters
@@ -183,18 +183,23 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     then still hold two components get other pivots, and in the end are compared
     in blocks.
     """
+    with scratch_scope(docs.sparkSession) as scope:
+        return _marked(docs, percent, bands, rows, size, scope)
+
+
+def _marked(docs, percent, bands, rows, size, scope):
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    saved = cut_lineage(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
+    saved = scope.save(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
         lean(lambda it: _signatures(it, bands, rows, size)),
         f"{RID} bigint, doc_id {id_type}, line_no int, h bigint, line string, keys array<bigint>"), "lines")
-    entries = saved.select(F.explode("keys").alias("key"), "h")
-    stars = cut_lineage(entries.groupBy("key").agg(
-        F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("m")).where("lo < hi"), "stars")
-    wide = stars.where("m > 2")
-    inside = cut_lineage(entries.join(sized(wide.select("key", "lo"), 32), "key").distinct(), "inside")
-    pairs = stars.where("m = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(
-        inside.where("h <> lo").select(F.col("h").alias("a"), F.col("lo").alias("b")))
-    pairs = cut_lineage(pairs.distinct(), "pairs")
+    # one shuffle by key: what follows groups by it too
+    bucket = Window.partitionBy("key")
+    members = (saved.select(F.explode("keys").alias("key"), "h")
+               .withColumn("lo", F.min("h").over(bucket)).withColumn("hi", F.max("h").over(bucket)).where("lo < hi")
+               .select("key", "h", "lo").distinct().withColumn("m", F.count("*").over(bucket)))
+    members = cut_lineage(members, "members")
+    inside = members.where("m > 2")
+    pairs = cut_lineage(members.where("h <> lo").select(F.col("h").alias("a"), F.col("lo").alias("b")).distinct(), "pairs")
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
     texts = cut_lineage(saved.where("line IS NOT NULL").select("h", "line").join(sized(wanted, 16), "h", "left_semi")
                         .groupBy("h").agg(F.first("line").alias("line")), "texts")
@@ -213,11 +218,11 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
                 .applyInPandas(lambda f: _block_links(f, percent, size), "a bigint, b bigint"))
 
     comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs), confirm, finish, BLOCK)
-    comp = comp.withColumnRenamed("node", "h")
+    comp = scope.save(comp.withColumnRenamed("node", "h"), "components")
     marked = saved.select(RID, "doc_id", "line_no", "h").join(sized(comp, 24), "h", "left").select(
         RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component"))
     # lines that are alone stay without a join, and a hot component's rows can be split
-    first = cut_lineage(marked.groupBy("component").agg(F.min(F.struct(
+    first = scope.save(marked.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(RID), F.col("line_no"))).alias("f"),
         F.count("*").alias("n")).where("n > 1").select(
             "component", F.col(f"f.{RID}").alias("__tw_row"), F.col("f.line_no").alias("__tw_line")), "first")
@@ -238,10 +243,14 @@ def drop_duplicate_lines(docs: DataFrame, **options) -> DataFrame:
     one (their line breaks go with them). A document that loses all of its lines
     that are not blank goes; one that had none stays as it is. A column
     ``n_chars`` is kept as it was read."""
-    gone = cut_lineage(duplicate_lines(docs, **options).groupBy(RID).agg(
-        F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("__tw_gone"),
-        F.count("*").alias("__tw_n")).where("size(__tw_gone) > 0"), "gone")
+    with scratch_scope(docs.sparkSession) as scope:
+        gone = scope.save(duplicate_lines(docs, **options).groupBy(RID).agg(
+            F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("__tw_gone"),
+            F.count("*").alias("__tw_n")).where("size(__tw_gone) > 0"), "gone")
     names = docs.columns
+    # where the table of dropped line numbers is small, the texts need no shuffle
+    n = gone.agg(F.coalesce(F.sum(F.size("__tw_gone") * 4 + 48), F.lit(0))).first()[0]
+    gone = F.broadcast(gone) if n <= BROADCAST_BYTES else gone
     d = with_row_id(docs).join(gone, RID, "left").where(
         "__tw_gone IS NULL OR size(__tw_gone) < __tw_n")
     text = F.when(F.col("__tw_gone").isNull(), F.col("text")).otherwise(F.expr(

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import (RID, WordHashes, band_keys, cut_lineage, lean, mix64, odd_multipliers,
-                     segment_minhash, sized, slices, with_row_id)
+                     scratch_scope, segment_minhash, sized, slices, with_row_id)
 from .components import settle, spanning_links
 
 SHINGLE = 5
@@ -260,5 +260,6 @@ def near_rows(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the same columns and one document of each component."""
-    gone = cut_lineage(near_duplicates(docs, **options).where("NOT kept").select(RID), "gone")
+    with scratch_scope(docs.sparkSession) as scope:
+        gone = scope.save(near_duplicates(docs, **options).where("NOT kept").select(RID), "gone")
     return with_row_id(docs).join(sized(gone, 16), RID, "left_anti").drop(RID)
