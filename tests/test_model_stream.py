@@ -13,7 +13,9 @@ from tidewatch.plans.features import FeatureSpec
 from tidewatch.plans.model import score_batch, train
 from tidewatch.session import scratch_path
 from tidewatch.sources.tables import connections, events, risk_probability
+from tidewatch.operators import windows as WI
 from tidewatch.streaming import alarm as SAL
+from tidewatch.streaming import rolling as SR
 from tidewatch.streaming import scoring as SS
 
 
@@ -101,3 +103,58 @@ def test_tuning_result_feeds_training(spark, trained):
     cfg = MO.best_config(res, ModelConfig(n_estimators=3))
     assert cfg.max_depth in (2, 3) and cfg.n_estimators == 3
     assert res.count() == 2 and res.filter(F.col("mean_auc") > 0.5).count() == 2
+
+
+def _rolled(spark, e, parts, w):
+    src, sink, ck = (scratch_path(spark, f"roll_{x}") for x in ("src", "sink", "ck"))
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{src}/part={i}")
+        stream = SS.file_stream(spark, f"{src}/part=*", e.schema)
+        with SR.rocksdb_state(spark):
+            SR.rolling_stream(stream, "who", "ts", "id", "value", w).writeStream.format("parquet").option(
+                "path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def _rounded(df):
+    return sorted(tuple("none" if v is None else round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(
+        "id", F.coalesce("who", F.lit("-")).alias("who"), "value_rolling_mean", "value_rolling_std", "value_zscore").collect())
+
+
+def test_rolling_stream_with_text_keys_nulls_and_late_rows(spark):
+    e = events(spark, SF_SMALL).select(
+        F.concat(F.lit("e"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("id"), "ts", "value",
+        F.when(F.col("user_id") % 5 > 0, F.concat(F.lit("u"), F.col("user_id") % 5)).alias("who"))
+    cut = F.lit("2024-01-12").cast("timestamp_ntz")
+    got = _rolled(spark, e, [e.filter(F.col("ts") < cut), e.filter(F.col("ts") >= cut)], 7)
+    want = WI.rolling(e, ["value"], 7, ["ts", "id"], ["who"])
+    assert _rounded(got) == _rounded(want) and got.filter(F.col("who").isNull()).count() > 0
+    # the middle third comes last: on time for nothing, yet every row after it counts it
+    rows = spark.createDataFrame([("a", "x", i, float(i)) for i in range(6)], "id string, who string, i int, value double")
+    rows = rows.withColumn("id", F.concat("id", "i")).withColumn("ts", F.timestamp_seconds(F.col("i") * 60)).drop("i")
+    late = _rolled(spark, rows, [rows.filter("id <> 'a3' AND id < 'a5'"), rows.filter("id = 'a3'"), rows.filter("id = 'a5'")], 4)
+    mean = {r["id"]: r["value_rolling_mean"] for r in late.collect()}
+    assert mean["a4"] == (0 + 1 + 2 + 4) / 4 and mean["a3"] == (1 + 2 + 3) / 3 and mean["a5"] == (2 + 3 + 4 + 5) / 4
+
+
+def test_alarms_appear_while_the_stream_runs_and_equal_batch(spark):
+    e = events(spark, SF_SMALL).select("ts", "value", F.when(F.col("user_id") % 3 > 0, F.col("user_id") % 3).alias("k"))
+    src, sink, ck = (scratch_path(spark, f"alarms_{x}") for x in ("src", "sink", "ck"))
+    last = e.agg(F.max("ts")).first()[0]
+    cuts = ["2024-01-01", "2024-01-08", "2024-01-09", "2024-01-20", "2200-01-01"]
+    parts = [e.filter((F.col("ts") >= F.lit(a).cast("timestamp_ntz")) & (F.col("ts") < F.lit(b).cast("timestamp_ntz")))
+             for a, b in zip(cuts, cuts[1:])]
+    beat = spark.range(1).select((F.lit(last) + F.expr("INTERVAL 9 DAYS")).cast("timestamp_ntz").alias("ts"),
+                                 F.lit(0.0).alias("value"), F.lit(9).cast(e.schema["k"].dataType).alias("k"))
+    seen = []
+    for i, part in enumerate([*parts, beat, beat]):
+        part.write.parquet(f"{src}/part={i}")
+        stream = SS.file_stream(spark, f"{src}/part=*", e.schema)
+        SAL.start_alarm_stream(stream, "ts", sink, ck, F.lit(1.0), "1 day", 86400, 3.0, ">", 3, "6 hours",
+                               keys=["k"]).awaitTermination()
+        seen.append(SAL.read_alarms(spark, sink).filter("alarm = 1").count())
+    assert 0 < seen[0] < seen[2] < seen[-1]
+    want = AL.windowed_alarm(e, "ts", F.lit(1.0), "1 day", 86400, "sum", 3.0, ">", 3, ["k"])
+    cols = ["k", "period_start", "metric", "breaching", "period_index", "run_length", "alarm"]
+    got = SAL.read_alarms(spark, sink).select(cols)
+    assert got.exceptAll(want.select(cols)).count() == 0 and want.select(cols).exceptAll(got).count() == 0

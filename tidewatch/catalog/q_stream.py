@@ -63,19 +63,24 @@ def _chunk(df, ts, lo, hi):
     return df.filter((t >= F.lit(lo)) & (t < F.lit(hi)))
 
 
+def _heartbeat(e):
+    """An event three hours after the last one: it closes every period before."""
+    last = e.agg(F.max("ts").alias("ts"))
+    beat = {"ts": F.col("ts") + F.expr("INTERVAL 3 HOURS"), "event_type": F.lit("heartbeat")}
+    return last.select(*[beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in e.schema.fields])
+
+
 @register("alarm_stream", ALARM_SQL)
 def q_alarm_stream(spark, sf):
     e = events(spark, sf)
-    src = scratch_path(spark, "alarm_src")
-    sink = scratch_path(spark, "alarm_periods")
-    ck = scratch_path(spark, "alarm_ckpt")
-    # files arrive in time order; each arrival is processed by an availableNow run
-    for i, (lo, hi) in enumerate(_stage_chunks(e, "ts", 4)):
-        _chunk(e, "ts", lo, hi).write.mode("overwrite").parquet(f"{src}/part={i}")
+    src, sink, ck = (scratch_path(spark, f"alarm_{x}") for x in ("src", "sink", "ckpt"))
+    # files arrive in time order; each arrival is processed by an availableNow run, two heartbeats come last
+    parts = [_chunk(e, "ts", lo, hi) for lo, hi in _stage_chunks(e, "ts", 4)] + [_heartbeat(e)] * 2
+    for i, part in enumerate(parts):
+        part.write.mode("overwrite").parquet(f"{src}/part={i}")
         stream = SS.file_stream(spark, f"{src}/part=*", e.schema, "parquet")
-        SA.start_period_stream(stream, "ts", sink, ck, ERR(), "1 hour", "1 hour").awaitTermination()
-    per = SA.current_periods(spark, sink)
-    return fin(AL.alarm_from_periods(per, 3600, 5.0, ">", 2))
+        SA.start_alarm_stream(stream, "ts", sink, ck, ERR(), "1 hour", 3600, 5.0, ">", 2, "1 hour").awaitTermination()
+    return fin(SA.read_alarms(spark, sink))
 
 
 # --- stateless stream scoring ----------------------------------------------------------
@@ -124,10 +129,10 @@ def q_rolling_stream(spark, sf):
     for i, (lo, hi) in enumerate(_stage_chunks(e, "ts", 3)):
         _chunk(e, "ts", lo, hi).write.mode("overwrite").parquet(f"{src}/part={i}")
         stream = SS.file_stream(spark, f"{src}/part=*", e.schema, "parquet")
-        out = SR.rolling_stream(stream, "user_id", "ts", "event_id", "value", w)
-        out.writeStream.format("parquet").option("path", sink) \
-            .option("checkpointLocation", ck).outputMode("append") \
-            .trigger(availableNow=True).start().awaitTermination()
+        with SR.rocksdb_state(spark):
+            SR.rolling_stream(stream, "user_id", "ts", "event_id", "value", w).writeStream.format("parquet").option(
+                "path", sink).option("checkpointLocation", ck).outputMode("append").trigger(
+                availableNow=True).start().awaitTermination()
     return fin(spark.read.parquet(sink).select("event_id", "value_rolling_mean",
                                                "value_rolling_std", "value_zscore"))
 

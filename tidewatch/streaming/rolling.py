@@ -1,73 +1,89 @@
 """Row-count rolling features on a stream with keyed state.
 
-Spark has no row-count frames on streams, so each entity keeps the last
-``w - 1`` (order, value) pairs in ``applyInPandasWithState``. A micro-batch's
-rows of one entity arrive as pandas frames (Arrow batches) inside that
-entity's task; they are ordered, prefixed with the saved tail, rolled, and
-the new tail is stored. State per entity is bounded by ``w - 1`` values.
-Assumes each entity's events arrive in order across micro-batches (late rows
-would be rolled after newer ones).
+Spark has no row-count frames on streams, so each entity keeps its last ``w - 1``
+rows in order in a list state of ``transformWithStateInPandas`` (RocksDB: a key's
+state is read when its rows arrive, not held in memory). Keys and the columns that
+order rows keep their own types; a NULL entity is an entity. A row that arrives
+late is rolled at its place among the kept rows and is in the frames of all rows
+that arrive after it; rows that were emitted before are not emitted again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("order_ts", T.ArrayType(T.LongType())),
-    T.StructField("order_id", T.ArrayType(T.LongType())),
-    T.StructField("vals", T.ArrayType(T.DoubleType())),
-])
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, as keyed state needs."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def _roll(values: np.ndarray, w: int):
-    s = pd.Series(values, dtype="float64")
-    r = s.rolling(window=w, min_periods=1)
+    r = pd.Series(values, dtype="float64").rolling(window=w, min_periods=1)
     return r.mean().to_numpy(), r.std(ddof=1).to_numpy()
 
 
+class Roller(StatefulProcessor):
+    """Rows (key, entity, ts in microseconds, value) -> the same with the frame's mean,
+    sample deviation and z-score."""
+
+    def __init__(self, names: tuple, key_type: T.DataType, w: int, eps: float):
+        self.names, self.key_type, self.w, self.eps = names, key_type, w, eps
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.tail = handle.getListState("tail", T.StructType([
+            T.StructField("at", T.LongType()), T.StructField("id", self.key_type), T.StructField("x", T.DoubleType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        entity, ts, name, value = self.names
+        new = pd.concat(list(rows), ignore_index=True)
+        frame = pd.DataFrame({"at": new[ts].astype("int64"), "id": new[name], "x": new[value].astype("float64"),
+                              "new": np.arange(len(new))})
+        kept = list(self.tail.get())
+        if kept:
+            old = pd.DataFrame(kept, columns=["at", "id", "x"])
+            old["x"] = old["x"].astype("float64")
+            frame = pd.concat([old.assign(new=-1), frame], ignore_index=True)
+        frame = frame.sort_values(["at", "id"], kind="mergesort").reset_index(drop=True)
+        mean, std = _roll(frame["x"].to_numpy(), self.w)
+        if self.w > 1:
+            self.tail.put([(int(a), None if pd.isna(i) else getattr(i, "item", lambda i=i: i)(), None if pd.isna(x) else float(x))
+                           for a, i, x in frame[["at", "id", "x"]].tail(self.w - 1).itertuples(index=False)])
+        out = (frame["new"] >= 0).to_numpy()
+        x = frame["x"].to_numpy()[out]
+        rows = new.iloc[frame["new"].to_numpy()[out]]
+        yield pd.DataFrame({name: rows[name].to_numpy(), entity: rows[entity].to_numpy(), value: x,
+                            f"{value}_rolling_mean": mean[out], f"{value}_rolling_std": std[out],
+                            f"{value}_zscore": (x - mean[out]) / (std[out] + self.eps)})
+
+    def close(self) -> None:
+        pass
+
+
 def rolling_stream(stream: DataFrame, entity: str, ts: str, key: str, value: str, w: int,
                    eps: float = 1e-8) -> DataFrame:
-    out_schema = T.StructType([
-        T.StructField(key, T.LongType()), T.StructField(entity, T.LongType()),
-        T.StructField(value, T.DoubleType()),
-        T.StructField(f"{value}_rolling_mean", T.DoubleType()),
-        T.StructField(f"{value}_rolling_std", T.DoubleType()),
-        T.StructField(f"{value}_zscore", T.DoubleType()),
-    ])
-
-    def step(k, frames: Iterator[pd.DataFrame], state: GroupState):
-        new = pd.concat(list(frames), ignore_index=True)
-        new = new.sort_values([ts, key], kind="mergesort").reset_index(drop=True)
-        if state.exists:
-            ots, oid, ov = state.get
-            old_v = np.asarray(ov, dtype="float64")
-        else:
-            ots, oid, old_v = [], [], np.asarray([], dtype="float64")
-        vals = np.concatenate([old_v, new[value].to_numpy(dtype="float64")])
-        mean, std = _roll(vals, w)
-        n_old = len(old_v)
-        m, sd = mean[n_old:], std[n_old:]
-        x = new[value].to_numpy(dtype="float64")
-        z = (x - m) / (sd + eps)
-        keep = max(0, w - 1)
-        tail_v = vals[-keep:] if keep else vals[:0]
-        t_ts = list(ots) + new[ts].astype("int64").tolist()
-        t_id = list(oid) + new[key].astype("int64").tolist()
-        state.update((t_ts[-keep:] if keep else [], t_id[-keep:] if keep else [],
-                      tail_v.tolist()))
-        yield pd.DataFrame({key: new[key].astype("int64"), entity: new[entity].astype("int64"),
-                            value: x, f"{value}_rolling_mean": m,
-                            f"{value}_rolling_std": sd, f"{value}_zscore": z})
-
-    from pyspark.sql import functions as F
-    src = stream.select(F.col(key).cast("long").alias(key), F.col(entity).cast("long").alias(entity),
-                        F.unix_micros(F.col(ts).cast("timestamp")).alias(ts),
+    """(key, entity, value, rolling mean, std and z-score of ``value``) over the last
+    ``w`` rows of each entity by (``ts``, ``key``). Start it inside ``rocksdb_state``."""
+    fields = {f.name: f.dataType for f in stream.schema.fields}
+    stats = [f"{value}_rolling_mean", f"{value}_rolling_std", f"{value}_zscore"]
+    out = T.StructType([T.StructField(key, fields[key]), T.StructField(entity, fields[entity]),
+                        *[T.StructField(c, T.DoubleType()) for c in (value, *stats)]])
+    src = stream.select(key, entity, F.unix_micros(F.col(ts).cast("timestamp")).alias(ts),
                         F.col(value).cast("double").alias(value))
-    return src.groupBy(entity).applyInPandasWithState(
-        step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    return src.groupBy(entity).transformWithStateInPandas(
+        Roller((entity, ts, key, value), fields[key], w, eps), out, "append", "none")
