@@ -158,3 +158,72 @@ def test_alarms_appear_while_the_stream_runs_and_equal_batch(spark):
     cols = ["k", "period_start", "metric", "breaching", "period_index", "run_length", "alarm"]
     got = SAL.read_alarms(spark, sink).select(cols)
     assert got.exceptAll(want.select(cols)).count() == 0 and want.select(cols).exceptAll(got).count() == 0
+
+
+def test_loaded_parts_score_every_row_alike(spark, trained):
+    from tidewatch.plans.model import load_trained, save_trained
+    base = scratch_path(spark, "versions")
+    save_trained(trained, base, "v1")
+    save_trained(trained, base, "v2")
+    back, version = load_trained(spark, base)
+    assert version == "v2" and back.state.features == trained.state.features
+    assert back.spec == trained.spec and back.state.rolling_w == trained.state.rolling_w
+    c = connections(spark, SF_SMALL)
+    cols = ["conn_id", "probability", "prediction", "threat_level", "error"]
+    a, b = (score_batch(c, t).select(cols) for t in (trained, back))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_scoring_refuses_a_table_without_inputs(spark, trained):
+    from tidewatch.plans.features import MissingInputs
+    c = connections(spark, SF_SMALL)
+    with pytest.raises(MissingInputs, match="serror_rate"):
+        score_batch(c.drop("serror_rate"), trained)
+    # a category that is not there is no missing input
+    assert score_batch(c.filter("protocol_type = 'tcp'"), trained).filter("prediction IS NULL AND error IS NULL").count() == 0
+
+
+def _attacks(spark, n=600):
+    """KDD-shaped rows: attacks differ in columns that are zero for nearly all others."""
+    return spark.range(n).select(
+        F.col("id").alias("conn_id"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).cast("double").alias("duration"), F.lit("tcp").alias("protocol_type"),
+        F.when(F.col("id") % 10 == 0, 1.0).otherwise(0.0).alias("serror_rate"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 3).otherwise(0).alias("hot"),
+        F.when(F.col("id") % 10 == 0, "smurf").otherwise("normal").alias("attack_type"),
+        (F.col("id") % 10 == 0).cast("int").alias("is_attack"))
+
+
+def test_fence_keeps_both_classes_of_kdd_shaped_data(spark):
+    from tidewatch.plans.features import VanishedClass
+    _, x = FeatureSpec().fit(_attacks(spark))
+    assert {r["is_attack"] for r in x.select("is_attack").distinct().collect()} == {0, 1}
+    far = _attacks(spark).withColumn("duration", F.when(F.col("is_attack") == 1, 1e6).otherwise(F.col("duration")))
+    with pytest.raises(VanishedClass):
+        FeatureSpec().fit(far)
+
+
+def test_early_stopping_cuts_the_trees(spark):
+    assert MO.best_round([5, 4, 3, 3, 4, 2], 2) == 3 and MO.best_round([5, 4, 3, 3, 4, 2], 3) == 6
+    assert MO.best_round([3, 4, 5], 1) == 1 and MO.best_round([3, 2, 5, 1], 0) == 4
+    d = spark.range(600).select(
+        ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 89).cast("double").alias("b"),
+        (F.col("id") % 3 == 0).alias("held")).withColumn("is_attack", ((F.col("a") * 7 + F.col("b") * 13) % 10 < 4).cast("int"))
+    cfg = lambda n: ModelConfig(max_depth=5, learning_rate=0.5, n_estimators=12, early_stopping_rounds=n)
+    cut, whole = (MO.fit_boosted_trees(d, ["a", "b"], cfg=cfg(n), validation_col="held").stages[-1] for n in (1, 0))
+    assert whole.getNumTrees == 12 and cut.getNumTrees < 12
+    assert cut.treeWeights == whole.treeWeights[:cut.getNumTrees]
+    assert MO.predict(MO.fit_boosted_trees(d, ["a", "b"], cfg=cfg(1), validation_col="held"), d).count() == 600
+
+
+def test_fold_rows_and_search_points(spark, trained):
+    from tidewatch.operators import sampling as SA
+    folded = SA.fold_stratified(trained.train, "is_attack", "conn_id", 5, 42)
+    cv = MO.cross_validate(folded, trained.state.features, cfg=ModelConfig(max_depth=2, n_estimators=2)).collect()
+    assert sorted(r["fold"] for r in cv) == [0, 1, 2, 3, 4]
+    assert cv[0]["mean_auc"] == pytest.approx(sum(r["auc"] for r in cv) / 5)
+    points = MO.random_combos({"a": [1, 2], "b": [1, 2, 3]}, 99)
+    assert len(points) == 6 and len({tuple(sorted(p.items())) for p in points}) == 6
+    assert MO.configured(ModelConfig(), {"min_child_weight": 5}).min_child_rows == 5
+    with pytest.raises(ValueError):
+        MO.configured(ModelConfig(), {"gamma": 1})

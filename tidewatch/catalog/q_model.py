@@ -7,6 +7,8 @@ model per (Spark application, data folder) is shared by these queries.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..config import Config, ModelConfig
@@ -14,23 +16,25 @@ from ..operators import evaluate as EV
 from ..operators import model as MO
 from ..operators import sampling as SA
 from ..plans.features import FeatureSpec
-from ..plans.model import score_batch, train
+from ..plans.model import load_trained, save_trained, score_batch, train
 from ..session import scratch_path
 from ..sources.tables import connections
 from .base import register
 
 SMALL = ModelConfig(max_depth=4, n_estimators=10)
-_CACHE: dict = {}
+AS_OF = dt.datetime(2024, 2, 1)       # a fixed time, so that results repeat
+_CACHE: dict = {}       # the last trained model only
 
 
 def trained(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
+        _CACHE.clear()
         _CACHE[key] = train(connections(spark, sf), FeatureSpec(), Config(), SMALL)
     return _CACHE[key]
 
 
-def _folded(spark, sf, k=3):
+def _folded(spark, sf, k=5):
     t = trained(spark, sf)
     return SA.fold_stratified(t.train, "is_attack", "conn_id", k, 42), t.state.features
 
@@ -38,48 +42,48 @@ def _folded(spark, sf, k=3):
 @register("fit_boosted_trees")
 def q_fit_boosted_trees(spark, sf):
     t = trained(spark, sf)
-    s = score_batch(t.test, t)
+    s = score_batch(t.test, t, as_of=AS_OF)
     return s.select("conn_id", "is_attack", "probability", "prediction")
 
 
 @register("score_batch")
 def q_score_batch(spark, sf):
     t = trained(spark, sf)
-    return score_batch(connections(spark, sf), t, model_version="gbt-small")
+    return score_batch(connections(spark, sf), t, as_of=AS_OF, model_version="gbt-small")
 
 
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    df, feats = _folded(spark, sf, 3)
-    return MO.cross_validate(df, feats, "fold", "is_attack", SMALL, parallelism=3)
+    df, feats = _folded(spark, sf)
+    return MO.cross_validate(df, feats, "fold", "is_attack", SMALL, parallelism=4)
 
 
 @register("tune_grid")
 def q_tune_grid(spark, sf):
-    df, feats = _folded(spark, sf, 3)
+    df, feats = _folded(spark, sf)
     combos = MO.grid_combos({"max_depth": [3, 4], "n_estimators": [10]})
-    return MO.cross_validate_grid(df, feats, combos, "fold", "is_attack", SMALL, 3, "grid")
+    return MO.cross_validate_grid(df, feats, combos, "fold", "is_attack", SMALL, 4, "grid")
 
 
 SMALL_SPACE = {"max_depth": [3, 4, 5], "learning_rate": [0.05, 0.1, 0.2],
-               "n_estimators": [5, 10], "subsample": [0.8, 1.0], "colsample": [0.8, 1.0]}
+               "n_estimators": [5, 10], "subsample": [0.8, 1.0], "colsample": [0.8, 1.0],
+               "min_child_weight": [1, 3]}
 
 
 @register("tune_random")
 def q_tune_random(spark, sf):
-    df, feats = _folded(spark, sf, 3)
+    df, feats = _folded(spark, sf)
     combos = MO.random_combos(SMALL_SPACE, 2, seed=42)
-    return MO.cross_validate_grid(df, feats, combos, "fold", "is_attack", SMALL, 3, "random")
+    return MO.cross_validate_grid(df, feats, combos, "fold", "is_attack", SMALL, 4, "random")
 
 
 @register("tune_staged")
 def q_tune_staged(spark, sf):
-    df, feats = _folded(spark, sf, 3)
+    df, feats = _folded(spark, sf)
 
-    def refine(best):
-        d = best["max_depth"]
-        return {"max_depth": sorted({max(3, d - 1), d})}
-    return MO.tune_staged(df, feats, SMALL_SPACE, 2, "fold", "is_attack", SMALL, 3, refine)
+    def refine(best):       # depth and rate around the best draw; rounds would start at 100
+        return {k: v for k, v in MO.fine_grid(best).items() if k != "n_estimators"}
+    return MO.tune_staged(df, feats, SMALL_SPACE, 2, "fold", "is_attack", SMALL, 4, refine)
 
 
 @register("feature_importance")
@@ -100,19 +104,17 @@ def q_explain_rows(spark, sf):
 @register("sink_model")
 def q_sink_model(spark, sf):
     t = trained(spark, sf)
-    path = scratch_path(spark, "model")
-    MO.save_model(t.model, path, t.state.tables(),
-                  {"version": "gbt-small", "features": t.state.features})
-    model, state, meta = MO.load_model(spark, path, list(t.state.tables()))
-    x = t.spec.transform(connections(spark, sf), t.state)
-    return MO.predict(model, x).select("conn_id", "probability", "prediction") \
-        .withColumn("model_version", F.lit(meta["version"] if meta else None))
+    base = scratch_path(spark, "model")
+    save_trained(t, base, "gbt-small")
+    back, version = load_trained(spark, base)
+    return score_batch(connections(spark, sf), back, as_of=AS_OF, model_version=version).select(
+        "conn_id", "probability", "prediction", "model_version")
 
 
 @register("evaluate_model")
 def q_evaluate_model(spark, sf):
     t = trained(spark, sf)
-    s = score_batch(t.test, t)
+    s = score_batch(t.test, t, as_of=AS_OF)
     parts = EV.evaluate_all(s, y="is_attack", pred="prediction", p="probability")
     return EV.report_long(parts)
 
@@ -137,7 +139,7 @@ def q_score_stream_model(spark, sf):
     src = scratch_path(spark, "model_stream_src")
     c.repartition(4).write.mode("overwrite").parquet(src)
     sink = scratch_path(spark, "model_stream_sink")
-    SS.score_stream(spark, src, c.schema, lambda b: score_batch(b, t, model_version="gbt-small"),
+    SS.score_stream(spark, src, c.schema, lambda b: score_batch(b, t, as_of=AS_OF, model_version="gbt-small"),
                     sink, scratch_path(spark, "model_stream_ckpt"), per_batch=True,
                     max_files_per_trigger=2)
     return spark.read.parquet(sink).select("conn_id", "prediction", "probability",

@@ -10,9 +10,11 @@ data being scored (the reference refits several of them at scoring time).
 
 from __future__ import annotations
 
+import dataclasses
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DataConfig
 from ..operators import encoders as EN
@@ -47,6 +49,14 @@ class FeatureState:
         return out
 
 
+class MissingInputs(ValueError):
+    """A table lacks columns that the model's features are made of."""
+
+
+class VanishedClass(ValueError):
+    """The fence would remove every training row of a class."""
+
+
 @dataclass
 class FeatureSpec:
     key: str = "conn_id"
@@ -76,6 +86,10 @@ class FeatureSpec:
             fences = (OU.fit_iqr(x, cols, 1.5, cfg.outlier_mode, excl, cfg.quantile_method)
                       if cfg.outlier_method == "iqr"
                       else OU.fit_zscore(x, cols, cfg.outlier_threshold, cfg.outlier_mode, excl))
+            # a column whose quartiles are equal (flags, mostly zeros) has no spread to
+            # fence: everything but its common value, so most attacks, would go
+            fences = fences.where("lower < upper")
+            self._check_classes(x, fences)
             x = OU.apply(x, fences)
         x = FE.network_features(x)
         w = WI.rolling_window_size(x.count())
@@ -95,23 +109,35 @@ class FeatureSpec:
         state = FeatureState(imp, fences, pct, w, dic, scaler, feats)
         return state, x
 
+    def _check_classes(self, x: DataFrame, fences: DataFrame) -> None:
+        left = OU.flag(x, fences).groupBy(self.target).agg(F.count_if(F.col("is_outlier") == 0).alias("n"))
+        gone = [r[self.target] for r in left.where("n = 0").collect()]
+        if gone:
+            raise VanishedClass(f"the {self.cfg.outlier_method} fence leaves no row of {self.target} = {gone}")
+
     # -- transform ----------------------------------------------------------------------
     def transform(self, df: DataFrame, state: FeatureState, drop_outliers: bool = False,
                   rolling: bool = True) -> DataFrame:
+        """``df`` with the features of ``state``; ``MissingInputs`` names those that
+        ``df`` has no columns for (a category that it merely does not hold is a flag
+        of zeros). Without ``rolling`` the row-order features are their neutral 0."""
         x = IM.transform(df, state.impute)
         if state.fences is not None:
             x = OU.apply(x, state.fences) if drop_outliers else OU.flag(x, state.fences)
         x = FE.network_features(x)
         if rolling:
             x = self._rolling(x, state.rolling_w)
+        else:
+            x = x.withColumns({f"{c}_{s}": F.lit(0.0) for c in ROLLING_COLUMNS if c in x.columns for s in (
+                "rolling_mean", "rolling_std", "zscore")})
         x = FE.apply_percentile_flags(x, state.percentiles)
         x = FE.interactions(x)
         x = EN.encode(x, state.dictionary, self.cfg.categorical_encoding)
         if state.scaler is not None:
             x = SC.transform(x, state.scaler)
-        missing = [f for f in state.features if f not in x.columns]
-        if missing:  # e.g. a one-hot column for a category absent from this data
-            x = x.withColumns({f: F.lit(0.0) for f in missing})
+        missing = sorted(set(state.features) - set(x.columns))
+        if missing:
+            raise MissingInputs(f"no input for the features {missing}")
         return x
 
     def _rolling(self, x: DataFrame, w: int) -> DataFrame:
@@ -123,3 +149,27 @@ class FeatureSpec:
         # a one-row frame has no deviation: 0 in the model chain (raw operator keeps NULL)
         return r.withColumns({f"{c}_{s}": F.coalesce(F.col(f"{c}_{s}"), F.lit(0.0))
                               for c in cols for s in ("rolling_std", "zscore")})
+
+
+def save_state(spec: FeatureSpec, state: FeatureState, path: str) -> None:
+    """Everything ``transform`` needs: the state tables, and one row with the
+    feature names, the rolling width and the spec's own settings."""
+    for name, table in state.tables().items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    settings = dataclasses.asdict(spec)
+    row = (json.dumps(state.features), state.rolling_w, json.dumps(settings), sorted(state.tables()))
+    spark = state.impute.sparkSession
+    spark.createDataFrame([row], "features string, rolling_w int, spec string, tables array<string>").write.mode(
+        "overwrite").json(f"{path}/settings")
+
+
+def load_state(spark: SparkSession, path: str) -> tuple[FeatureSpec, FeatureState]:
+    """What ``save_state`` wrote."""
+    row = spark.read.schema("features string, rolling_w int, spec string, tables array<string>").json(
+        f"{path}/settings").first()
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in row["tables"]}
+    kw = json.loads(row["spec"])
+    kw.update(cfg=DataConfig(**kw["cfg"]), order=tuple(kw["order"]), entity=tuple(kw["entity"]))
+    state = FeatureState(tables["impute"], tables.get("fences"), tables["percentiles"], row["rolling_w"],
+                         tables["dictionary"], tables.get("scaler"), json.loads(row["features"]))
+    return FeatureSpec(**kw), state

@@ -7,15 +7,14 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import Config, ModelConfig
 from ..operators import alerts as AL
 from ..operators import model as MO
 from ..operators import sampling as SA
-from .features import FeatureSpec, FeatureState
-
-FIXED_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
+from ..session import cut_lineage
+from .features import FeatureSpec, FeatureState, load_state, save_state
 
 
 @dataclass
@@ -23,17 +22,17 @@ class Trained:
     model: PipelineModel
     spec: FeatureSpec
     state: FeatureState
-    train: DataFrame      # transformed training rows (cached)
-    test: DataFrame       # raw held-out rows
+    train: DataFrame | None = None      # transformed training rows
+    test: DataFrame | None = None       # raw held-out rows
 
 
 def train(df: DataFrame, spec: FeatureSpec = FeatureSpec(), cfg: Config = Config(),
           model_cfg: ModelConfig | None = None) -> Trained:
     mc = model_cfg or cfg.model
-    # one ranking: train / validation (early-stopping slice of train) / test
-    split = SA.split_stratified(df, spec.target, spec.key, 1 - cfg.data.test_size,
+    # one ranking: train / validation (early-stopping slice of train) / test; saved, for the fits read it often
+    split = cut_lineage(SA.split_stratified(df, spec.target, spec.key, 1 - cfg.data.test_size,
                                 cfg.data.random_state,
-                                validation_frac=cfg.training.validation_split).cache()
+                                validation_frac=cfg.training.validation_split), "split")
     raw_train = split.filter(F.col("split") != "test") \
         .withColumn("is_validation", F.col("split") == "validation").drop("split")
     raw_test = split.filter(F.col("split") == "test").drop("split")
@@ -54,11 +53,13 @@ def input_problems(df: DataFrame, features: list[str]) -> Column:
 
 
 def score_batch(df: DataFrame, t: Trained, threshold: float = 0.5,
-                as_of: dt.datetime = FIXED_AS_OF, model_version: str = "v1",
+                as_of: dt.datetime | None = None, model_version: str = "v1",
                 rolling: bool = True) -> DataFrame:
     """Input columns + prediction, prediction_label, probability, confidence,
-    threat_level, timestamp, model_version, error. Rows whose features are
-    unusable are kept as rejected rows (NULL prediction, ``error`` set)."""
+    threat_level, timestamp (``as_of``, or the time of the query), model_version,
+    error. Rows whose features are unusable are kept as rejected rows (NULL
+    prediction, ``error`` set); a table without the columns that the features are
+    made of is refused whole (``MissingInputs``)."""
     raw = {c: f"__raw_{c}" for c in df.columns}
     carried = df.select(*df.columns, *[F.col(c).alias(r) for c, r in raw.items()])
     x = t.spec.transform(carried, t.state, drop_outliers=False, rolling=rolling)
@@ -74,5 +75,26 @@ def score_batch(df: DataFrame, t: Trained, threshold: float = 0.5,
     out = AL.apply_bands(pred, "probability", threshold, pred="prediction")
     keep = [F.col(r).alias(c) for c, r in raw.items()] + [
         "prediction", "prediction_label", "probability", "confidence", "threat_level", "error"]
-    return out.select(*keep).withColumn("timestamp", F.lit(as_of).cast("timestamp_ntz")) \
+    when = F.lit(as_of) if as_of is not None else F.current_timestamp()
+    return out.select(*keep).withColumn("timestamp", when.cast("timestamp_ntz")) \
         .withColumn("model_version", F.lit(model_version))
+
+
+def save_trained(t: Trained, base: str, version: str) -> str:
+    """Model and feature state as version ``version`` below ``base``."""
+    path = f"{base}/version={version}"
+    save_state(t.spec, t.state, f"{path}/state")
+    MO.save_model(t.model, path, metadata={"version": version, "features": t.state.features})
+    return path
+
+
+def load_trained(spark: SparkSession, base: str, version: str | None = None) -> tuple[Trained, str]:
+    """(what ``score_batch`` needs, its version): the version named, or the one that
+    comes last in the order of names."""
+    if version is None:
+        found = spark.read.text(f"{base}/version=*/metadata").select(F.get_json_object("value", "$.metadata").alias("m"))
+        version = found.select(F.max(F.get_json_object("m", "$.version"))).first()[0]
+    path = f"{base}/version={version}"
+    spec, state = load_state(spark, f"{path}/state")
+    model, _, _ = MO.load_model(spark, path)
+    return Trained(model, spec, state), version
