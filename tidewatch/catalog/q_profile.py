@@ -170,7 +170,7 @@ def target_sql(t="is_attack"):
         m("target", t, "unique_values", uniq, sev(f"{uniq} <> 2", "warning"), src=cnt + " c1"),
         m("target", t, "missing_values", miss, sev(f"{miss} > 0", "error"), src=cnt + " c2"),
         m("target", t, "minority_class_ratio", minority, sev(f"{minority} < 0.1", "warning"),
-          src=cnt + " c3"),
+          f"CASE WHEN {minority} < 0.05 THEN 'severe' WHEN {minority} < 0.1 THEN 'imbalanced' END", src=cnt + " c3"),
         m("target", t, "imbalance_ratio", f"CASE WHEN {uniq} = 2 THEN CAST({kmax} AS DOUBLE) / {kmin} END",
           src=cnt + " c4"),
         f"SELECT 'target', '{t}', 'value_count', CAST(k AS DOUBLE), CAST(v AS VARCHAR), 'metric' "
@@ -327,6 +327,8 @@ def _input_sql():
         parts.append(m("input", c, "null_count", k, sev(f"{k} > 0", "error")))
     parts += infinite_sql([c for c in _IN_FEATS if c in DOUBLES], "input")
     parts.append(m("input", "is_attack", "unique_values", "count(DISTINCT is_attack)"))
+    parts.append("SELECT 'input', 'is_attack', 'value_count', CAST(count(*) AS DOUBLE), CAST(is_attack AS VARCHAR), "
+                 "'metric' FROM src WHERE is_attack IS NOT NULL GROUP BY is_attack")
     return parts
 
 
@@ -393,3 +395,11 @@ def _validate_sql():
 @register("validate_all", wrap(src_cte(union(_validate_sql()))))
 def q_validate_all(spark, sf):
     return fin(P.validate_all(connections(spark, sf, materialize=True), EXPECTED))
+
+
+@register("validate_summary", f"""
+SELECT count(*) FILTER (WHERE severity = 'error') AS errors, count(*) FILTER (WHERE severity = 'warning') AS warnings,
+       CAST(count(*) FILTER (WHERE severity = 'error') = 0 AS INTEGER) AS is_valid
+FROM ({wrap(src_cte(union(_validate_sql())))}) v""")
+def q_validate_summary(spark, sf):
+    return fin(P.overall(P.validate_all(connections(spark, sf, materialize=True), EXPECTED)))

@@ -8,7 +8,6 @@ from .base import CONN_CTE, fin, register, sql_fin, with_cte
 
 FEATS = ["duration", "src_bytes", "dst_bytes", "count", "srv_count", "serror_rate", "rerror_rate",
          "same_srv_rate", "diff_srv_rate"]
-INT_FEATS = ["count", "srv_count"]
 
 
 def q(c):
@@ -51,21 +50,17 @@ def q_feature_scores(spark, sf):
     return fin(SE.feature_scores(SE.anova_f(c, FEATS, "is_attack"), 20))
 
 
-_CONT = [c for c in FEATS if c not in INT_FEATS]
 _EDGES = ", ".join(f"quantile_cont({q(c)}, [{', '.join(str(i / 10) for i in range(1, 10))}]) AS e_{c}"
-                   for c in _CONT)
+                   for c in FEATS)
 
 
 def _mi_sql():
     parts = []
     for c in FEATS:
-        if c in INT_FEATS:
-            b = f"coalesce(CAST({q(c)} AS DOUBLE), 'nan'::DOUBLE)"
-        else:
-            # bins = number of distinct decile edges strictly below x
-            b = (f"coalesce(CAST((SELECT count(*) FROM (SELECT DISTINCT unnest(e_{c}) AS e) z "
-                 f"WHERE z.e < x.{q(c)}) AS DOUBLE) + CASE WHEN x.{q(c)} IS NULL THEN NULL ELSE 0 END, "
-                 f"'nan'::DOUBLE)")
+        # bins = number of distinct decile edges strictly below x
+        b = (f"coalesce(CAST((SELECT count(*) FROM (SELECT DISTINCT unnest(e_{c}) AS e) z "
+             f"WHERE z.e < x.{q(c)}) AS DOUBLE) + CASE WHEN x.{q(c)} IS NULL THEN NULL ELSE 0 END, "
+             f"'nan'::DOUBLE)")
         parts.append(f"SELECT '{c}' AS feature, {b} AS xb, is_attack AS y FROM connections x, edges "
                      f"WHERE is_attack IS NOT NULL")
     return f""",

@@ -161,7 +161,8 @@ def basic_metrics(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p")
     r = areas.agg(*_areas(areas)).first()
     auc, ap = r["auc"], r["average_precision"]
     c = counts(df, y, pred)
-    tn, fp, fn, tp, n = (F.col(k) for k in ("tn", "fp", "fn", "tp", "n"))
+    tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
+    n = tn + fp + fn + tp       # rows with a label and a prediction, as in class_report
     p0, r0 = _div0(tn, tn + fn), _div0(tn, tn + fp)
     p1, r1 = _div0(tp, tp + fp), _div0(tp, tp + fn)
     f0, f1 = _div0(2 * p0 * r0, p0 + r0), _div0(2 * p1 * r1, p1 + r1)

@@ -213,7 +213,12 @@ def target_check(df: DataFrame, target: str = "is_attack") -> DataFrame:
     spark = df.sparkSession
     if target not in df.columns:
         return static_rows(spark, [("target", target, "missing_target", 1, None, "error")])
-    counts = df.groupBy(F.col(target).alias("v")).agg(_n().alias("k"))
+    return _target_rows(long_counts(df, [target]), target)
+
+
+def _target_rows(counts: DataFrame, target: str) -> DataFrame:
+    """From ``long_counts``; a minority under 5 % is marked severe, under 10 % imbalanced."""
+    counts = counts.where(F.col("column") == target).select(F.col("value").alias("v"), F.col("n").alias("k"))
     nn = F.col("v").isNotNull()
     uniq = F.count_if(nn)
     missing = F.coalesce(F.sum(F.when(~nn, F.col("k"))), F.lit(0))
@@ -225,7 +230,8 @@ def target_check(df: DataFrame, target: str = "is_attack") -> DataFrame:
         Metric("target", target, "unique_values", uniq, _sev(uniq != 2, "warning")),
         Metric("target", target, "missing_values", missing, _sev(missing > 0, "error")),
         Metric("target", target, "minority_class_ratio", minority,
-               F.when(minority < 0.1, "warning").otherwise("metric")),
+               F.when(minority < 0.1, "warning").otherwise("metric"),
+               F.when(minority < 0.05, "severe").when(minority < 0.1, "imbalanced")),
         Metric("target", target, "imbalance_ratio", F.when(uniq == 2, kmax / kmin)),
     ])
     per_value = counts.filter(nn).select(
@@ -275,12 +281,12 @@ def distribution_profile(df: DataFrame, exclude=("is_attack",), method: str = "e
 # --- categorical ------------------------------------------------------------------------
 
 def long_counts(df: DataFrame, columns) -> DataFrame:
-    """(column, value, n) for every non-null value of every listed column.
-    One shuffle for all columns; counts are combined map-side."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+    """(column, value as text, n): every value of the columns and how often it
+    occurs, NULL among them. One shuffle for all columns, combined in each task
+    first, so a value that most rows hold is a row a task."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
                       for c in columns])
     return (df.select(F.explode(pairs).alias("s")).select("s.column", "s.value")
-            .filter(F.col("value").isNotNull())
             .groupBy("column", "value").agg(_n().alias("n")))
 
 
@@ -299,15 +305,22 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
 
 def categorical_profile(df: DataFrame, columns=None, top: int = 10,
                         check: str = "categorical") -> DataFrame:
+    """Distinct values, the most frequent one, values that occur once and the top
+    values of each text column; a column of NULLs has 0 of the first and third."""
     cols = columns if columns is not None else string_columns(df)
-    spark = df.sparkSession
     if not cols:
-        return spark.createDataFrame([], CHECK_DDL)
-    counts = long_counts(df, cols)
+        return df.sparkSession.createDataFrame([], CHECK_DDL)
+    return _categorical_rows(long_counts(df, cols), cols, top, check)
+
+
+def _categorical_rows(counts: DataFrame, cols, top: int = 10, check: str = "categorical") -> DataFrame:
+    counts = counts.where(F.col("column").isin(*cols))
+    there = F.col("value").isNotNull()
     per = counts.groupBy("column").agg(
-        _n().alias("unique_count"), F.sum("n").alias("non_null"),
-        F.count_if(F.col("n") == 1).alias("rare"),
-        F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value"))).alias("mode"))
+        F.count("value").alias("unique_count"), F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("non_null"),
+        F.count_if(there & (F.col("n") == 1)).alias("rare"),
+        F.min(F.when(there, F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value")))).alias("mode"))
+    counts = counts.where(there)
     rows = per.select(F.explode(F.array(
         F.struct(F.lit("unique_count").alias("metric"),
                  F.col("unique_count").cast("double").alias("value"),
@@ -319,7 +332,7 @@ def categorical_profile(df: DataFrame, columns=None, top: int = 10,
                  F.lit(None).cast("string").alias("text"),
                  _sev_col(F.col("rare") > F.col("unique_count") * 0.5, "warning").alias("severity")),
     )).alias("s"), "column").select(F.lit(check).alias("check"), "column", "s.metric", "s.value",
-                                    "s.text", "s.severity")
+                                    "s.text", "s.severity").where("metric <> 'most_frequent' OR value IS NOT NULL")
     topk = top_k_per_group(counts, ["column"], [F.col("n").desc(), F.col("value").asc()], top) \
         .select(F.lit(check).alias("check"), "column", F.lit("top_value").alias("metric"),
                 F.col("n").cast("double").alias("value"), F.col("value").alias("text"),
@@ -340,7 +353,9 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 # --- domain -------------------------------------------------------------------------------
 
-def domain_metrics(df: DataFrame, check: str = "domain") -> tuple[list[Metric], list[tuple]]:
+def domain_metrics(df: DataFrame, check: str = "domain", services: bool = True) -> tuple[list[Metric], list[tuple]]:
+    """``services``: with the count of distinct services, which expands the rows of
+    the aggregate; a caller that has ``long_counts`` takes it from there."""
     cols = df.columns
     static = [(check, f, "missing_feature", 1, None, "warning")
               for f in EXPECTED_FEATURES if f not in cols]
@@ -351,7 +366,7 @@ def domain_metrics(df: DataFrame, check: str = "domain") -> tuple[list[Metric],
             bad = (mn < 0) | (mx > 1)
             mets += [Metric(check, c, "rate_min", mn, _sev(bad, "error")),
                      Metric(check, c, "rate_max", mx, _sev(bad, "error"))]
-    if "service" in cols:
+    if services and "service" in cols:
         k = F.count_distinct(F.col("service"))
         mets.append(Metric(check, "service", "distinct_services", k, _sev(k > MAX_SERVICES, "warning")))
     if {"src_bytes", "dst_bytes", "duration"} <= set(cols):
@@ -375,7 +390,11 @@ def inconsistent_labels_condition() -> Column:
 
 def protocol_rows(df: DataFrame, check: str = "domain") -> DataFrame:
     """Protocol distribution; values outside the expected set are warnings."""
-    g = df.groupBy(F.col("protocol_type").alias("text")).agg(_n().alias("k"))
+    return _protocol_rows(long_counts(df, ["protocol_type"]), check)
+
+
+def _protocol_rows(counts: DataFrame, check: str = "domain") -> DataFrame:
+    g = counts.where(F.col("column") == "protocol_type").select(F.col("value").alias("text"), F.col("n").alias("k"))
     bad = ~F.col("text").isin(*EXPECTED_PROTOCOLS) | F.col("text").isNull()
     return g.select(F.lit(check).alias("check"), F.lit("protocol_type").alias("column"),
                     F.when(bad, "unexpected_protocol").otherwise("protocol_count").alias("metric"),
@@ -406,7 +425,13 @@ def input_check(df: DataFrame, target: str | None = "is_attack") -> DataFrame:
         mets.append(Metric("input", c, "null_count", k, _sev(k > 0, "error")))
     mets += infinite_metrics(X, "input")
     if target is not None and target in df.columns:
-        mets.append(Metric("input", target, "unique_values", F.count_distinct(F.col(target))))
+        counts = cut_lineage(long_counts(df, [target]), "targets")
+        values = counts.where("value IS NOT NULL").select(
+            F.lit("input").alias("check"), "column", F.lit("value_count").alias("metric"),
+            F.col("n").cast("double").alias("value"), F.col("value").alias("text"), F.lit("metric").alias("severity"))
+        unique = run_metrics(counts, [Metric("input", target, "unique_values", F.count("value"))])
+        return run_metrics(df, mets).unionByName(static_rows(df.sparkSession, static)).unionByName(
+            unique).unionByName(values)
     return run_metrics(df, mets).unionByName(static_rows(df.sparkSession, static))
 
 
@@ -451,20 +476,29 @@ def summary(df: DataFrame) -> DataFrame:
 
 def validate_all(df: DataFrame, expected=None, target: str = "is_attack",
                  method: str = "exact") -> DataFrame:
-    """All checks. Scalar metrics of schema, quality and domain checks share
-    ONE aggregate; per-column distributions, categorical counts, duplicates
-    and target counts are one grouped job each."""
+    """All checks. Scalar metrics of the schema, quality and domain checks share ONE
+    aggregate; one saved table of (column, value) counts feeds the target, protocol,
+    service and categorical checks; distributions and duplicates read the data for
+    themselves."""
     s_mets, s_static = schema_metrics(df, expected)
-    d_mets, d_static = domain_metrics(df)
+    d_mets, d_static = domain_metrics(df, services=False)
     mets = s_mets + null_metrics(df, "quality") + infinite_metrics(df, "quality") + d_mets
     parts = run_metrics(df, mets).unionByName(static_rows(df.sparkSession, s_static + d_static))
+    strings = string_columns(df)
+    counted = [*strings, *([target] if target in df.columns and target not in strings else [])]
+    if counted:
+        counts = cut_lineage(long_counts(df, counted), "values")
+        if "service" in strings:
+            k = F.count("value")
+            parts = parts.unionByName(run_metrics(counts.where("column = 'service'"), [
+                Metric("domain", "service", "distinct_services", k, _sev(k > MAX_SERVICES, "warning"))]))
+        if "protocol_type" in strings:
+            parts = parts.unionByName(_protocol_rows(counts))
+        if strings:
+            parts = parts.unionByName(_categorical_rows(counts, strings))
+    parts = parts.unionByName(_target_rows(counts, target) if target in df.columns else target_check(df, target))
     parts = parts.unionByName(distribution_profile(df, (target,), method))
-    parts = parts.unionByName(duplicate_rows(df).withColumn("check", F.lit("quality")))
-    parts = parts.unionByName(target_check(df, target))
-    parts = parts.unionByName(categorical_profile(df))
-    if "protocol_type" in df.columns:
-        parts = parts.unionByName(protocol_rows(df))
-    return parts
+    return parts.unionByName(duplicate_rows(df).withColumn("check", F.lit("quality")))
 
 
 def overall(checks: DataFrame) -> DataFrame:

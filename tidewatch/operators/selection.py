@@ -53,13 +53,11 @@ def _bin_expr(c: str, edges: list[float] | None) -> Column:
 
 def fit_mi_bins(df: DataFrame, features: list[str], n_bins: int = 10,
                 method: str = "exact") -> dict:
-    """{feature: decile edges} for floating features, None for integer ones."""
-    cont = [c for c in features
-            if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.DecimalType))]
+    """{feature: distinct decile edges}, for whole numbers as for others: a bin a
+    value would give a key column more mutual information than any real feature."""
     probs = [i / n_bins for i in range(1, n_bins)]
-    q = quantiles(df, cont, probs, method)
-    return {c: (sorted(set(v for v in q[c] if v is not None)) if c in q else None)
-            for c in features}
+    q = quantiles(df, features, probs, method)
+    return {c: sorted({v for v in q[c] if v is not None}) for c in features}
 
 
 def mutual_info(df: DataFrame, features: list[str], label: str = "is_attack",
