@@ -231,3 +231,16 @@ def test_pages_column_types_survive(spark, tmp_path):
     got = warc.archive_rows(d)
     assert dict(got.dtypes)["page_id"] == "string" and got.first()["page_id"] == "p1"
     assert F.col("x") is not None
+
+
+def test_archives_keep_any_text_as_page_id(spark, tmp_path):
+    ids = ["a:b", "None", "", " x y ", "!", "%41", "é:\r\n<z>", None]
+    d = saved(spark, spark.createDataFrame([(i, f"http://h/{k}", f"text {k % 5}") for k, i in enumerate(ids)],
+                                           "page_id string, url string, html string"), tmp_path, "ids")
+    got = warc.archive_rows(d).collect()
+    assert sorted(map(str, (r["page_id"] for r in got))) == sorted(map(str, ids))
+    refers = {r["page_id"]: r["refers_to"] for r in got if r["record_type"] == "revisit"}
+    for k, i in enumerate(ids[:3]):         # of two equal texts the larger id is the response; null is the smallest
+        pair = (i, ids[k + 5])
+        low, high = sorted(pair, key=lambda x: (x is not None, (x or "").encode()))
+        assert refers[low] == high, pair

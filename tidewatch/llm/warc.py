@@ -28,6 +28,20 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def record_id(page_id, row) -> str:
+    """A record's name: the page_id as text, percent-encoded (so that any text can
+    stand there; ``!`` is no encoded text and means a null), and the row."""
+    from urllib.parse import quote
+    return f"<urn:x-page:{'!' if page_id is None else quote(str(page_id), safe='')}:{row}>"
+
+
+def page_of(name: str) -> str | None:
+    """The page_id in a ``record_id``."""
+    from urllib.parse import unquote
+    got = name.split(":")[2]
+    return None if got == "!" else unquote(got)
+
+
 def record_bytes(page_id, row, url, payload: bytes, digest: str, refers_to, refers_row) -> bytes:
     """One WARC/1.1 record: a response with its payload, or a revisit (refers_to
     given) with the payload's digest and size alone."""
@@ -35,13 +49,13 @@ def record_bytes(page_id, row, url, payload: bytes, digest: str, refers_to, refe
             b"Content-Length: %d\r\n\r\n" % len(payload))
     body = http if refers_row is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_row is None else 'revisit'}",
-            f"WARC-Record-ID: <urn:x-page:{page_id}:{row}>", "WARC-Date: 1970-01-01T00:00:00Z",
+            f"WARC-Record-ID: {record_id(page_id, row)}", "WARC-Date: 1970-01-01T00:00:00Z",
             f"WARC-Target-URI: {(url or 'about:blank').translate(_UNSAFE)}",
             "Content-Type: application/http; msgtype=response",
             f"WARC-Payload-Digest: sha1:{digest}", f"Content-Length: {len(body)}"]
     if refers_row is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: <urn:x-page:{refers_to}:{refers_row}>"]
+                 f"WARC-Refers-To: {record_id(refers_to, refers_row)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -266,18 +280,13 @@ def _read_ranges(batches, folder, with_payload):
                 if kind == "revisit":
                     length = int(http.lower().partition(b"content-length:")[2].split(b"\r\n")[0])
                 ref = h.get("warc-refers-to")
-                out.append((_page(h["warc-record-id"]), h["warc-target-uri"], length, digest, kind,
-                            _page(ref) if ref else None, payload if with_payload else None))
+                out.append((page_of(h["warc-record-id"]), h["warc-target-uri"], length, digest, kind,
+                            page_of(ref) if ref else None, payload if with_payload else None))
             file.file.close()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
 
 
-def _page(record_id: str):
-    got = record_id.split(":")[2]
-    return None if got == "None" else got
-
-
 def read_archives(archives: DataFrame, folder: str, with_payload: bool = False,
                   records_a_read: int = RECORDS_A_READ) -> DataFrame:
     """(path, records) of archives -> a row per record. A task reads ranges of
