@@ -8,6 +8,7 @@ from ..operators import evaluate as EV
 from ..operators import sampling as SA
 from ..operators import windows as WI
 from ..plans.scoring import eval_frame, rule_scored
+from ..session import cut_lineage
 from ..sources.tables import connections, events
 from .base import CONN_CTE, SCORED_CTE, fin, register, sql_fin, with_cte
 
@@ -92,14 +93,14 @@ rk AS (SELECT conn_id, is_attack,
 SELECT conn_id, is_attack, CASE WHEN r <= floor(n * 0.8 + 0.5) THEN 'train' ELSE 'test' END AS split
 FROM rk"""), ints=["conn_id", "is_attack"]))
 def q_split_stratified(spark, sf):
-    c = connections(spark, sf).select("conn_id", "is_attack")
+    c = cut_lineage(connections(spark, sf).select("conn_id", "is_attack"))      # read more than once
     return fin(SA.split_stratified(c, "is_attack", "conn_id", 0.8, 42))
 
 
 @register("fold_stratified", sql_fin(with_cte(CONN_CTE, _RANKED + """
 SELECT conn_id, is_attack, (r - 1) % 5 AS fold FROM rk"""), ints=["conn_id", "is_attack", "fold"]))
 def q_fold_stratified(spark, sf):
-    c = connections(spark, sf).select("conn_id", "is_attack")
+    c = cut_lineage(connections(spark, sf).select("conn_id", "is_attack"))      # read more than once
     return fin(SA.fold_stratified(c, "is_attack", "conn_id", 5, 42))
 
 
@@ -108,7 +109,7 @@ SELECT CASE WHEN r <= floor(n * 0.8 + 0.5) THEN 'train' ELSE 'test' END AS split
        is_attack, count(*) AS n
 FROM rk GROUP BY ALL"""), ints=["is_attack", "n"]))
 def q_concat_parts(spark, sf):
-    c = connections(spark, sf).select("conn_id", "is_attack")
+    c = cut_lineage(connections(spark, sf).select("conn_id", "is_attack"))      # read more than once
     s = SA.split_stratified(c, "is_attack", "conn_id", 0.8, 42)
     both = SA.concat_parts(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"))
     return fin(both.groupBy("split", "is_attack").agg(F.count(F.lit(1)).alias("n")))

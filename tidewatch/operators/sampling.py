@@ -6,7 +6,8 @@ same on every run and in plain SQL; ``randomSplit``/``sampleBy`` are neither exa
 in size nor stable under recomputation. No row is sorted for a split: the hash at
 the boundary rank is found by radix selection (functions/radix.py) and rows are
 compared with it where they are. Folds need every rank: rows meet the others of
-their (label, hash prefix) only, and counts of the prefixes give the offsets.
+their (label, hash prefix) only, and counts of the prefixes give the offsets. Both
+read their input two or three times: pass a saved table, not a costly plan.
 """
 
 from __future__ import annotations
