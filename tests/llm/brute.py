@@ -41,6 +41,26 @@ def secrets(text):
     return out
 
 
+def added_spans(text, model):
+    """All spans of a text: the fixed patterns' and the model's, in order."""
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
+    base = sorted((s, k, e) for s, k, e, _ in secrets(text))
+    out, covered = list(base), bytearray(len(text))
+    for s, _, e in base:
+        covered[s:e] = b"\x01" * (e - s)
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        run = m.group()
+        if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+            continue
+        if covered[m.start():m.end()].count(1):
+            continue
+        at = [symbols.find(c) + 1 for c in run]
+        score = sum(model["table"][a * (len(symbols) + 1) + b] for a, b in zip([0] + at, at)) / len(run)
+        if score > model["threshold"]:
+            out.append((m.start(), 4, m.end()))
+    return [(s, k, e, text[s:e]) for s, k, e in sorted(out)]
+
+
 def luhn(d):
     t = 0
     for i, c in enumerate(map(int, reversed(d))):

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from brute import (contamination, crc, digest, docs_frame, personal, saved, secrets)
+from brute import (added_spans, contamination, crc, digest, docs_frame, personal, saved, secrets)
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from tidewatch.llm import decontaminate, pii, secret_scan, sharding
@@ -38,12 +38,21 @@ def test_secrets_whole_table(spark):
         assert r["base_sha256"] == digest(secrets(texts[r["doc_id"]]))
 
 
+def test_added_spans_match_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    texts = SECRETS + common_texts(rng, 40) + [f"{random_key(rng, 30)}, password={random_key(rng, 25)}{x}" for x in " .=/é"]
+    model = secret_scan.fit_models(secret_scan.labelled_samples(docs_frame(spark, texts)))
+    for r in secret_scan.scan(docs_frame(spark, texts), model).collect():
+        assert [(s["s"], s["k"], s["e"], s["v"]) for s in r["spans"]] == added_spans(texts[r["doc_id"]] or "", model)
+
+
 def test_markov_ratio_parts_random_from_words(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice(["the", "on", "er", "in", "ation", "ing", "sh"]) for _ in range(4))
     key = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTVWXYZabcdefghjkmnpqrstvwxyz23456789") for _ in range(n))
-    samples = spark.createDataFrame([("word", word()) for _ in range(400)] + [("random", key(32)) for _ in range(200)],
-                                    "label string, value string")
+    samples = spark.createDataFrame([("word", word(), i % 2 == 0) for i in range(400)]
+                                    + [("random", key(32), False) for _ in range(200)],
+                                    "label string, value string, held boolean")
     model = secret_scan.fit_models(samples)
     unknown, plain = key(30) + "7x", "theoninger_ationshinger_12"
     d = spark.createDataFrame([(1, f"see {unknown} and {plain} é"), (2, None), (3, "x" * 40)], "doc_id int, text string")
@@ -61,8 +70,51 @@ def test_rare_secrets_fit_the_model_in_a_large_table(spark, tmp_path):
     assert got == {len(texts) - 1: "markov:4:36"}
 
 
-def test_no_model_without_labelled_secrets(spark):
-    assert secret_scan.fit_models(spark.createDataFrame([("word", "hello")], "label string, value string")) is None
+KEYS = "ABCDEFGHJKMNPQRSTVWXYZabcdefghjkmnpqrstvwxyz23456789"
+
+
+def random_key(rng, n):
+    return "".join(rng.choice(KEYS) for _ in range(n - 1)) + "7"
+
+
+def common_texts(rng, n):
+    stems = ["order", "number", "house", "particular", "mention", "ordinary", "sentence", "under", "another", "thing"]
+    return [" ".join(rng.choice(stems) + rng.choice(["", "s", "_id", "er", "ing", "ally"]) for _ in range(30)) for _ in range(n)]
+
+
+def test_without_labelled_secrets_random_strings_are_even(spark, tmp_path):
+    rng = random.Random(11)
+    texts = common_texts(rng, 300) + [f"see {random_key(rng, 36)} there" for _ in range(10)] + ["a_common_identifier_of_order_12"]
+    got = secret_scan.secret_rows(saved(spark, docs_frame(spark, texts), tmp_path)).where("n_markov > 0").collect()
+    assert {r["doc_id"]: r["spans"] for r in got} == {i: "markov:4:40" for i in range(300, 310)}
+    none = secret_scan.fit_models(spark.createDataFrame([], "label string, value string, held boolean"))
+    assert none["threshold"] == 0 and set(none["table"]) == {0.0}
+
+
+def test_unlabelled_secrets_do_not_raise_the_threshold(spark, tmp_path):
+    rng = random.Random(13)
+    texts = common_texts(rng, 3000)
+    texts += [f"token={random_key(rng, 36)} here" for _ in range(60)]
+    texts += [f"see {random_key(rng, 36)} there" for _ in range(60)]
+    d = saved(spark, docs_frame(spark, texts), tmp_path)
+    got = {r["doc_id"] for r in secret_scan.secret_rows(d).where("n_markov > 0").collect()}
+    assert got <= set(range(3060, 3120)) and len(got) >= 58
+
+
+def test_long_runs_and_many_spans_in_one_text(spark):
+    rng = random.Random(17)
+    model = secret_scan.fit_models(spark.createDataFrame(
+        [("word", w, i % 2 == 0) for i, t in enumerate(common_texts(rng, 50)) for w in t.split()]
+        + [("random", random_key(rng, 40), False) for _ in range(200)], "label string, value string, held boolean"))
+    letters = "".join(rng.choice(KEYS[:44]) for _ in range(700))
+    texts = [f"see {letters}5x there", f"{'9' * 600}{letters} x", "a" * 3000 + "1",
+             " ".join("%032x" % rng.getrandbits(128) for _ in range(30000)),
+             " ".join(random_key(rng, 24) + (" token=abcdefgh" if i % 3 == 0 else "") for i in range(2000))]
+    rows = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).collect()
+    got = {r["doc_id"]: [(s["s"], s["k"], s["e"], s["v"]) for s in r["spans"]] for r in rows}
+    for i, t in enumerate(texts):
+        assert got[i] == added_spans(t, model), i
+    assert got[0] == [(4, 4, 706, letters + "5x")] and len(got[3]) >= 29900
 
 
 PERSONAL = [
