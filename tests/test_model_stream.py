@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from conftest import SF_SMALL
-from tidewatch.config import Config, ModelConfig
+from tidewatch.sources import sinks as SK
 from tidewatch.operators import alerts as AL
 from tidewatch.operators import evaluate as EV
 from tidewatch.operators import model as MO
@@ -21,8 +21,7 @@ from tidewatch.streaming import scoring as SS
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    return train(connections(spark, SF_SMALL), FeatureSpec(), Config(),
-                 ModelConfig(max_depth=3, n_estimators=5))
+    return train(connections(spark, SF_SMALL), FeatureSpec(), MO.Boosting(max_depth=3, n_estimators=5))
 
 
 def test_model_auc_floor_and_rejects(spark, trained):
@@ -99,8 +98,8 @@ def test_tuning_result_feeds_training(spark, trained):
     folded = SA.fold_stratified(trained.train, "is_attack", "conn_id", 2, 42)
     res = MO.cross_validate_grid(folded, trained.state.features,
                                  MO.grid_combos({"max_depth": [2, 3], "n_estimators": [3]}),
-                                 "fold", "is_attack", ModelConfig(n_estimators=3), 2, "grid")
-    cfg = MO.best_config(res, ModelConfig(n_estimators=3))
+                                 "fold", "is_attack", MO.Boosting(n_estimators=3), 2, "grid")
+    cfg = MO.best_config(res, MO.Boosting(n_estimators=3))
     assert cfg.max_depth in (2, 3) and cfg.n_estimators == 3
     assert res.count() == 2 and res.filter(F.col("mean_auc") > 0.5).count() == 2
 
@@ -209,7 +208,7 @@ def test_early_stopping_cuts_the_trees(spark):
     d = spark.range(600).select(
         ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 89).cast("double").alias("b"),
         (F.col("id") % 3 == 0).alias("held")).withColumn("is_attack", ((F.col("a") * 7 + F.col("b") * 13) % 10 < 4).cast("int"))
-    cfg = lambda n: ModelConfig(max_depth=5, learning_rate=0.5, n_estimators=12, early_stopping_rounds=n)
+    cfg = lambda n: MO.Boosting(max_depth=5, learning_rate=0.5, n_estimators=12, early_stopping_rounds=n)
     cut, whole = (MO.fit_boosted_trees(d, ["a", "b"], cfg=cfg(n), validation_col="held").stages[-1] for n in (1, 0))
     assert whole.getNumTrees == 12 and cut.getNumTrees < 12
     assert cut.treeWeights == whole.treeWeights[:cut.getNumTrees]
@@ -219,11 +218,38 @@ def test_early_stopping_cuts_the_trees(spark):
 def test_fold_rows_and_search_points(spark, trained):
     from tidewatch.operators import sampling as SA
     folded = SA.fold_stratified(trained.train, "is_attack", "conn_id", 5, 42)
-    cv = MO.cross_validate(folded, trained.state.features, cfg=ModelConfig(max_depth=2, n_estimators=2)).collect()
+    cv = MO.cross_validate(folded, trained.state.features, cfg=MO.Boosting(max_depth=2, n_estimators=2)).collect()
     assert sorted(r["fold"] for r in cv) == [0, 1, 2, 3, 4]
     assert cv[0]["mean_auc"] == pytest.approx(sum(r["auc"] for r in cv) / 5)
     points = MO.random_combos({"a": [1, 2], "b": [1, 2, 3]}, 99)
     assert len(points) == 6 and len({tuple(sorted(p.items())) for p in points}) == 6
-    assert MO.configured(ModelConfig(), {"min_child_weight": 5}).min_child_rows == 5
+    assert MO.configured(MO.Boosting(), {"min_child_weight": 5}).min_child_rows == 5
     with pytest.raises(ValueError):
-        MO.configured(ModelConfig(), {"gamma": 1})
+        MO.configured(MO.Boosting(), {"gamma": 1})
+
+
+def test_report_of_model_scores_reads_back(spark, tmp_path):
+    rows = [(i % 2, int(i % 3 == 0), (i % 7) / 7) for i in range(70)] + [(1, None, None)]
+    parts = EV.evaluate_all(spark.createDataFrame(rows, "y int, pred int, p double"))
+    long = EV.report_long(parts)
+    assert long.schema.simpleString() == "struct<" + EV.REPORT_DDL.replace(", ", ",").replace(" ", ":") + ">"
+    SK.write_report(long, str(tmp_path / "report"))
+    back = SK.read_table(spark, str(tmp_path / "report"), "json", EV.REPORT_DDL)
+    assert sorted(map(str, back.collect())) == sorted(map(str, long.collect()))
+    assert back.where("section = 'roc_curve' AND threshold = double('inf')").count() == 2
+
+
+def test_tuning_report_gives_the_best_parameters_back(spark, tmp_path):
+    res = spark.createDataFrame([("random", '{"max_depth": 3}', 0.7, 0.1), ("random", '{"max_depth": 5}', None, None),
+                                 ("fine", '{"learning_rate": 0.2, "max_depth": 4}', 0.9, 0.0)],
+                                "method string, params string, mean_auc double, std_auc double")
+    SK.write_report(res, str(tmp_path / "tuning"))
+    back = SK.read_table(spark, str(tmp_path / "tuning"), "json", res.schema)
+    best = MO.best_config(back)
+    assert (best.max_depth, best.learning_rate, best.n_estimators) == (4, 0.2, 100) and best == MO.best_config(res)
+
+
+def test_searches_cover_the_default_grid_and_space():
+    assert len(MO.grid_combos()) == 108 and all(MO.configured(MO.Boosting(), c) for c in MO.grid_combos())
+    draws = MO.random_combos(n_iter=50)
+    assert len({str(d) for d in draws}) == 50 and all(MO.configured(MO.Boosting(), d) for d in draws)

@@ -8,9 +8,10 @@ from ..operators import evaluate as EV
 from ..operators import sampling as SA
 from ..operators import windows as WI
 from ..plans.scoring import eval_frame, rule_scored
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path, scratch_scope
+from ..sources import sinks as SK
 from ..sources.tables import connections, events
-from .base import CONN_CTE, SCORED_CTE, fin, register, sql_fin, with_cte
+from .base import CONN_CTE, ORACLE, SCORED_CTE, fin, register, sql_fin, with_cte
 
 
 def _dbl(x: float) -> str:
@@ -279,8 +280,38 @@ def q_calibration_error(spark, sf):
     return fin(EV.calibration_error(_ev(spark, sf)))
 
 
-@register("evaluate_all")
+# --- the whole report ------------------------------------------------------------------------
+_REPORT_VALUES = {
+    "basic_metrics": ["accuracy", "precision", "recall", "f1_score", "auc", "average_precision"],
+    "class_report": ["precision", "recall", "f1_score", "support"], "confusion_matrix": ["n"],
+    "roc_curve": ["fpr", "tpr"], "pr_curve": ["precision", "recall"],
+    "threshold_sweep": ["accuracy", "precision", "recall", "f1_score", "is_best"],
+    "confidence_bins": ["count", "avg_confidence", "accuracy", "calibration_error"],
+    "calibration": ["count", "prob_true", "prob_pred"],
+    "calibration_error": ["calibration_error", "weighted_calibration_error", "bins"]}
+
+
+def _report_sql() -> str:
+    """The twins of the parts, one row a value."""
+    parts = ",\n".join(f"part_{p} AS ({ORACLE[p]})" for p in _REPORT_VALUES)
+    rows = []
+    for p, values in _REPORT_VALUES.items():
+        keys = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in EV.REPORT_KEYS.get(p, [])) or "CAST(NULL AS VARCHAR)"
+        at = "threshold" if p in EV.REPORT_AT else "CAST(NULL AS DOUBLE)"
+        rows += [f"SELECT '{p}' AS section, {keys} AS key, {at} AS threshold, '{v}' AS metric, "
+                 f'CAST("{v}" AS DOUBLE) AS value FROM part_{p}' for v in values]
+    return f"WITH {parts}\n" + "\nUNION ALL ".join(rows)
+
+
+@register("evaluate_all", _report_sql())
 def q_evaluate_all(spark, sf):
-    """Every report part in long form (section, key, metric, value); the parts
-    have their own SQL twins above, so this is a rows-only check."""
-    return EV.report_long(EV.evaluate_all(_ev(spark, sf, materialize=True)))
+    return fin(EV.report_long(EV.evaluate_all(_ev(spark, sf))))
+
+
+@register("sink_report_evaluation", _report_sql())
+def q_sink_report_evaluation(spark, sf):
+    # the report as JSON lines, read back
+    path = scratch_path(spark, "report")
+    with scratch_scope(spark):
+        SK.write_report(EV.report_long(EV.evaluate_all(_ev(spark, sf))), path)
+    return fin(SK.read_table(spark, path, "json", EV.REPORT_DDL))

@@ -11,7 +11,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..config import Config, ModelConfig
 from ..operators import evaluate as EV
 from ..operators import model as MO
 from ..operators import sampling as SA
@@ -21,7 +20,7 @@ from ..session import scratch_path
 from ..sources.tables import connections
 from .base import register
 
-SMALL = ModelConfig(max_depth=4, n_estimators=10)
+SMALL = MO.Boosting(max_depth=4, n_estimators=10)
 AS_OF = dt.datetime(2024, 2, 1)       # a fixed time, so that results repeat
 _CACHE: dict = {}       # the last trained model only
 
@@ -30,7 +29,7 @@ def trained(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         _CACHE.clear()
-        _CACHE[key] = train(connections(spark, sf), FeatureSpec(), Config(), SMALL)
+        _CACHE[key] = train(connections(spark, sf), FeatureSpec(), SMALL)
     return _CACHE[key]
 
 

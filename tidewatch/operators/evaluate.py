@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 from .windows import prefix_sums
 
 
@@ -254,9 +255,17 @@ def calibration_error(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
                  F.count(F.lit(1)).alias("bins"))
 
 
+REPORT_DDL = "section string, key string, threshold double, metric string, value double"
+# What names a row of a part beside its threshold; all else is a value.
+REPORT_KEYS = {"class_report": ["class"], "confusion_matrix": ["y_true", "y_pred"],
+               "confidence_bins": ["bin", "bin_range"], "calibration": ["bin"]}
+REPORT_AT = ("roc_curve", "pr_curve", "threshold_sweep")
+
+
 def evaluate_all(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p") -> dict:
-    """Every report part from one cached (y, pred, p) table."""
-    base = df.select(F.col(y).alias("y"), F.col(pred).alias("pred"), F.col(p).alias("p")).cache()
+    """Every report part, each a DataFrame, from one saved (y, pred, p) table (a
+    scope around removes it; the parts read it when they run)."""
+    base = cut_lineage(df.select(F.col(y).alias("y"), F.col(pred).alias("pred"), F.col(p).alias("p")), "evaluated")
     return {
         "basic_metrics": basic_metrics(base),
         "class_report": class_report(base),
@@ -271,15 +280,20 @@ def evaluate_all(df: DataFrame, y: str = "y", pred: str = "pred", p: str = "p")
 
 
 def report_long(parts: dict) -> DataFrame:
-    """Flatten report parts into (section, key, metric, value) rows."""
+    """Flatten report parts into (section, key, threshold, metric, value) rows: the
+    key names a class, cell or bin, the threshold (a number) a point of a curve or
+    sweep; both are null in parts of one row."""
     out = None
     for name, d in parts.items():
-        keys = [c for c, t in d.dtypes if t == "string" or c in ("bin", "threshold", "y_true",
-                                                                   "y_pred", "class")]
-        vals = [c for c in d.columns if c not in keys]
+        keys = REPORT_KEYS.get(name, [])
+        at = ["threshold"] if name in REPORT_AT else []
+        vals = [c for c in d.columns if c not in keys + at]
         key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]) \
-            if keys else F.lit("")
-        cols = d.select(key.alias("key"), *[F.col(v).cast("double").alias(v) for v in vals])
-        long = cols.unpivot("key", vals, "metric", "value").withColumn("section", F.lit(name))
+            if keys else F.lit(None).cast("string")
+        threshold = F.col("threshold") if at else F.lit(None).cast("double")
+        cols = d.select(key.alias("key"), threshold.alias("threshold"),
+                        *[F.col(v).cast("double").alias(v) for v in vals])
+        long = cols.unpivot(["key", "threshold"], vals, "metric", "value").withColumn("section", F.lit(name))
+        long = long.select("section", "key", "threshold", "metric", "value")
         out = long if out is None else out.unionByName(long)
     return out

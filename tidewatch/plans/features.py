@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..config import DataConfig
 from ..operators import encoders as EN
 from ..operators import features as FE
 from ..operators import impute as IM
@@ -64,7 +63,12 @@ class FeatureSpec:
     entity: tuple = ()
     target: str = "is_attack"
     attack_type: str = "attack_type"
-    cfg: DataConfig = DataConfig()
+    fence: str | None = "iqr"           # 'iqr', 'zscore' or None: outliers stay in the fit
+    fence_mode: str = "joint"
+    zscore_limit: float = 3.0
+    encoding: str = "onehot"            # or 'label'
+    scale: bool = True
+    quantile_method: str = "exact"
     rolling_strategy: str = "halo"
 
     @property
@@ -75,17 +79,16 @@ class FeatureSpec:
     def fit(self, df: DataFrame) -> tuple[FeatureState, DataFrame]:
         """Fit every state table on ``df``; returns (state, transformed fit table
         with outliers removed)."""
-        cfg = self.cfg
         excl = self.protected + (self.attack_type,)
         imp = IM.fit(df, numeric_columns(df, excl), string_columns(df, excl), excl,
-                     cfg.quantile_method)
+                     self.quantile_method)
         x = IM.transform(df, imp)
         fences = None
-        if cfg.remove_outliers:
+        if self.fence is not None:
             cols = numeric_columns(x, excl)
-            fences = (OU.fit_iqr(x, cols, 1.5, cfg.outlier_mode, excl, cfg.quantile_method)
-                      if cfg.outlier_method == "iqr"
-                      else OU.fit_zscore(x, cols, cfg.outlier_threshold, cfg.outlier_mode, excl))
+            fences = (OU.fit_iqr(x, cols, 1.5, self.fence_mode, excl, self.quantile_method)
+                      if self.fence == "iqr"
+                      else OU.fit_zscore(x, cols, self.zscore_limit, self.fence_mode, excl))
             # a column whose quartiles are equal (flags, mostly zeros) has no spread to
             # fence: everything but its common value, so most attacks, would go
             fences = fences.where("lower < upper")
@@ -95,14 +98,14 @@ class FeatureSpec:
         w = WI.rolling_window_size(x.count())
         # the remaining fits are separate passes: save the rolled table once
         x = cut_lineage(self._rolling(x, w), "features_fit")
-        pct = FE.fit_percentile_flags(x, numeric_columns(x, excl)[:5], method=cfg.quantile_method)
+        pct = FE.fit_percentile_flags(x, numeric_columns(x, excl)[:5], method=self.quantile_method)
         x = FE.apply_percentile_flags(x, pct)
         x = FE.interactions(x)
         cats = string_columns(x, excl)
         dic = EN.fit_dictionary(x, cats)
-        x = EN.encode(x, dic, cfg.categorical_encoding)
+        x = EN.encode(x, dic, self.encoding)
         scaler = None
-        if cfg.normalize_features:
+        if self.scale:
             scaler = SC.fit(x, numeric_columns(x, excl))
             x = SC.transform(x, scaler)
         feats = numeric_columns(x, excl)
@@ -113,7 +116,7 @@ class FeatureSpec:
         left = OU.flag(x, fences).groupBy(self.target).agg(F.count_if(F.col("is_outlier") == 0).alias("n"))
         gone = [r[self.target] for r in left.where("n = 0").collect()]
         if gone:
-            raise VanishedClass(f"the {self.cfg.outlier_method} fence leaves no row of {self.target} = {gone}")
+            raise VanishedClass(f"the {self.fence} fence leaves no row of {self.target} = {gone}")
 
     # -- transform ----------------------------------------------------------------------
     def transform(self, df: DataFrame, state: FeatureState, drop_outliers: bool = False,
@@ -132,7 +135,7 @@ class FeatureSpec:
                 "rolling_mean", "rolling_std", "zscore")})
         x = FE.apply_percentile_flags(x, state.percentiles)
         x = FE.interactions(x)
-        x = EN.encode(x, state.dictionary, self.cfg.categorical_encoding)
+        x = EN.encode(x, state.dictionary, self.encoding)
         if state.scaler is not None:
             x = SC.transform(x, state.scaler)
         missing = sorted(set(state.features) - set(x.columns))
@@ -169,7 +172,7 @@ def load_state(spark: SparkSession, path: str) -> tuple[FeatureSpec, FeatureStat
         f"{path}/settings").first()
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in row["tables"]}
     kw = json.loads(row["spec"])
-    kw.update(cfg=DataConfig(**kw["cfg"]), order=tuple(kw["order"]), entity=tuple(kw["entity"]))
+    kw.update(order=tuple(kw["order"]), entity=tuple(kw["entity"]))
     state = FeatureState(tables["impute"], tables.get("fences"), tables["percentiles"], row["rolling_w"],
                          tables["dictionary"], tables.get("scaler"), json.loads(row["features"]))
     return FeatureSpec(**kw), state

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..config import Config, ModelConfig
 from ..operators import alerts as AL
 from ..operators import model as MO
 from ..operators import sampling as SA
@@ -26,19 +25,17 @@ class Trained:
     test: DataFrame | None = None       # raw held-out rows
 
 
-def train(df: DataFrame, spec: FeatureSpec = FeatureSpec(), cfg: Config = Config(),
-          model_cfg: ModelConfig | None = None) -> Trained:
-    mc = model_cfg or cfg.model
+def train(df: DataFrame, spec: FeatureSpec = FeatureSpec(), trees: MO.Boosting = MO.Boosting(),
+          test_share: float = 0.2, validation_share: float = 0.2, seed: int = 42) -> Trained:
     # one ranking: train / validation (early-stopping slice of train) / test; saved, for the fits read it often
-    split = cut_lineage(SA.split_stratified(df, spec.target, spec.key, 1 - cfg.data.test_size,
-                                cfg.data.random_state,
-                                validation_frac=cfg.training.validation_split), "split")
+    split = cut_lineage(SA.split_stratified(df, spec.target, spec.key, 1 - test_share, seed,
+                                            validation_frac=validation_share), "split")
     raw_train = split.filter(F.col("split") != "test") \
         .withColumn("is_validation", F.col("split") == "validation").drop("split")
     raw_test = split.filter(F.col("split") == "test").drop("split")
     # the boolean flag rides through the chain (features are numeric columns)
     state, x = spec.fit(raw_train)
-    model = MO.fit_boosted_trees(x, state.features, spec.target, mc,
+    model = MO.fit_boosted_trees(x, state.features, spec.target, trees,
                                  validation_col="is_validation")
     return Trained(model, spec, state, x, raw_test)
 
