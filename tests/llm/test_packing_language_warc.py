@@ -144,6 +144,28 @@ def test_language_awkward_texts(spark, tmp_path):
     assert [r["rejected"] for r in language.identify(d, None).orderBy("doc_id").collect()] == [True] * 3 + [False] * 4
 
 
+def test_foreign_text_is_rejected_and_clean_text_kept(spark):
+    base = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL")
+    model = language.fit(language.labelled_sample(language.learnable(base)))
+    rng = random.Random(1)
+    foreign = ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura. " * 5,
+               "static int parse(const char *buf, size_t len) { for (size_t i = 0; i < len; i++) { if (!buf[i]) return -1; } }",
+               "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(300)),
+               "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)), "deadbeef0123456789abcafe" * 4]
+    assert all(language.predict_texts(foreign, model)[2])
+    rows = language.identify(base.where(language.held_out()), model)
+    assert rows.where("rejected").count() <= 0.003 * rows.count()
+
+
+def test_sample_is_bounded_and_counts_copies_once(spark):
+    rows = [("en", "same text")] * 5000 + [("en", f"text {i}") for i in range(300)] + [("de", "ein Text"), (None, "x"), ("fr", None)]
+    d = spark.createDataFrame(rows, "lang string, text string")
+    got = [tuple(r) for r in language.labelled_sample(d, per_lang=100).collect()]
+    assert len(got) == len(set(got)) == 101 and sum(lang == "de" for lang, _ in got) == 1
+    small = language.labelled_sample(d, per_lang=1000).collect()
+    assert sorted(map(tuple, small)) == sorted({r for r in rows if None not in r})
+
+
 def test_subwords_of_a_text_do_not_depend_on_its_neighbours():
     texts = ["Ab cd, é1f", "", "zz", "!!"]
     b, n, _ = language.subword_buckets(texts)

@@ -4,7 +4,7 @@ score and rejection."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import RID, lean, mix64, slices, with_row_id
 
@@ -20,6 +20,11 @@ BATCH = 32
 RATE = 2.0
 REJECT_SHARE = 0.0005   # share of the validation texts that the rejection may cost
 REJECT_BELOW = 0.5      # and never a score of this or more
+# A text is strange to its language beyond this many times what the strangest
+# validation text is, LEAST_STRANGE standard deviations at least.
+STRANGE_MARGIN = 1.5
+LEAST_STRANGE = 4.0
+OVERSAMPLE = 1.5        # of the hashes that are looked at for the sample
 
 
 class _Letters:
@@ -78,14 +83,14 @@ def subword_buckets(texts, buckets=BUCKETS, grams=GRAMS):
     return all_got, np.bincount(all_own, minlength=len(texts)), all_own
 
 
-def averages(texts, values):
-    """Mean of the rows of ``values`` (buckets, m) over each text's subwords; the
-    count of subwords, 0 for a text without letters."""
+def averages(values, found, texts):
+    """Mean of the rows of ``values`` (buckets, m) over the subwords that
+    ``subword_buckets`` found of so many texts."""
     import numpy as np
-    b, n, own = subword_buckets(texts, len(values))
-    out = np.stack([np.bincount(own, weights=values[b, j], minlength=len(texts))
+    b, n, own = found
+    out = np.stack([np.bincount(own, weights=values[b, j], minlength=texts)
                     for j in range(values.shape[1])], axis=1)
-    return out / np.maximum(n, 1)[:, None], n
+    return out / np.maximum(n, 1)[:, None]
 
 
 def _slices(texts, most=400_000):
@@ -120,15 +125,21 @@ def _count_rows(batches, buckets):
 
 
 def labelled_sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
-    """(lang, text) of about ``per_lang`` documents of each language, drawn by a
-    hash of the text; the ``max_langs`` most frequent labels. ``docs`` has the
-    rows that may be learned from, as (lang, text)."""
-    ok = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = ok.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
-    share = counts.select("lang", F.expr(f"least(1D, {per_lang}D / n)").alias("__tw_share"))
-    return (ok.join(F.broadcast(share), "lang")
-            .where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("__tw_share") * (1 << 20))
-            .select("lang", "text"))
+    """(lang, text) of at most ``per_lang`` different texts of each language, those
+    with the smallest hashes; the ``max_langs`` most frequent labels. ``docs`` has
+    the rows that may be learned from, as (lang, text). Copies of a text count
+    once: a common text takes one place, and a task sends it once.
+    """
+    ok = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    # each language's count of different texts tells which hashes can be among the smallest
+    counts = (ok.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h", 0.05).alias("m"))
+              .orderBy(F.desc("n"), "lang").limit(max_langs))
+    share = counts.select("lang", F.expr(f"least(1D, {OVERSAMPLE * per_lang}D / m)").alias("share"))
+    below = F.col("share") * float(1 << 63) * 2 - float(1 << 63)
+    some = (ok.join(F.broadcast(share), "lang").where((F.col("share") >= 1) | (F.col("h") < below))
+            .groupBy("lang", "h").agg(F.min("text").alias("text")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return some.withColumn("r", rank).where(F.col("r") <= per_lang).select("lang", "text")
 
 
 def fit(sample: DataFrame, buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS, seed: int = 3):
@@ -136,8 +147,10 @@ def fit(sample: DataFrame, buckets: int = BUCKETS, dim: int = DIM, epochs: int =
     cluster, the descent runs in numpy. Returns None if nothing is labelled.
 
     A fifth of the sample is held out to fit the temperature of the softmax and
-    the rejection threshold: the score under which REJECT_SHARE of the held-out
-    texts fall, REJECT_BELOW at most.
+    two rejection thresholds: the score under which REJECT_SHARE of the held-out
+    texts fall, REJECT_BELOW at most, and how strange a text may be to the
+    language it is given (``strangeness``). A softmax alone is sure of foreign text
+    too: one of its languages must have it.
     """
     import numpy as np
     rows = sample.select("lang", "text").mapInArrow(
@@ -148,6 +161,7 @@ def fit(sample: DataFrame, buckets: int = BUCKETS, dim: int = DIM, epochs: int =
     langs = sorted(set(rows["lang"]))
     y = np.array([langs.index(v) for v in rows["lang"]])
     feats = [(np.asarray(i), np.asarray(c, np.float32) / np.sum(c)) for i, c in zip(rows["idx"], rows["cnt"])]
+    size = np.array([int(np.sum(c)) for c in rows["cnt"]])
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held = order[:len(order) // 5]
@@ -174,16 +188,47 @@ def fit(sample: DataFrame, buckets: int = BUCKETS, dim: int = DIM, epochs: int =
                 # an average spreads its gradient thin; the table's rate makes up for it
                 emb[feats[i][0]] -= (50 * rate) * feats[i][1][:, None] * b[None, :]
     logits = emb @ out
-    model = {"langs": langs, "table": logits.astype(np.float32), "bias": bias, "temperature": 1.0, "reject": 0.0}
+    model = {"langs": langs, "table": logits.astype(np.float32), "bias": bias, "temperature": 1.0, "reject": 0.0,
+             **_usage([feats[i] for i in train], y[train], len(langs), buckets), "strange": float("inf")}
     if len(held):
         z = np.stack([feats[i][1] @ logits[feats[i][0]] for i in held]) + bias
         loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean()
         model["temperature"] = float(min((0.25 * 1.15 ** i for i in range(30)), key=loss))
         best = _softmax(z / model["temperature"]).max(axis=1)
         model["reject"] = float(min(REJECT_BELOW, np.quantile(best, REJECT_SHARE)))
+        mean = np.array([feats[i][1] @ model["usage"][feats[i][0], y[i]] for i in held])
+        strange = strangeness(mean, size[held], y[held], model)
+        model["strange"] = float(max(LEAST_STRANGE, STRANGE_MARGIN * strange.max()))
     return model
 
 
+def _usage(feats, y, langs: int, buckets: int) -> dict:
+    """How each language uses the subwords, from training texts of equal weight:
+    the log share of every bucket (smoothed), its mean over the texts of the
+    language, and its deviation between texts and between single subwords."""
+    import numpy as np
+    share = np.zeros((buckets, langs))
+    for (i, f), k in zip(feats, y):
+        share[i, k] += f
+    share /= np.maximum(share.sum(axis=0), 1e-9)
+    usage = np.log(0.99 * share + 0.01 / buckets)
+    mean = (share * usage).sum(axis=0)
+    within = np.sqrt((share * (usage - mean) ** 2).sum(axis=0)) + 1e-9
+    between = np.zeros(langs)
+    for k in range(langs):
+        got = [f @ usage[i, k] for (i, f), v in zip(feats, y) if v == k and len(i) >= 100]
+        between[k] = np.std(got) if len(got) > 1 else 0.0
+    return {"usage": usage.astype(np.float32), "usual": mean, "within": within, "between": between}
+
+
+def strangeness(mean, n, lang, model):
+    """How far below its language's the mean log share of a text's n subwords is,
+    in standard deviations (of texts, and of the mean of so few subwords)."""
+    import numpy as np
+    sd = model["between"][lang] + model["within"][lang] / np.sqrt(np.maximum(n, 1))
+    return (model["usual"][lang] - mean) / sd
+
+
 def hash_of(idx, cnt) -> int:
     import zlib
 
@@ -201,19 +246,21 @@ def predict_texts(texts, model):
     """(labels, scores, rejected) of a list of texts; None is a null text.
     Without a model, only texts without a letter are rejected."""
     import numpy as np
-    label, score = [], []
+    label, score, rejected = [], [], []
     texts = [t or "" for t in texts]
     if model is None:
         letters = [any(map(str.isalpha, t)) for t in texts]
         return [UNKNOWN] * len(texts), [0.0] * len(texts), [not x for x in letters]
     for lo, hi in _slices(texts):
-        z, n = averages(texts[lo:hi], model["table"])
-        p = _softmax((z + model["bias"]) / model["temperature"])
+        found = b, n, own = subword_buckets(texts[lo:hi], len(model["table"]))
+        p = _softmax((averages(model["table"], found, hi - lo) + model["bias"]) / model["temperature"])
         best = p.argmax(axis=1)
+        mean = np.bincount(own, weights=model["usage"][b, best[own]], minlength=hi - lo) / np.maximum(n, 1)
+        strange = strangeness(mean, n, best, model) > model["strange"]
         for i in range(hi - lo):
             label.append(model["langs"][best[i]] if n[i] else UNKNOWN)
             score.append(float(p[i, best[i]]) if n[i] else 0.0)
-    rejected = [s < model["reject"] or v == UNKNOWN for v, s in zip(label, score)]
+            rejected.append(bool(not n[i] or score[-1] < model["reject"] or strange[i]))
     return label, score, rejected
 
 
@@ -242,8 +289,9 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model) -> DataFrame:
     """``docs`` with the same columns, without the rows that are rejected: no
-    letter, or a calibrated score under the model's threshold. One pass, no
-    shuffle."""
+    letter, a calibrated score under the model's threshold, or a text too strange
+    to the language it is given. One pass, no shuffle. Null texts go; repeated rows
+    stay or go alike; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
