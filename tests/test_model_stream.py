@@ -104,13 +104,13 @@ def test_tuning_result_feeds_training(spark, trained):
     assert res.count() == 2 and res.filter(F.col("mean_auc") > 0.5).count() == 2
 
 
-def _rolled(spark, e, parts, w):
+def _rolled(spark, e, parts, w, **options):
     src, sink, ck = (scratch_path(spark, f"roll_{x}") for x in ("src", "sink", "ck"))
     for i, part in enumerate(parts):
         part.write.parquet(f"{src}/part={i}")
         stream = SS.file_stream(spark, f"{src}/part=*", e.schema)
         with SR.rocksdb_state(spark):
-            SR.rolling_stream(stream, "who", "ts", "id", "value", w).writeStream.format("parquet").option(
+            SR.rolling_stream(stream, "who", "ts", "id", "value", w, **options).writeStream.format("parquet").option(
                 "path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(sink)
 
@@ -136,6 +136,29 @@ def test_rolling_stream_with_text_keys_nulls_and_late_rows(spark):
     assert mean["a4"] == (0 + 1 + 2 + 4) / 4 and mean["a3"] == (1 + 2 + 3) / 3 and mean["a5"] == (2 + 3 + 4 + 5) / 4
 
 
+def test_rolling_stream_rolls_many_entities_of_a_bucket_with_exact_whole_numbers(spark):
+    big = (1 << 53) + 1      # no double holds it
+    rows = [(None if i % 31 == 0 else big + 2 * i, None if i % 7 == 0 else big + 2 * (i % 7), i * 37 % 600,
+             None if i % 13 == 0 else float("inf") if i == 50 else float(i * i % 101)) for i in range(300)]
+    e = spark.createDataFrame(rows, "id long, who long, s long, value double").select(
+        "id", "who", F.timestamp_seconds("s").alias("ts"), "value")
+    got = _rolled(spark, e, [e.filter("unix_seconds(ts) < 250"), e.filter("unix_seconds(ts) >= 250")], 5, buckets=2).collect()
+    want, seen = {}, {}
+    for id_, who, s, v in sorted(rows, key=lambda r: r[2]):
+        frame = seen.setdefault(who, [])
+        frame.append(v)
+        x = [f for f in frame[-5:] if f is not None and f != float("inf")]
+        mean = sum(x) / len(x) if x else None
+        std = (sum((f - mean) ** 2 for f in x) / (len(x) - 1)) ** 0.5 if len(x) > 1 else None
+        want[s] = (id_, who, v, mean, std)
+    at = {(id_, who, v): s for id_, who, s, v in rows}
+    assert len(got) == len(rows) and len(at) == len({(r["id"], r["who"], r["value"]) for r in got})
+    for r in got:
+        _, _, _, mean, std = want[at[r["id"], r["who"], r["value"]]]
+        assert (r["value_rolling_mean"], r["value_rolling_std"]) == (
+            None if mean is None else pytest.approx(mean), None if std is None else pytest.approx(std))
+
+
 def test_alarms_appear_while_the_stream_runs_and_equal_batch(spark):
     e = events(spark, SF_SMALL).select("ts", "value", F.when(F.col("user_id") % 3 > 0, F.col("user_id") % 3).alias("k"))
     src, sink, ck = (scratch_path(spark, f"alarms_{x}") for x in ("src", "sink", "ck"))
