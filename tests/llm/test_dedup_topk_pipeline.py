@@ -127,6 +127,17 @@ def test_lines_small(spark, tmp_path):
     assert line_dedup.line_rows(d.where("false")).count() == 0
 
 
+def test_line_dedup_saves_no_text_of_its_lines(spark, tmp_path):
+    rows = [(1, "one long line of words\nshort"), (2, "SHORT \none long line of wordz"), (3, None), (4, " \n")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/docs")
+    marked = line_dedup.duplicate_lines(spark.read.parquet(f"{tmp_path}/docs"), percent=70)
+    tables = {f.rsplit("/", 1)[0] for f in marked.inputFiles()}
+    types = [t for path in tables for _, t in spark.read.parquet(path).dtypes]
+    assert tables and not {"string", "array<bigint>"} & set(types)
+    assert sorted((r["doc_id"], r["line_no"], r["kept"]) for r in marked.collect()) == [
+        (1, 0, True), (1, 1, True), (2, 0, False), (2, 1, False)]
+
+
 @pytest.mark.parametrize("size", [8, 5])
 def test_pairs_of_lines_match_sets(size):
     import numpy as np

@@ -21,45 +21,30 @@ SEEN = 500_000          # hashes a task remembers to sign a line once
 
 
 def _signatures(batches, bands, rows, size):
-    """Arrow rows (rid, doc_id, line_no, h, line) -> the same with the bucket
-    keys; line and keys are null where the task has signed the line before."""
+    """Arrow rows (h, line) -> (key, h), a row a bucket of each line that the task
+    has not signed before."""
     import numpy as np
     import pyarrow as pa
-    import pyarrow.compute as pc
     mult, mask = odd_multipliers(bands * rows, 11)
     seen: set[int] = set()
     for batch in batches:
-        at, new, parts = [], [], []
-        texts = batch.column("line").to_pylist()
+        new = []
         for i, h in enumerate(batch.column("h").to_pylist()):
             if h not in seen:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(h)
                 new.append(i)
-        chars = 0
-        for i in new:
-            at.append(i)
-            chars += len(texts[i])
-            if chars > 400_000:
-                parts.append((at, sign([texts[j] for j in at], mult, mask, rows, size)))
-                at, chars = [], 0
-        if at:
-            parts.append((at, sign([texts[j] for j in at], mult, mask, rows, size)))
-        places = np.full(batch.num_rows, -1, np.int64)
-        if new:
-            places[np.concatenate([p[0] for p in parts])] = np.arange(len(new))
-            values = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(new) + 1, dtype=np.int32) * bands),
-                pa.array(np.concatenate([p[1] for p in parts]).ravel()))
-            keys = values.take(pa.array(places, mask=places < 0))
-        else:
-            keys = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
-        line = batch.column("line")
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in (RID, "doc_id", "line_no", "h")),
-             pc.if_else(pa.array(places >= 0), line, pa.scalar(None, line.type)), keys],
-            [RID, "doc_id", "line_no", "h", "line", "keys"])
+        some = batch.take(pa.array(new, pa.int64()))
+        h, lines, lo = some.column("h").to_numpy(), some.column("line").to_pylist(), 0
+        while lo < len(lines):
+            hi, chars = lo, 0
+            while hi < len(lines) and chars <= 400_000:
+                chars += len(lines[hi])
+                hi += 1
+            keys = sign(lines[lo:hi], mult, mask, rows, size)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(h[lo:hi], bands))], ["key", "h"])
+            lo = hi
 
 
 def sign(lines, mult, mask, rows, size):
@@ -145,7 +130,7 @@ def _confirm(batches, percent, size):
             yield some.select(["a", "b"]).filter(pa.array(LineSets(list(places), size).same(a, b, percent), pa.bool_()))
 
 
-def _block_links(frame, percent, size):
+def _block_links(frame, percent, bands, rows, size):
     """Links of one task of the last round, on full shingle sets."""
     import pandas as pd
     if not len(frame):
@@ -153,9 +138,10 @@ def _block_links(frame, percent, size):
     place, nodes = pd.factorize(frame["node"])
     lines = frame["line"].to_numpy()[pd.Series(range(len(frame))).groupby(place).first().to_numpy()].tolist()
     sig = minhashes(lines, *odd_multipliers(SCREEN, 13), size)
+    keys = sign(lines, *odd_multipliers(bands * rows, 11), rows, size)
     sets = LineSets(lines, size)
     links = spanning_links(
-        frame, lambda a, b: sets.same(place[a], place[b], percent),
+        frame.assign(keys=[*keys[place]]), lambda a, b: sets.same(place[a], place[b], percent),
         lambda a, b: 100 * (sig[place[a]] == sig[place[b]]).sum(axis=1) >= (percent - MARGIN) * SCREEN)
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
@@ -181,43 +167,46 @@ def duplicate_lines(docs: DataFrame, percent: int = THRESHOLD, bands: int = BAND
     no part. Equal lines are told by a 64-bit hash. Buckets are stars around
     their smallest node: a hot one costs a row a distinct line. Buckets that
     then still hold two components get other pivots, and in the end are compared
-    in blocks.
+    in blocks. ``docs`` is read several times: pass a frame that is read from files.
     """
     with scratch_scope(docs.sparkSession) as scope:
         return _marked(docs, percent, bands, rows, size, scope)
 
 
-def _marked(docs, percent, bands, rows, size, scope):
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    saved = scope.save(lines_of(docs).select(RID, "doc_id", "line_no", "h", "line").mapInArrow(
-        lean(lambda it: _signatures(it, bands, rows, size)),
-        f"{RID} bigint, doc_id {id_type}, line_no int, h bigint, line string, keys array<bigint>"), "lines")
+def _marked(docs, percent, bands, band_rows, size, scope):
+    # the input is read again where texts are needed: only numbers are saved of its lines
+    lines = lines_of(docs)
+    saved = scope.save(lines.select(RID, "doc_id", "line_no", "h"), "lines")
     # one shuffle by key: what follows groups by it too
     bucket = Window.partitionBy("key")
-    members = (saved.select(F.explode("keys").alias("key"), "h")
+    members = (lines.select("h", "line").mapInArrow(lean(lambda it: _signatures(it, bands, band_rows, size)),
+                                                    "key bigint, h bigint")
                .withColumn("lo", F.min("h").over(bucket)).withColumn("hi", F.max("h").over(bucket)).where("lo < hi")
                .select("key", "h", "lo").distinct().withColumn("m", F.count("*").over(bucket)))
     members = cut_lineage(members, "members")
     inside = members.where("m > 2")
     pairs = cut_lineage(members.where("h <> lo").select(F.col("h").alias("a"), F.col("lo").alias("b")).distinct(), "pairs")
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
-    texts = cut_lineage(saved.where("line IS NOT NULL").select("h", "line").join(sized(wanted, 16), "h", "left_semi")
+    texts = cut_lineage(lines.select("h", "line").join(sized(wanted, 16), "h", "left_semi")
                         .groupBy("h").agg(F.first("line").alias("line")), "texts")
 
-    def confirm(some):
+    def texts_of(nodes):
+        return texts.join(sized(cut_lineage(nodes.distinct(), "some"), 16), "h", "left_semi")
+
+    def confirm(some, texts=None):
+        if texts is None:
+            texts = texts_of(some.select(F.explode(F.array("a", "b")).alias("h")))
         t1, t2 = (texts.select(F.col("h").alias(c), F.col("line").alias(t)) for c, t in (("a", "t1"), ("b", "t2")))
         return cut_lineage(some.join(t1, "a").join(t2, "b").select("a", "b", "t1", "t2")
                            .mapInArrow(lean(lambda it: _confirm(it, percent, size)), "a bigint, b bigint"), "links")
 
     def finish(rows):
         # every member of a bucket is in a pair with its first pivot: its text is there
-        own = (saved.where("keys IS NOT NULL").select("h", "keys")
-               .join(sized(cut_lineage(rows.select(F.col("node").alias("h")).distinct(), "some"), 16), "h", "left_semi")
-               .dropDuplicates(["h"]).join(texts, "h").withColumnRenamed("h", "node"))
-        return (rows.join(cut_lineage(own, "own"), "node").groupBy("task")
-                .applyInPandas(lambda f: _block_links(f, percent, size), "a bigint, b bigint"))
+        own = texts_of(rows.select(F.col("node").alias("h"))).withColumnRenamed("h", "node")
+        return (rows.join(own, "node").groupBy("task")
+                .applyInPandas(lambda f: _block_links(f, percent, bands, band_rows, size), "a bigint, b bigint"))
 
-    comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs), confirm, finish, BLOCK)
+    comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs, texts), confirm, finish, BLOCK)
     comp = scope.save(comp.withColumnRenamed("node", "h"), "components")
     marked = saved.select(RID, "doc_id", "line_no", "h").join(sized(comp, 24), "h", "left").select(
         RID, "doc_id", "line_no", "h", F.coalesce("component", "h").alias("component"))
