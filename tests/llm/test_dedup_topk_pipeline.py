@@ -138,6 +138,60 @@ def test_line_dedup_saves_no_text_of_its_lines(spark, tmp_path):
         (1, 0, True), (1, 1, True), (2, 0, False), (2, 1, False)]
 
 
+@pytest.mark.parametrize("held", [0, 40, 10_000])
+def test_only_keys_of_two_lines_are_left(monkeypatch, held):
+    import pyarrow as pa
+    monkeypatch.setattr(line_dedup, "PARTS", 4)
+    monkeypatch.setattr(line_dedup, "PACKED", 100)
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    rng = random.Random(held)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(3, 60))) for _ in range(40)]
+    lines = base + [t + "#" for t in base[:10]] + ["x"] + base[5:15]
+    h = [hash(t) for t in lines]
+    batches = [pa.RecordBatch.from_pydict({"h": h[i:i + 7], "line": lines[i:i + 7]}) for i in range(0, len(lines), 7)]
+    keys = line_dedup.sign(pa.array(lines), *line_dedup.odd_multipliers(24, 11), 3, 8)
+    of: dict[int, set] = {}
+    for row, n in zip(keys.tolist(), h):
+        for key in row:
+            of.setdefault(key, set()).add(n)
+    packed = sorted((r for _ in range(2) for b in line_dedup._signatures(iter(batches), 8, 3, 8) for r in b.to_pylist()),
+                    key=lambda r: r["part"])
+    packed = [pa.RecordBatch.from_pylist(packed[i:i + 3]) for i in range(0, len(packed), 3)]
+    got = [(r["key"], r["h"]) for b in line_dedup._shared(iter(packed)) for r in b.to_pylist()]
+    want = {(key, n) for key, some in of.items() if len(some) > 1 for n in some}
+    assert want <= set(got) <= {(key, n) for key, some in of.items() for n in some} and want
+    if held == 10_000:
+        assert sorted(got) == sorted(want)
+    else:
+        assert len(got) > len(want)
+
+
+def test_signatures_read_arrow_strings():
+    import numpy as np
+    import pyarrow as pa
+    from tidewatch.llm.common import mix64, odd_multipliers, segment_minhash
+    rng = random.Random(4)
+    lines = ["é", "x" * 8, "日本語" * 5, "y" * 3000] + [
+        "".join(rng.choice("ab é日😀") for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    mult, mask = odd_multipliers(24, 11)
+    flat, count = [], []
+    for t in lines:
+        acc = np.zeros(max(1, len(t) - 7), np.uint64)
+        for k in range(8 if len(t) >= 8 else 0):
+            acc *= np.uint64(0x9E3779B97F4A7C15)
+            acc += np.array([ord(c) for c in t[k:k + len(acc)]], np.uint64)
+        if len(t) < 8:
+            import xxhash
+            acc[0] = np.uint64(xxhash.xxh64_intdigest(t.encode()))
+        flat.append(mix64(acc))
+        count.append(len(acc))
+    want = np.concatenate(flat)
+    got, n = line_dedup.shingle_hashes(pa.array(["left out"] + lines)[1:], 8)
+    assert got.tolist() == want.tolist() and n.tolist() == count
+    sig = segment_minhash((want >> np.uint64(32)).astype(np.uint32), np.cumsum(count) - count, mult, mask)
+    assert (line_dedup.minhashes(pa.array(lines, pa.large_string()), mult, mask, 8) == sig).all()
+
+
 @pytest.mark.parametrize("size", [8, 5])
 def test_pairs_of_lines_match_sets(size):
     import numpy as np

@@ -99,10 +99,13 @@ def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     """Deal the members of buckets into pairs of blocks of ``block`` nodes at the
     mean: those outside a bucket's largest component against it and against each
     other. Columns key, i, j (the pair), blk (i or j), node, component, and task:
-    pairs are dealt to tasks of some 8 blocks each, since most are tiny."""
+    pairs are dealt to tasks of some 8 blocks each, since most are tiny. Pairs of
+    buckets with the same smallest component share nodes, which a task prepares
+    once: they go together, or in as many parts as they fill tasks."""
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
-    most = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("m"))
-            .select("key", F.col("big.component").alias("big"),
+    most = (sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("m"),
+                                     F.min("component").alias("least"))
+            .select("key", "least", F.col("big.component").alias("big"),
                     F.expr(f"cast(ceil(big.n / {block}.0) AS int)").alias("bb"),
                     F.expr(f"cast(ceil((m - big.n) / {block}.0) AS int)").alias("bo")))
     # blocks 0 to bo - 1 are of the others, bo to bo + bb - 1 of the largest component
@@ -111,9 +114,14 @@ def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     pairs = cut_lineage(dealt.withColumn("to", F.explode(F.expr(
                 "if(blk >= bo, sequence(0, bo - 1), sequence(0, bo + bb - 1))")))
             .select("key", F.least("blk", "to").alias("i"), F.greatest("blk", "to").alias("j"),
-                    "blk", "node", "component"), "blocks")
+                    "blk", "node", "component", "least"), "blocks")
     tasks = max(1, pairs.count() // (8 * block))
-    return pairs.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    large = cut_lineage(pairs.groupBy("least").agg(F.expr(f"count(*) div {8 * block}").alias("parts"))
+                        .where("parts > 0"), "parts")
+    part = F.pmod(F.xxhash64("key", "i", "j"), F.col("parts") + 1)
+    return (pairs.join(sized(large, 16), "least", "left")
+            .withColumn("task", F.pmod(F.xxhash64("least", F.coalesce(part, F.lit(0))), F.lit(tasks)))
+            .drop("least", "parts"))
 
 
 SLICE = 200_000         # pairs screened at once

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import (BROADCAST_BYTES, RID, band_keys, cut_lineage, distinct_sets, lean, mix64, odd_multipliers,
-                     scratch_scope, segment_minhash, similar, sized, with_row_id)
+                     scratch_scope, similar, sized, spread, with_row_id)
 from .components import settle, spanning_links
 
 SHINGLE = 8             # characters
@@ -18,80 +18,169 @@ BLOCK = 128             # lines in a block of the second round
 SCREEN = 64             # MinHash samples that screen the pairs of that round
 MARGIN = 25             # percent under the threshold: five standard deviations
 SEEN = 500_000          # hashes a task remembers to sign a line once
+CHUNK = 1 << 18         # bytes of text hashed at once
+PARTS = 4096            # of the bucket keys, for the filter of keys that one line has
+PACKED = 400_000        # rows that a task packs by part at once
+HELD = 2_000_000        # rows of a part that the filter holds, 32 MB; a larger part passes whole
 
 
 def _signatures(batches, bands, rows, size):
-    """Arrow rows (h, line) -> (key, h), a row a bucket of each line that the task
-    has not signed before."""
+    """Arrow rows (h, line) -> (part, rows): (key, h), a row a bucket of each line
+    that the task has not signed before, packed by part of the keys."""
     import numpy as np
     import pyarrow as pa
     mult, mask = odd_multipliers(bands * rows, 11)
     seen: set[int] = set()
+    held, n = [], 0
     for batch in batches:
-        new = []
-        for i, h in enumerate(batch.column("h").to_pylist()):
-            if h not in seen:
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(h)
-                new.append(i)
-        some = batch.take(pa.array(new, pa.int64()))
-        h, lines, lo = some.column("h").to_numpy(), some.column("line").to_pylist(), 0
-        while lo < len(lines):
-            hi, chars = lo, 0
-            while hi < len(lines) and chars <= 400_000:
-                chars += len(lines[hi])
-                hi += 1
-            keys = sign(lines[lo:hi], mult, mask, rows, size)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(h[lo:hi], bands))], ["key", "h"])
-            lo = hi
+        places = dict(zip(batch.column("h").to_pylist(), range(batch.num_rows)))
+        some = batch.take(pa.array([i for h, i in places.items() if h not in seen], pa.int64()))
+        if len(seen) >= SEEN:
+            seen.clear()
+        seen.update(places)
+        keys = sign(some.column("line"), mult, mask, rows, size)
+        held.append(np.stack([keys.ravel(), np.repeat(some.column("h").to_numpy(), bands)], 1))
+        n += len(held[-1])
+        if n >= PACKED:
+            yield _packed(held)
+            held, n = [], 0
+    if n:
+        yield _packed(held)
+
+
+def _packed(held):
+    import numpy as np
+    import pyarrow as pa
+    pairs = np.concatenate(held)
+    part = (pairs[:, 0] & (PARTS - 1)).astype(np.uint16)
+    parts, count = np.unique(part, return_counts=True)
+    ends = np.append(0, np.cumsum(count) * 16).astype(np.int32)
+    data = pairs[np.argsort(part, kind="stable")].tobytes()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(parts, pa.int32()),
+         pa.BinaryArray.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(data)])],
+        ["part", "rows"])
+
+
+def _shared(batches):
+    """Arrow rows (part, rows), by part -> rows (key, h) without those whose key one
+    line alone has. A part of more than HELD rows passes whole."""
+    import numpy as np
+    import pyarrow as pa
+
+    def unpacked(held):
+        return np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, c].copy()) for c in (0, 1)], ["key", "h"])
+
+    def filtered(held):
+        rows = unpacked(held)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        new = np.append(True, (rows[1:] != rows[:-1]).any(axis=1))
+        rows = rows[new]
+        same = np.append(rows[1:, 0] == rows[:-1, 0], False)
+        same[1:] |= same[:-1].copy()
+        return out(rows[same])
+
+    held, n, now, whole = [], 0, None, False
+    for batch in batches:
+        for part, rows in zip(batch.column("part").to_pylist(), batch.column("rows").to_pylist()):
+            if part != now:
+                if held:
+                    yield out(unpacked(held)) if whole else filtered(held)
+                held, n, now, whole = [], 0, part, False
+            held.append(rows)
+            n += len(rows) // 16
+            if n > HELD:
+                yield out(unpacked(held))
+                held, n, whole = [], 0, True
+    if held:
+        yield out(unpacked(held)) if whole else filtered(held)
 
 
 def sign(lines, mult, mask, rows, size):
-    """Bucket keys of a list of lines, none empty."""
+    """Bucket keys of Arrow strings, none empty."""
     return band_keys(minhashes(lines, mult, mask, size), rows)
 
 
 def minhashes(lines, mult, mask, size):
-    """MinHash signatures of a list of lines, none empty."""
+    """MinHash signatures of Arrow strings, none empty."""
     import numpy as np
-    h, count = shingle_hashes(lines, size)
-    return segment_minhash((h >> np.uint64(32)).astype(np.uint32), np.cumsum(count) - count, mult, mask)
+    out, lo = np.empty((len(mult), len(lines)), np.uint32), 0
+    for h, first, count, n in rolling_hashes(lines, size):
+        h >>= np.uint64(32)
+        h = h.astype(np.uint32)
+        # shingles of a line, and those over its end, whose minimum is not taken
+        at, buf = np.stack([first, first + count], 1).ravel(), np.empty_like(h)
+        for k in range(len(mult)):
+            np.multiply(np.bitwise_xor(h, mask[k], out=buf), mult[k], out=buf)
+            out[k, lo:lo + len(n)] = np.minimum.reduceat(buf, at)[::2]
+        lo += len(n)
+    return out.T
 
 
 def shingle_hashes(lines, size):
-    """64-bit hashes of the shingles of lines, none empty, end to end, and the
-    count of each line. The lines are worked as one array of code points;
-    shingles that run over a line's end are left out, and a line shorter than a
-    shingle is one shingle."""
+    """64-bit hashes of the shingles of Arrow strings, none empty, end to end, and
+    the count of each line."""
+    import numpy as np
+    flat, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for h, first, count, n in rolling_hashes(lines, size):
+        inside = np.ones(len(h), bool)
+        inside[spread(first + count, n - count)] = inside[-1] = False
+        flat.append(h[inside])
+        counts.append(count)
+    return np.concatenate(flat), np.concatenate(counts)
+
+
+def rolling_hashes(lines, size):
+    """Chunks of Arrow strings, none empty, as (hashes, first, count, n): 64-bit
+    hashes of the shingles from each code point on and of one place more, and where
+    each line begins, its count of shingles and its length. Shingles that run over a
+    line's end are hashed too; a line shorter than a shingle is one shingle."""
     import numpy as np
-    n = np.array([len(t) for t in lines], np.int64)
-    cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    cp = np.concatenate([cp, np.zeros(size, np.uint64)])
-    acc = np.zeros(len(cp) - size, np.uint64)
-    if size & (size - 1):
-        for k in range(size):
-            acc *= np.uint64(0x9E3779B97F4A7C15)
-            acc += cp[k:k + len(acc)]
-    else:       # the same sum, by doubling
-        part, power, k = cp, 0x9E3779B97F4A7C15, 1
-        while k < size:
-            part = part[:-k] * np.uint64(power) + part[k:]
-            power, k = power * power % (1 << 64), 2 * k
-        acc = part[:len(acc)].copy()
-    count = np.maximum(n - size + 1, 1)
-    first = np.cumsum(n) - n
-    for i in np.flatnonzero(n < size):
-        acc[first[i]] = np.uint64(hash_short(lines[i]))
-    edge = np.zeros(len(acc) + 1, np.int8)
-    edge[first] += 1
-    edge[first + count] -= 1
-    return mix64(acc[np.cumsum(edge[:-1], dtype=np.int8) > 0]), count
-
-
-def hash_short(text: str) -> int:
     import xxhash
-    return xxhash.xxh64_intdigest(text.encode("utf-8"))
+    for raw, ends in chunks(lines):
+        n = np.diff(ends, prepend=0)
+        cp = raw
+        if raw.max() > 127:
+            cp = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+            n = np.diff(np.cumsum((raw & 0xC0) != 0x80)[ends - 1], prepend=0)
+        part = np.zeros(len(cp) + size, np.uint64)
+        part[:len(cp)] = cp
+        if size & (size - 1):
+            acc = np.zeros(len(cp) + 1, np.uint64)
+            for k in range(size):
+                acc *= np.uint64(0x9E3779B97F4A7C15)
+                acc += part[k:k + len(acc)]
+        else:       # the same sum, by doubling
+            acc, power, k = part, 0x9E3779B97F4A7C15, 1
+            while k < size:
+                part = acc[:-k] * np.uint64(power)
+                part += acc[k:]
+                acc, power, k = part, power * power % (1 << 64), 2 * k
+        count = np.maximum(n - size + 1, 1)
+        first = np.cumsum(n) - n
+        for i in np.flatnonzero(n < size):
+            acc[first[i]] = np.uint64(xxhash.xxh64_intdigest(raw[ends[i - 1] if i else 0:ends[i]].tobytes()))
+        yield mix64(acc), first, count, n
+
+
+def chunks(lines):
+    """Arrow strings -> (UTF-8 bytes, ends of the lines in them) of some CHUNK bytes,
+    at least a line."""
+    import numpy as np
+    import pyarrow as pa
+    lines = lines.cast(pa.large_string())
+    if not len(lines):
+        return
+    _, offsets, data = lines.buffers()
+    at = np.frombuffer(offsets, np.int64)[lines.offset:lines.offset + len(lines) + 1]
+    raw, lo = np.frombuffer(data, np.uint8), 0
+    while lo < len(lines):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + CHUNK, "right")) - 1)
+        yield raw[at[lo]:at[hi]], at[lo + 1:hi + 1] - at[lo]
+        lo = hi
 
 
 class LineSets:
@@ -99,11 +188,12 @@ class LineSets:
     to the threshold that a collision could decide are compared as strings."""
 
     def __init__(self, lines, size):
-        self.lines, self.size = lines, size
-        self.sets, self.counts = distinct_sets(*shingle_hashes(lines, size))
+        import pyarrow as pa
+        self.lines, self.size = lines if isinstance(lines, pa.Array) else pa.array(lines, pa.large_string()), size
+        self.sets, self.counts = distinct_sets(*shingle_hashes(self.lines, size))
 
     def shingles(self, r):
-        t = self.lines[r]
+        t = self.lines[int(r)].as_py()
         return {t[i:i + self.size] for i in range(max(1, len(t) - self.size + 1))}
 
     def same(self, a, b, percent):
@@ -119,39 +209,59 @@ class LineSets:
 
 def _confirm(batches, percent, size):
     """Pairs (a, b, t1, t2) of lines -> those that reach the threshold."""
-    import numpy as np
     import pyarrow as pa
     for batch in batches:
         for lo in range(0, batch.num_rows, 2048):
             some = batch.slice(lo, 2048)
-            places: dict[str, int] = {}
-            a, b = (np.array([places.setdefault(t, len(places)) for t in some.column(c).to_pylist()])
-                    for c in ("t1", "t2"))
-            yield some.select(["a", "b"]).filter(pa.array(LineSets(list(places), size).same(a, b, percent), pa.bool_()))
-
-
-def _block_links(frame, percent, bands, rows, size):
-    """Links of one task of the last round, on full shingle sets."""
-    import pandas as pd
-    if not len(frame):
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    place, nodes = pd.factorize(frame["node"])
-    lines = frame["line"].to_numpy()[pd.Series(range(len(frame))).groupby(place).first().to_numpy()].tolist()
-    sig = minhashes(lines, *odd_multipliers(SCREEN, 13), size)
-    keys = sign(lines, *odd_multipliers(bands * rows, 11), rows, size)
-    sets = LineSets(lines, size)
+            both = pa.chunked_array([some.column("t1"), some.column("t2")]).combine_chunks()
+            yield some.select(["a", "b"]).filter(pa.array(
+                _same(both, _numbers(some, "a", "b"), percent, size), pa.bool_()))
+
+
+def _numbers(table, *names):
+    import numpy as np
+    return np.concatenate([table.column(c).to_numpy() for c in names])
+
+
+def _same(lines, nodes, percent, size):
+    """Pairs of the first and the second half of ``lines`` (by hash ``nodes``) ->
+    mask of those that reach the threshold; each line is hashed once."""
+    import numpy as np
+    import pyarrow as pa
+    _, at, place = np.unique(nodes, return_index=True, return_inverse=True)
+    a, b = place.reshape(2, -1)
+    return LineSets(lines.take(pa.array(at)), size).same(a, b, percent)
+
+
+def _block_links(table, percent, bands, rows, size):
+    """Links of one task of the last round, on full shingle sets of the pairs that
+    the screen leaves."""
+    import numpy as np
+    import pyarrow as pa
+    frame = table.drop_columns(["line"]).to_pandas()
+    _, at, place = np.unique(frame["node"].to_numpy(), return_index=True, return_inverse=True)
+    lines = table.column("line").combine_chunks().take(pa.array(at))
+    mult, mask = (np.concatenate(x) for x in zip(odd_multipliers(SCREEN, 13), odd_multipliers(bands * rows, 11)))
+    sig = minhashes(lines, mult, mask, size)
+    keys, sig = band_keys(sig[:, SCREEN:], rows), np.ascontiguousarray(sig[:, :SCREEN])
+
+    def same(a, b):
+        both = np.concatenate([place[a], place[b]])
+        return _same(lines.take(pa.array(both)), both, percent, size)
+
     links = spanning_links(
-        frame.assign(keys=[*keys[place]]), lambda a, b: sets.same(place[a], place[b], percent),
+        frame.assign(keys=[*keys[place]]), same,
         lambda a, b: 100 * (sig[place[a]] == sig[place[b]]).sum(axis=1) >= (percent - MARGIN) * SCREEN)
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    a, b = np.array(links, np.int64).reshape(-1, 2).T
+    return pa.table({"a": a, "b": b})
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """Row number, doc_id, line_no and line (lower case, trimmed) of each line
     with anything but spaces, with its 64-bit hash h."""
     base = with_row_id(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    return (base.select(RID, "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-            .withColumn("line", F.lower(F.trim("line"))).where("line <> ''")
+    return (base.select(RID, "doc_id", F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("line_no", "line"))
+            .withColumn("line", F.trim("line")).where("line <> ''")
             .withColumn("h", F.xxhash64("line")))
 
 
@@ -177,10 +287,11 @@ def _marked(docs, percent, bands, band_rows, size, scope):
     # the input is read again where texts are needed: only numbers are saved of its lines
     lines = lines_of(docs)
     saved = scope.save(lines.select(RID, "doc_id", "line_no", "h"), "lines")
-    # one shuffle by key: what follows groups by it too
+    # most keys are of one line: those go before the window, whose shuffle what follows groups by too
     bucket = Window.partitionBy("key")
     members = (lines.select("h", "line").mapInArrow(lean(lambda it: _signatures(it, bands, band_rows, size)),
-                                                    "key bigint, h bigint")
+                                                    "part int, rows binary")
+               .repartition("part").sortWithinPartitions("part").mapInArrow(lean(_shared), "key bigint, h bigint")
                .withColumn("lo", F.min("h").over(bucket)).withColumn("hi", F.max("h").over(bucket)).where("lo < hi")
                .select("key", "h", "lo").distinct().withColumn("m", F.count("*").over(bucket)))
     members = cut_lineage(members, "members")
@@ -204,7 +315,7 @@ def _marked(docs, percent, bands, band_rows, size, scope):
         # every member of a bucket is in a pair with its first pivot: its text is there
         own = texts_of(rows.select(F.col("node").alias("h"))).withColumnRenamed("h", "node")
         return (rows.join(own, "node").groupBy("task")
-                .applyInPandas(lambda f: _block_links(f, percent, bands, band_rows, size), "a bigint, b bigint"))
+                .applyInArrow(lambda t: _block_links(t, percent, bands, band_rows, size), "a bigint, b bigint"))
 
     comp = settle(inside.select("key", F.col("h").alias("node")), pairs, confirm(pairs, texts), confirm, finish, BLOCK)
     comp = scope.save(comp.withColumnRenamed("node", "h"), "components")
