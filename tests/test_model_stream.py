@@ -276,3 +276,22 @@ def test_searches_cover_the_default_grid_and_space():
     assert len(MO.grid_combos()) == 108 and all(MO.configured(MO.Boosting(), c) for c in MO.grid_combos())
     draws = MO.random_combos(n_iter=50)
     assert len({str(d) for d in draws}) == 50 and all(MO.configured(MO.Boosting(), d) for d in draws)
+
+
+def _rows_of_two_classes(spark, n=300):
+    return spark.range(0, n, 1, 2).select(
+        ((F.col("id") * 37) % 101).cast("double").alias("a"), ((F.col("id") * 53) % 89).cast("double").alias("b"),
+        (F.col("id") % 3).cast("int").alias("fold")).withColumn("is_attack", ((F.col("a") * 7 + F.col("b") * 13) % 10 < 4).cast("int"))
+
+
+def test_model_query_fits_the_reference_trees(spark, trained, monkeypatch):
+    from tidewatch.catalog import q_model as Q
+    monkeypatch.setattr(Q, "_CACHE", {})
+    fits = []
+    monkeypatch.setattr(Q, "train", lambda df, spec, trees: fits.append(("train", trees)) or trained)
+    monkeypatch.setattr(Q, "refit", lambda t, trees: fits.append(("refit", trees)) or trained, raising=False)
+    assert Q.q_fit_boosted_trees(spark, SF_SMALL).columns == ["conn_id", "is_attack", "probability", "prediction"]
+    assert fits == [("train", MO.Boosting())] and (MO.Boosting().max_depth, MO.Boosting().n_estimators) == (6, 100)
+    Q.q_score_batch(spark, SF_SMALL)
+    Q.q_fit_boosted_trees(spark, SF_SMALL)
+    assert fits[1:] == [("refit", Q.SMALL)]     # of other trees: on the same features
