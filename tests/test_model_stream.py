@@ -295,3 +295,27 @@ def test_model_query_fits_the_reference_trees(spark, trained, monkeypatch):
     Q.q_score_batch(spark, SF_SMALL)
     Q.q_fit_boosted_trees(spark, SF_SMALL)
     assert fits[1:] == [("refit", Q.SMALL)]     # of other trees: on the same features
+
+
+def test_sets_that_differ_in_rounds_share_a_fit(spark, monkeypatch):
+    fits = []
+    gbt = MO._gbt
+    monkeypatch.setattr(MO, "_gbt", lambda cfg, label: fits.append(cfg.n_estimators) or gbt(cfg, label))
+    d = _rows_of_two_classes(spark)
+    base = MO.Boosting(max_depth=3, learning_rate=0.5)
+    alone = [MO.fold_scores(d, ["a", "b"], [{"n_estimators": n}], base=base).collect() for n in (2, 5)]
+    fits.clear()
+    combos = [{"n_estimators": 5}, {"n_estimators": 2}, {"max_depth": 2, "n_estimators": 5}]
+    got = MO.fold_scores(d, ["a", "b"], combos, base=base).collect()
+    assert got[:3] == alone[1] and got[3:6] == alone[0] and alone[0] != alone[1]
+    assert fits == [5] * 6 and len(got) == 9
+
+
+def test_grid_query_covers_the_reference_grid(spark, trained, monkeypatch):
+    from tidewatch.catalog import q_model as Q
+    seen = []
+    monkeypatch.setattr(Q, "_folded", lambda spark, sf: (trained.train, trained.state.features))
+    monkeypatch.setattr(MO, "cross_validate_grid", lambda df, f, combos, *a, **k: seen.append((combos, a)))
+    Q.q_tune_grid(spark, SF_SMALL)
+    (combos, rest), = seen
+    assert combos == MO.grid_combos(MO.GRID) and len(combos) == 108 and MO.Boosting() in rest
