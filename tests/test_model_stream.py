@@ -1,5 +1,8 @@
 """Model quality floor and persistence; streams equal batch; late data."""
 
+import json
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tidewatch.sources import sinks as SK
 from tidewatch.operators import alerts as AL
 from tidewatch.operators import evaluate as EV
 from tidewatch.operators import model as MO
+from tidewatch.operators import tpe
 from tidewatch.plans.features import FeatureSpec
 from tidewatch.plans.model import score_batch, train
 from tidewatch.session import scratch_path
@@ -319,3 +323,41 @@ def test_grid_query_covers_the_reference_grid(spark, trained, monkeypatch):
     Q.q_tune_grid(spark, SF_SMALL)
     (combos, rest), = seen
     assert combos == MO.grid_combos(MO.GRID) and len(combos) == 108 and MO.Boosting() in rest
+
+
+def test_staged_search_runs_its_three_stages(spark):
+    d = _rows_of_two_classes(spark)
+    space = {"max_depth": [2, 3], "n_estimators": [2, 3]}
+    ranges = {"max_depth": (2, 3, 1), "learning_rate": (0.1, 0.5, "log"), "n_estimators": (2, 4, 2)}
+    near = lambda best: {"n_estimators": [best["n_estimators"], best["n_estimators"] + 1]}
+    got = MO.tune_staged(d, ["a", "b"], space, 2, refine=near, n_trials=2, ranges=ranges).collect()
+    assert [r["method"] for r in got] == ["random"] * 2 + ["tpe"] * 2 + ["fine"] * 2
+    top = max(r["mean_auc"] for r in got)
+    best, = [r for r in got if r["is_best"]]
+    assert best["mean_auc"] == top == next(r["mean_auc"] for r in got if r["mean_auc"] == best["mean_auc"])
+    first = max(got[:4], key=lambda r: r["mean_auc"])
+    assert json.loads(got[4]["params"])["n_estimators"] == json.loads(first["params"])["n_estimators"]
+
+
+def test_staged_query_replaces_no_stage(spark, trained, monkeypatch):
+    from tidewatch.catalog import q_model as Q
+    seen = []
+    monkeypatch.setattr(Q, "_folded", lambda spark, sf: (trained.train, trained.state.features))
+    monkeypatch.setattr(MO, "tune_staged", lambda *a, **k: seen.append((a, k)))
+    Q.q_tune_staged(spark, SF_SMALL)
+    (args, named), = seen
+    assert len(args) == 2 and not {"refine", "space", "ranges", "n_iter", "n_trials"} & set(named)
+    assert MO.fine_grid({"max_depth": 3, "learning_rate": 0.1, "n_estimators": 200})["n_estimators"] == [100, 200, 300]
+
+
+def test_model_based_search_learns_from_its_trials():
+    score = lambda p: -(p["max_depth"] - 7) ** 2 / 10 - math.log(p["learning_rate"] / 0.05) ** 2
+    trials = []
+    for _ in range(50):
+        p = tpe.suggest(MO.RANGES, trials, 42)
+        assert p == tpe.suggest(MO.RANGES, trials, 42) and set(p) == set(MO.SEARCHED)
+        assert all(lo <= p[k] <= hi and (not isinstance(step, int) or (p[k] - lo) % step == 0)
+                   for k, (lo, hi, step) in MO.RANGES.items())
+        trials.append((p, None if len(trials) == 3 else score(p)))
+    scores = [s for _, s in trials if s is not None]
+    assert sum(scores[-10:]) / 10 > sum(scores[:9]) / 9 and max(scores) > -0.05
