@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tidewatch.operators import impute as IM
 from tidewatch.operators import model as MO
 from tidewatch.operators import sampling as SA
 from tidewatch.operators import windows as WI
 from tidewatch.plans import model as PM
 from tidewatch.plans.features import FeatureSpec
-from tidewatch.session import HUGE_METHOD, SPLIT_BYTES, tasks_of_rows
+from tidewatch.session import HUGE_METHOD, SPLIT_BYTES, cut_lineage, reads_saved, tasks_of_rows
 from tidewatch.sources.tables import connections
 
 
@@ -65,3 +66,41 @@ def test_train_evaluates_its_input_once_and_scores_by_small_methods(spark, monke
     assert seen[0] and all("/tidewatch/rows-" in f for f in seen[0])
     assert PM.score_batch(t.test, t).count() == t.test.count()
     assert spark.conf.get(HUGE_METHOD) == "8000"
+
+
+def _written(spark, monkeypatch):
+    from tidewatch import session as S
+    real, seen = S._written, []
+    monkeypatch.setattr(S, "_written", lambda df, name, *a: seen.append((name, df.columns)) or real(df, name, *a))
+    return seen
+
+
+def test_rows_are_rolled_while_they_are_narrow(spark, monkeypatch):
+    """NULLs in a rolled column, and an input column of a rolled one's name."""
+    c = connections(spark, SF_SMALL).withColumn("src_bytes", F.when(F.col("conn_id") % 3 > 0, F.col("src_bytes")))
+    t = PM.train(c, FeatureSpec(), MO.Boosting(max_depth=2, n_estimators=2))
+    odd = t.rows.withColumn("duration_zscore", F.lit("mine"))
+    seen = _written(spark, monkeypatch)
+    got = PM.score_batch(odd, t)
+    ranged, = [set(cols) for name, cols in seen if name == "ranged"]
+    assert "unordered" not in [name for name, _ in seen]        # a saved table is not saved again
+    assert len(ranged) <= len(odd.columns) + 3 + 3              # its copies, the copy of its odd column, ids
+    assert got.select(odd.columns).exceptAll(odd).count() == 0 and got.count() == c.count()
+    plain = PM.score_batch(c, t)
+    cols = ["conn_id", "src_bytes", "probability", "prediction", "error"]
+    assert got.select(cols).exceptAll(plain.select(cols)).count() == 0
+    x = IM.transform(c, t.state.impute)
+    want = t.spec._networked(FeatureSpec(rolling_strategy="window")._rolling(x, t.state.rolling_w))
+    names = ["conn_id", *[f"{c}_{s}" for c in ("src_bytes", "dst_bytes", "duration") for s in ("rolling_mean", "rolling_std", "zscore")]]
+    rolled = t.spec.with_rolling(c, t.state)
+    # the z-scores are of the imputed values, the columns themselves are as given
+    assert rolled.select(names).exceptAll(want.select(names)).count() == 0
+    assert rolled.where("src_bytes IS NULL").count() == c.where("src_bytes IS NULL").count() > 0
+
+
+def test_only_projections_of_saved_tables_are_read_twice(spark):
+    saved = cut_lineage(spark.range(20).withColumn("a", F.col("id") % 3), "kept")
+    assert reads_saved(saved) and reads_saved(saved.where("a > 0").select((F.col("id") + 1).alias("b")))
+    for df in (saved.withColumn("r", F.rand()), saved.groupBy("a").count(), spark.range(3), saved.join(saved.select("id"), "id"),
+               spark.read.parquet(f"{SF_SMALL}/orders.parquet")):
+        assert not reads_saved(df)
