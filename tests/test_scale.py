@@ -104,3 +104,13 @@ def test_only_projections_of_saved_tables_are_read_twice(spark):
     for df in (saved.withColumn("r", F.rand()), saved.groupBy("a").count(), spark.range(3), saved.join(saved.select("id"), "id"),
                spark.read.parquet(f"{SF_SMALL}/orders.parquet")):
         assert not reads_saved(df)
+
+
+def test_model_queries_make_connections_once(spark, monkeypatch):
+    from tidewatch.catalog import q_model as Q
+    calls = []
+    monkeypatch.setattr(Q, "_CACHE", {})
+    monkeypatch.setattr(Q, "connections", lambda *a: calls.append(a) or connections(*a))
+    n = connections(spark, SF_SMALL).count()
+    assert Q.q_score_batch(spark, SF_SMALL).count() == n and Q.q_explain_rows(spark, SF_SMALL).count() == n
+    assert len(calls) == 1
