@@ -7,6 +7,7 @@ from conftest import SF_SMALL
 from tidewatch.operators import impute as IM
 from tidewatch.operators import model as MO
 from tidewatch.operators import sampling as SA
+from tidewatch.operators import scaling as SC
 from tidewatch.operators import windows as WI
 from tidewatch.plans import model as PM
 from tidewatch.plans.features import FeatureSpec
@@ -114,3 +115,13 @@ def test_model_queries_make_connections_once(spark, monkeypatch):
     n = connections(spark, SF_SMALL).count()
     assert Q.q_score_batch(spark, SF_SMALL).count() == n and Q.q_explain_rows(spark, SF_SMALL).count() == n
     assert len(calls) == 1
+
+
+def test_wide_passes_of_training_run_in_small_methods(spark, monkeypatch):
+    spark.conf.set(HUGE_METHOD, "65535")
+    limits = {}
+    real = {"scaler": SC.fit, "assembled": MO.assembled}
+    monkeypatch.setattr(SC, "fit", lambda *a: limits.setdefault("scaler", spark.conf.get(HUGE_METHOD)) and real["scaler"](*a))
+    monkeypatch.setattr(MO, "assembled", lambda *a: limits.setdefault("assembled", spark.conf.get(HUGE_METHOD)) and real["assembled"](*a))
+    PM.train(connections(spark, SF_SMALL), FeatureSpec(), MO.Boosting(max_depth=2, n_estimators=2))
+    assert limits == {"scaler": "8000", "assembled": "8000"}
